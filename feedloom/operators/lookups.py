@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequences import pad
 from .skew import block_offsets, lookup_join
 
 
@@ -48,6 +49,31 @@ def multi_encode(
     )
 
 
+def encode_sequence(
+    df: DataFrame, dictionary: DataFrame, row_id: str, keys: str, feature: str, take: int, name: str, fill: int = 0
+) -> DataFrame:
+    """Code the keys of ``sequences.sequence_keys`` by a dictionary: array<struct<t,v>> per row.
+
+    The keys are taken out to rows, so that the dictionary may be of any size, and put back in place.
+    """
+    entries = df.select(row_id, F.posexplode(keys).alias("pos", "e"))
+    long = entries.select(
+        row_id, "pos", F.col("e.t").alias("t"), F.posexplode_outer("e.keys").alias("rank", "key")
+    )
+    coded = dict_encode(long, dictionary, feature, "key", "code")
+    tokens = F.transform(
+        F.array_sort(F.collect_list(F.when(F.col("key").isNotNull(), F.struct("rank", "code")))),
+        lambda e: e["code"].cast("string"),
+    )
+    per_entry = coded.groupBy(row_id, "pos", "t").agg(
+        F.array_join(pad(tokens, take, F.lit(str(fill))), "#").alias("v")
+    )
+    per_row = per_entry.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("pos", "t", "v"))).alias("_all"))
+    return per_row.select(
+        row_id, F.transform("_all", lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v"))).alias(name)
+    )
+
+
 def calendar_flags(calendar: DataFrame) -> DataFrame:
     """(d, is_holiday) -> per day the flags of the day, the day before and the day after.
 

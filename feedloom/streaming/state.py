@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -11,16 +12,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 STATE_TTL_MS = 300_000
 
 
-def keep_increasing(times: pd.Series, start: int | None, emit_first: bool) -> tuple[pd.Series, int | None]:
+def keep_increasing(times: np.ndarray, start: int | None, emit_first: bool) -> tuple[np.ndarray, int]:
     """Which times exceed all before them and ``start``, and the state afterwards"""
-    floor = start if start is not None else (0 if emit_first else None)
-    before = times.cummax().shift(1)
-    if floor is not None:
-        before = before.fillna(floor).clip(lower=floor)
-    top = int(times.max())
-    # without a state the first time is remembered as it is, even below zero
-    after = top if floor is None else max(top, floor)
-    return times > before, after
+    if start is None and emit_first:
+        start = 0
+    if start is None:
+        start = int(times[0])  # the first time sets the state and is not emitted
+    tops = np.maximum.accumulate(np.concatenate([[start], times]))
+    return times > tops[:-1], int(tops[-1])
 
 
 def monotonic_filter(
@@ -48,7 +47,7 @@ def monotonic_filter(
         batch.columns = columns
         batch = batch.sort_values(columns[at], kind="stable")
         start = state.get[0] if state.exists else None
-        kept, after = keep_increasing(batch[time], start, emit_first)
+        kept, after = keep_increasing(batch[time].to_numpy("int64"), start, emit_first)
         state.update((after,))
         state.setTimeoutDuration(ttl_ms)
         yield batch[kept]
