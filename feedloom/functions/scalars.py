@@ -22,7 +22,12 @@ def epoch_us(ts: Column) -> Column:
 
 
 def epoch_ms(ts: Column) -> Column:
-    return F.floor(epoch_us(ts) / F.lit(1000)).cast("bigint")
+    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), ts)
+
+
+def int_div(a: Column, b: int) -> Column:
+    """Integer division, without a detour over doubles"""
+    return F.call_function("div", a, F.lit(b))
 
 
 def ms_to_ntz(ms: Column, zone: str = "UTC") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import overlay, token_ms
+from ..functions.scalars import int_div, overlay, token_ms
 
 # fixed values: the feedback kinds, in label order
 FEEDBACK = ("negative", "like", "comment", "collect", "share")
@@ -152,8 +152,8 @@ def prebatch_pack(
     Array features are concatenated.
     """
     w = Window.partitionBy("part").orderBy(seq)
-    placed = df.withColumn("part", F.floor(F.col(seq) / F.lit(partition_rows))).withColumn(
-        "grp", F.floor((F.row_number().over(w) - F.lit(1)) / F.lit(n))
+    placed = df.withColumn("part", int_div(F.col(seq), partition_rows)).withColumn(
+        "grp", int_div(F.row_number().over(w) - F.lit(1), n)
     )
     arrays = {f.name for f in df.schema.fields if f.dataType.typeName() == "array"}
     # both aggregates are on the window's partitioning, so nothing is shuffled again

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import int_div
 from .skew import block_offsets
 
 
@@ -47,7 +48,7 @@ def monotonic_filter(
     ``emit_first=False`` it only sets the state. Each key is cut into blocks of ``seq``; a block's start
     value is the greatest time of the blocks before it.
     """
-    rows = df.withColumn("_block", F.floor(F.col(seq) / F.lit(block_rows)))
+    rows = df.withColumn("_block", int_div(F.col(seq), block_rows))
     offsets = block_offsets(rows, [key], "_block", {"_before": F.max(time)}, F.max)
     inside = (
         Window.partitionBy(key, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)

@@ -84,7 +84,7 @@ def _(v: Views) -> DataFrame:
 )
 def _(v: Views) -> DataFrame:
     rows = v.event.select("seq", "k", F.concat_ws("|", "user_id", "t_ms").alias("rowkey"))
-    out = windows.running_collect(rows, F.floor(F.col("seq") / 64), ["seq"], "k", "seen")
+    out = windows.running_collect(rows, scalars.int_div(F.col("seq"), 64), ["seq"], "k", "seen")
     return out.select("seq", "rowkey", F.array_join(F.col("seen").cast("array<string>"), ",").alias("seen"))
 
 
@@ -163,7 +163,7 @@ def _horizon_sql(history_sql: str, keys: list[str], measures: dict[str, str]) ->
     on = " AND ".join(f"h.{k} = s.{k}" for k in keys)
     widest = max(HORIZONS.values())
     cols = ", ".join(
-        f"CAST(coalesce(sum(CASE WHEN h.t_ms > s.event_time - {ms} THEN {expr} END), 0) AS BIGINT) AS {h}_{m}"
+        f"CAST(coalesce(sum(CASE WHEN h.t_ms > s.event_time - {ms} THEN {expr} END), 0) AS BIGINT) AS \"{h}_{m}\""
         for m, expr in measures.items()
         for h, ms in HORIZONS.items()
     )
@@ -178,9 +178,9 @@ SHOW_CLICK = (
 
 @query("freq_control_show_click", _horizon_sql(SHOW_CLICK, ["user_id", "cat"], {"s": "h.s", "c": "h.c"}))
 def _(v: Views) -> DataFrame:
-    return history.frequency_control(
-        v.sample, v.show, v.click, ["user_id", "cat"], "sample_id", "event_time", "t_ms"
-    )
+    asked = v.sample.select("sample_id", "user_id", "cat", "event_time")
+    out = history.frequency_control(asked, v.show, v.click, ["user_id", "cat"], "event_time", "t_ms")
+    return out.drop("user_id", "cat", "event_time")
 
 
 @query(
@@ -189,31 +189,33 @@ def _(v: Views) -> DataFrame:
 )
 def _(v: Views) -> DataFrame:
     reads = v.read.select("user_id", "cat", "t_ms", F.col("duration_ms").alias("d"))
-    return history.horizon_sums(
-        v.sample, reads, ["user_id", "cat"], ["sample_id"], "event_time", "t_ms", ["d"]
-    )
+    asked = v.sample.select("sample_id", "user_id", "cat", "event_time")
+    out = history.horizon_sums(asked, reads, ["user_id", "cat"], "event_time", "t_ms", ["d"])
+    return out.drop("user_id", "cat", "event_time")
 
 
 @query(
     "read_time_horizons",
-    f"""SELECT sample_id, {", ".join(f"round({h}_d / 1000.0::DOUBLE, 2) AS read_{h}" for h in HORIZONS)}
+    f"""SELECT sample_id, {", ".join(f'round("{h}_d" / 1000.0::DOUBLE, 2) AS read_{h}' for h in HORIZONS)}
         FROM ({_horizon_sql("SELECT user_id, t_ms, duration_ms FROM v_read", ["user_id"], {"d": "h.duration_ms"})})""",
 )
 def _(v: Views) -> DataFrame:
-    return history.read_time_horizons(v.sample, v.read, "user_id", "sample_id", "event_time", "t_ms", "duration_ms")
+    asked = v.sample.select("sample_id", "user_id", "event_time")
+    out = history.read_time_horizons(asked, v.read, "user_id", "event_time", "t_ms", "duration_ms")
+    return out.drop("user_id", "event_time")
 
 
 def _token_sql(history_sql: str, measures: dict[str, str], size: int) -> str:
     sums = ", ".join(
-        f"sum(CASE WHEN h.t_ms > s.event_time - {ms} THEN {expr} END) AS {h}_{m}"
+        f"sum(CASE WHEN h.t_ms > s.event_time - {ms} THEN {expr} END) AS \"{h}_{m}\""
         for m, expr in measures.items()
         for h, ms in HORIZONS.items()
     )
     names = [f"{h}_{m}" for m in measures for h in HORIZONS]
     lists = ", ".join(
-        f"coalesce(string_agg(token, ',' ORDER BY token) FILTER (token < {size} AND {n} > 0), '0') AS {n}_indices, "
-        f"coalesce(string_agg(CAST({n} AS BIGINT), ',' ORDER BY token) FILTER (token < {size} AND {n} > 0), '0') "
-        f"AS {n}_values"
+        f"coalesce(string_agg(token, ',' ORDER BY token) FILTER (token < {size} AND \"{n}\" > 0), '0') AS \"{n}_indices\", "
+        f"coalesce(string_agg(CAST(\"{n}\" AS BIGINT), ',' ORDER BY token) FILTER (token < {size} AND \"{n}\" > 0), '0') "
+        f"AS \"{n}_values\""
         for n in names
     )
     return f"""WITH st AS (SELECT sample_id, user_id, event_time, unnest(tokens) AS token FROM v_sample),

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import DAY_MS, epoch_ms, epoch_us
+from ..functions.scalars import DAY_MS, epoch_ms, epoch_us, int_div
 from ..operators import lookups
 
 # fixed values of the stand-ins: rows per behaviour list and items per request
@@ -106,7 +106,7 @@ class Views:
         return self._lists(behavior_json())
 
     def _lists(self, element: Column) -> DataFrame:
-        rows = self.event.select(F.floor(F.col("seq") / SEQ_ROWS).alias("list_id"), "seq", element.alias("x"))
+        rows = self.event.select(int_div(F.col("seq"), SEQ_ROWS).alias("list_id"), "seq", element.alias("x"))
         return rows.groupBy("list_id").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("seq", "x"))), lambda e: e["x"]).alias("entries")
         )
@@ -195,7 +195,7 @@ class Views:
     @cached_property
     def turn(self) -> DataFrame:
         c, t = F.col("conv_id"), F.col("turn")
-        page = F.floor(t / PAGE_TURNS)
+        page = int_div(t, PAGE_TURNS)
         req = F.lit(1_700_000_000_000) + c * 60_000 + page * 1000
         return self.table("conversations").select(
             "conv_id",
