@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from . import q_history  # noqa: F401
+from . import q_functions, q_history  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -264,8 +264,8 @@ def _(v: Views) -> DataFrame:
     "ctr_ratio",
     """SELECT user_id, CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS shows,
        CAST(count(*) FILTER (event_type = 'click') AS BIGINT) AS clicks,
-       CASE WHEN count(*) FILTER (event_type = 'view') > 0 THEN round(count(*) FILTER (event_type = 'click')
-         / CAST(count(*) FILTER (event_type = 'view') AS DOUBLE), 6) ELSE 0.0::DOUBLE END AS ctr
+       CASE WHEN count(*) FILTER (event_type = 'view') > 0 THEN count(*) FILTER (event_type = 'click')
+         / CAST(count(*) FILTER (event_type = 'view') AS DOUBLE) ELSE 0.0::DOUBLE END AS ctr
        FROM v_event GROUP BY user_id""",
 )
 def _(v: Views) -> DataFrame:
@@ -273,7 +273,7 @@ def _(v: Views) -> DataFrame:
         F.count_if(F.col("event_type") == "view").alias("shows"),
         F.count_if(F.col("event_type") == "click").alias("clicks"),
     )
-    return counts.withColumn("ctr", F.round(scalars.ctr(F.col("shows"), F.col("clicks")), 6))
+    return counts.withColumn("ctr", scalars.ctr(F.col("shows"), F.col("clicks")))
 
 
 @query(
