@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,7 +68,8 @@ def delete_cells(table: DataFrame, deletes: DataFrame, key: str, cells: Sequence
     )
     out = lookup_join(table, marks, key, "left")
     out = out.withColumns({c: F.when(F.col(f"_del_{c}").isNull(), F.col(c)) for c in cells})
-    return out.drop(*[f"_del_{c}" for c in cells]).filter(F.coalesce(*cells).isNotNull())
+    anything_left = reduce(or_, [F.col(c).isNotNull() for c in cells])
+    return out.drop(*[f"_del_{c}" for c in cells]).filter(anything_left)
 
 
 def check_and_delete(table: DataFrame, requests: DataFrame, key: str, check: str, target: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import DAY_MS, epoch_ms, epoch_us, int_div
 from ..operators import lookups
+from ..sources import readers
 
 # fixed values of the stand-ins: rows per behaviour list and items per request
 SEQ_ROWS = 100
@@ -23,6 +24,13 @@ class Views:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
+    def stream(self, name: str, files_per_trigger: int = 1000) -> DataFrame:
+        """A given table as a file stream; the glob lets the table be one file or a folder of files"""
+        path = self.path(name)
+        return readers.stream_files(
+            self.spark, f"{path[:-1]}[{path[-1]}]", self.table(name).schema, files_per_trigger=files_per_trigger
+        )
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
@@ -194,10 +202,14 @@ class Views:
 
     @cached_property
     def turn(self) -> DataFrame:
+        return self.turn_rows(self.table("conversations"))
+
+    @staticmethod
+    def turn_rows(conversations: DataFrame) -> DataFrame:
         c, t = F.col("conv_id"), F.col("turn")
         page = int_div(t, PAGE_TURNS)
         req = F.lit(1_700_000_000_000) + c * 60_000 + page * 1000
-        return self.table("conversations").select(
+        return conversations.select(
             "conv_id",
             "turn",
             "role",
@@ -269,6 +281,11 @@ class Views:
     def cdc(self) -> DataFrame:
         return self.table("orders").select(F.col("o_orderkey").alias("seq"), cdc_json().alias("value"))
 
+    @cached_property
+    def cdc_turn(self) -> DataFrame:
+        """CDC messages of the request time, for sinks that bucket by time"""
+        return self.turn.select(cdc_turn_json().alias("value"))
+
     @cached_property
     def kv(self) -> DataFrame:
         return self.table("customer").select(
@@ -342,3 +359,15 @@ def cdc_json() -> Column:
         F.lit('{"type":"'), action, F.lit('","database":"shop","table":"orders","ts":'), ms, F.lit(',"es":'), ms,
         F.lit(',"id":'), key, F.lit(',"isDdl":false,"pkNames":["id"],"sql":"","data":['), row, F.lit("]}"),
     )
+
+
+def cdc_turn_json() -> Column:
+    action = F.when(F.col("role") == "user", "INSERT").otherwise("UPDATE")
+    row = F.concat(
+        F.lit('{"id":"'), F.col("rowkey"), F.lit("-"), F.col("turn").cast("string"), F.lit('","role":"'), "role",
+        F.lit('"}'),
+    )
+    return F.concat(
+        F.lit('{"type":"'), action, F.lit('","database":"chat","table":"turns","ts":'), F.col("req").cast("string"),
+        F.lit(',"data":['), row, F.lit("]}"),
+    )

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.hashing import bucket_mod_of_abs, java_hash
+from ..functions.scalars import int_div
+
 KEYED_TTL_MS = 259_200_000
 
 
@@ -30,11 +33,11 @@ def scan_time_range(df: DataFrame, time: str, start_ms: int, end_ms: int, now_ms
 def rowkey(user: Column, ms: Column, ttl_ms: int = KEYED_TTL_MS, buckets: int = 1000) -> Column:
     """3-digit bucket, 10-digit second within the lifetime, 9 characters of the user id
 
-    The bucket is a checksum of the user id, so that a scan by time touches every bucket once.
+    The bucket is a hash of the user id, so that writes of one second spread over all buckets.
     """
     user = user.cast("string")
-    bucket = F.lpad((F.crc32(user.cast("binary")) % F.lit(buckets)).cast("string"), 3, "0")
-    second = F.lpad(F.floor(F.pmod(ms, F.lit(ttl_ms)) / F.lit(1000)).cast("string"), 10, "0")
+    bucket = F.lpad(bucket_mod_of_abs(java_hash(user), buckets).cast("string"), 3, "0")
+    second = F.lpad(int_div(F.pmod(ms, F.lit(ttl_ms)), 1000).cast("string"), 10, "0")
     return F.concat(bucket, second, F.lpad(F.substring(user, 1, 9), 9, "0"))
 
 
@@ -71,8 +74,12 @@ def scan_day_hour(df: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
 
 
 def latest_partition(df: DataFrame) -> DataFrame:
-    """The greatest (day, hour) pair as text; an aggregate over partition columns only"""
-    top = F.max(F.struct(F.col("day").cast("string").alias("day"), F.col("hour").cast("string").alias("hour")))
+    """The greatest (day, hour) pair as text; an aggregate over partition columns only.
+
+    Reading folders may have turned '09' into 9, so the hour gets its two digits back before comparing.
+    """
+    day, hour = F.col("day").cast("string"), F.lpad(F.col("hour").cast("string"), 2, "0")
+    top = F.max(F.struct(day.alias("day"), hour.alias("hour")))
     return df.agg(top.alias("p")).select("p.day", "p.hour")
 
 

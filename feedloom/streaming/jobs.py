@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,16 +28,33 @@ def to_files(df: DataFrame, out: str, checkpoint: str, partition: Sequence[str]
     return writer.trigger(**trigger).start()
 
 
+@contextmanager
+def without_idle_batches(spark: SparkSession) -> Iterator[None]:
+    """For draining a query with processing-time timeouts.
+
+    Such a query would start batch after batch to look for timeouts and never end. The setting is read
+    when the query starts, so it is put back right after.
+    """
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def to_console(df: DataFrame, checkpoint: str) -> StreamingQuery:
     return (
         df.writeStream.format("console").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def to_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
+def to_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
                interval: str | None = None) -> StreamingQuery:
+    writer = df.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return writer.trigger(**trigger).start()
 
 
 # ---------------------------------------------------------------- windows
@@ -59,6 +77,16 @@ def tumbling_count(
     )
 
 
+def counts_sink(table: str) -> Callable[[DataFrame, int], None]:
+    """Changed counts of each batch (update mode); ``read_counts`` takes the last of each window and key"""
+    return lambda df, batch_id: write_batch(df, table, batch_id)
+
+
+def read_counts(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
+    """Counts only grow, so the greatest is the last"""
+    return spark.read.parquet(table).groupBy("window_start_ms", *keys).agg(F.max("n").alias("n"))
+
+
 # ---------------------------------------------------------------- keyed tables
 
 

@@ -32,12 +32,14 @@ def monotonic_filter(
 ) -> DataFrame:
     """Emit a row when its time is greater than its key's state, and store it.
 
-    The state expires ``ttl_ms`` after the key was last read or written: each call renews the timeout,
-    whether or not it changed the value. Rows of a micro-batch come in no order, so ``seq`` orders them;
-    a key's share of one micro-batch is held in memory and is bounded by the source's rate limit.
+    The state expires ``ttl_ms`` after the key was last read or written, whether or not the value changed:
+    each call renews the timeout. Spark hands over new rows of a key before it fires the key's timeout, so
+    the last access is kept in the state as well and an old state counts as none.
+
+    Rows of a micro-batch come in no order, so ``seq`` orders them; a key's share of one micro-batch is
+    held in memory and is bounded by the source's rate limit.
     """
     columns = rows.columns
-    at = columns.index(seq)
 
     def step(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -45,13 +47,17 @@ def monotonic_filter(
             return
         batch = pd.concat(list(chunks), ignore_index=True)
         batch.columns = columns
-        batch = batch.sort_values(columns[at], kind="stable")
-        start = state.get[0] if state.exists else None
+        batch = batch.sort_values(seq, kind="stable")
+        now = state.getCurrentProcessingTimeMs()
+        start = None
+        if state.exists:
+            top, touched = state.get
+            start = top if now - touched < ttl_ms else None
         kept, after = keep_increasing(batch[time].to_numpy("int64"), start, emit_first)
-        state.update((after,))
+        state.update((after, now))
         state.setTimeoutDuration(ttl_ms)
         yield batch[kept]
 
     return rows.groupBy(key).applyInPandasWithState(
-        step, rows.schema, "top bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+        step, rows.schema, "top bigint, touched bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
     )
