@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from .skew import lookup_join
 
 
-def latest_n(df: DataFrame, user: str, order: Sequence[Column], n: int = 20) -> DataFrame:
-    """The ``n`` latest rows per user with their rank as ``flag``.
+def latest_n(df: DataFrame, user: str | Sequence[str], order: Sequence[Column], n: int = 20) -> DataFrame:
+    """The ``n`` latest rows per user (or several key columns) with their rank as ``flag``.
 
     The filter on the rank lets Spark cut each user to ``n`` rows before the shuffle (window group limit),
     so a user with a third of all rows sends ``n`` rows per map task.
     """
-    w = Window.partitionBy(user).orderBy(*order)
+    w = Window.partitionBy(*([user] if isinstance(user, str) else user)).orderBy(*order)
     return df.withColumn("flag", F.row_number().over(w)).filter(F.col("flag") <= n)
 
 

@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import DAY_MS, epoch_ms, epoch_us, int_div
-from ..operators import lookups
+from ..operators import lookups, recall
 from ..sources import readers
 
-# fixed values of the stand-ins: rows per behaviour list and items per request
+# fixed values of the stand-ins: rows per behaviour list, items per request
 SEQ_ROWS = 100
 PAGE_TURNS = 10
+# entries a user profile keeps per behaviour kind, which is the feature length
+LIST_ROWS = 121
 
 
 class Views:
@@ -275,6 +277,98 @@ class Views:
         own = F.filter(own, lambda e: e.isNotNull())
         return pages.select("rowkey", F.map_from_entries(F.concat("e", own)).alias("cells"))
 
+    # ------------------------------------------------------------ training
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        """Per user: the latest LIST_ROWS events of each kind as lists, and the time of the last event"""
+        rows = self.event.withColumn("x", behavior_json())
+        latest = recall.latest_n(rows, ["user_id", "event_type"], [F.desc("t_ms"), F.desc("seq")], LIST_ROWS)
+
+        def listed(kind: str, value: Column) -> Column:
+            own = F.when(F.col("event_type") == kind, F.struct("seq", value.alias("x")))
+            return F.transform(F.array_sort(F.collect_list(own)), lambda e: e["x"])
+
+        k, t = F.col("k"), F.col("t_ms")
+        ms = F.round(F.col("value") * 1000).cast("bigint").cast("string")
+        read = F.when(k % 2 == 0, ms).otherwise(F.concat(F.lit('{"duration":"'), ms, F.lit('"}')))
+        timed = F.struct(t.alias("t"), news_id(k).alias("id"), (k % 5).cast("string").alias("cat"), read.alias("d"))
+        return latest.groupBy("user_id").agg(
+            F.max("t_ms").alias("last_ms"),
+            *[listed(kind, F.col("x")).alias(f"b_{kind}") for kind in ("view", "click", "purchase")],
+            *[listed(kind, timed).alias(f"l_{kind}") for kind in ("view", "click", "purchase")],
+        )
+
+    @cached_property
+    def requests(self) -> DataFrame:
+        """One request per user with the user's JSON cells"""
+        u, token_ms = F.col("user_id"), F.col("last_ms") + 1000
+
+        def timed(kind: str, part: str) -> Column:
+            t1 = F.transform(f"l_{kind}", lambda e: e["t"])
+            return F.to_json(F.struct(t1.alias("t1"), F.transform(f"l_{kind}", lambda e: e[part]).alias("t2")))
+
+        cells = {
+            "rowkey": F.concat(F.lit("r"), u),
+            "event_id": F.concat(F.lit("e"), u),
+            "token": F.concat(F.lpad(token_ms.cast("string"), 13, "0"), u),
+            "user_imei": F.concat(F.lit("imei"), u),
+            "event_time": (token_ms + 5000).cast("string"),
+            "user_sex": F.when(u % 3 > 0, (u % 3).cast("string")),
+            "user_sale_date": (token_ms - u * DAY_MS).cast("string"),
+            "user_news_long_tag": F.concat(
+                F.lit('{"'), u % 50, F.lit('":1.5,"'), u % 50 + 100, F.lit('":0.0,"7000":2}')
+            ),
+            "original_user_news_long_tag": F.concat(F.lit('{"tag'), u, F.lit('":0.5}')),
+            "user_news_long_top_category_v3": F.concat(
+                F.lit('{"size":24,"indices":['), u % 5, F.lit(",10],\"values\":[0.5,0.25]}")
+            ),
+            "user_sl_feed_news_show_fc_v2": F.to_json("b_view"),
+            "user_sl_feed_news_click_fc_v2": F.to_json("b_click"),
+            "user_sl_feed_news_duration_fc_v2": F.to_json("b_purchase"),
+            "user_smart_launcher_feed_news_show_fc_news_id": timed("view", "id"),
+            "user_smart_launcher_feed_news_click_fc_news_id": timed("click", "id"),
+            "user_smart_launcher_feed_news_show_fc_news_top_category_v3": timed("view", "cat"),
+            "user_smart_launcher_feed_news_duration_fc_read_duration": timed("purchase", "d"),
+        }
+        pairs = [x for name, value in cells.items() for x in (F.lit(name), value.cast("string"))]
+        return self.profile.select(u.alias("request_id"), F.create_map(*pairs).alias("user"))
+
+    @cached_property
+    def request_items(self) -> DataFrame:
+        """The shown items of each request with the item's JSON cells"""
+        k = F.col("k")
+        cells = {
+            "newsId": news_id(k),
+            "clicked": F.concat((k % 2).cast("string"), F.lit(".0")),
+            "recall_type": F.concat(20 + k % 10, F.lit("|"), 20 + k % 7),
+            "news_source": F.concat(F.lit("src"), k % 8),
+            "duration": F.round(F.col("value") * 1000).cast("bigint"),
+            "video_duration": k - 20,
+            "news_publish_time": F.col("t_ms") - k * 1_800_000,
+            "news_topcategory_v3": F.concat(
+                F.lit('{"size":24,"indices":[10,'), k % 5, F.lit('],"values":[0.25,'), k % 2, F.lit("]}")
+            ),
+            "topic_vec_v2": F.concat(
+                F.lit('{"size":2001,"indices":['), k % 7, F.lit(","), 12 + k % 3, F.lit('],"values":[0.5,0.5]}')
+            ),
+        }
+        pairs = [x for name, value in cells.items() for x in (F.lit(name), value.cast("string"))]
+        return self.event.filter(F.col("event_type") == "view").select(
+            F.col("seq").alias("sample_id"), F.col("user_id").alias("request_id"), F.create_map(*pairs).alias("item")
+        )
+
+    @cached_property
+    def training_dictionary(self) -> DataFrame:
+        k = F.col("k")
+        texts = {
+            "news_category_v3": F.concat(F.lit("c"), k % 15),
+            "feednews_recall_type": F.concat(F.lit("2"), k % 8),
+            "news_source": F.concat(F.lit("src"), k % 6),
+        }
+        entry = [F.struct(F.lit(f).alias("feature"), t.alias("text")) for f, t in texts.items()]
+        return lookups.build_dictionary(self.event.select(F.explode(F.array(*entry)).alias("e")).select("e.*"))
+
     # ------------------------------------------------------------ CDC, keyed
 
     @cached_property
