@@ -8,7 +8,9 @@ Three stages, so that nothing is done twice and no stage carries more than it ne
 3. per (request, item): features of both sides, from the compact arrays of the first two stages. Padding,
    which multiplies the size of a row, comes last.
 
-Only what the asked columns need is put into a stage.
+Features of one kind are computed by one expression over the array of their keys, and a column picks its
+place in the result. So the plan has a few dozen expressions instead of 735, and a stage holds only the keys
+that the asked columns need.
 """
 
 from __future__ import annotations
@@ -26,12 +28,8 @@ from .history import HORIZONS
 from .skew import skew_join
 
 VECTOR = "struct<size:int,indices:array<int>,values:array<float>>"
-PAIR_TYPE = "array<struct<i:int,v:double>>"
-Columns = dict[str, Callable[[], Column]]
-
-
-def _pair(name: str) -> Column:
-    return F.col(f"p_{name}")
+READ_DURATION = k.NO_LENGTH
+HORIZON_MS = list(HORIZONS.values())
 
 
 def _float(pairs: Column) -> Column:
@@ -39,53 +37,100 @@ def _float(pairs: Column) -> Column:
     return F.transform(pairs, lambda e: F.struct(e["i"].alias("i"), e["v"].cast("float").cast("double").alias("v")))
 
 
-class _Side:
-    """Readers of one side's JSON map"""
+class Family:
+    """Features of one kind: entries (tuples of literals) and what to compute from one of them"""
 
-    def __init__(self, column: str):
-        self.map = F.col(column)
+    def __init__(self, column: str, fields: Sequence[str], compute: Callable[[Column], Column]):
+        self.column, self.fields, self.compute = column, fields, compute
+        self.entries: dict[tuple, int] = {}
 
-    def text(self, key: str) -> Column:
-        return F.try_element_at(self.map, F.lit(key))
+    def pick(self, *entry: object) -> Column:
+        """The feature of ``entry``, which is asked for hereby"""
+        return F.get(F.col(self.column), F.lit(self.entries.setdefault(entry, len(self.entries))))
 
-    def vector(self, key: str, default: int = 0) -> Column:
-        return let(
-            F.from_json(self.text(key), VECTOR),
-            lambda x: vectors.sparse_export(x["indices"], x["values"], default),
-        )
+    def build(self) -> Column:
+        structs = [
+            F.struct(*[F.lit(x).alias(f) for f, x in zip(self.fields, entry)]) for entry in self.entries
+        ]
+        return F.transform(F.array(*structs), self.compute).alias(self.column)
+
+
+class Side:
+    """The features that need one JSON map only"""
+
+    def __init__(self, prefix: str, column: str):
+        cells = F.col(column)
+
+        def text(e: Column) -> Column:
+            return F.try_element_at(cells, e["key"])
+
+        def number(e: Column) -> Column:
+            return text(e).try_cast("double")
+
+        def vector(e: Column) -> Column:
+            return let(
+                F.from_json(text(e), VECTOR),
+                lambda x: _float(vectors.sparse_export(x["indices"], x["values"], e["default"])),
+            )
+
+        def argmax(e: Column) -> Column:
+            return let(F.from_json(text(e), VECTOR), lambda x: vectors.argmax_index(x["indices"], x["values"]))
 
-    def argmax(self, key: str) -> Column:
-        return let(F.from_json(self.text(key), VECTOR), lambda x: vectors.argmax_index(x["indices"], x["values"]))
-
-    def dense(self, key: str) -> Column:
-        def cells(x: Column) -> Column:
-            n = F.coalesce(x["size"], F.size(x["values"]))
-            given = F.transform(x["values"], lambda v: v.cast("double"))
-            placed = let(
-                F.map_from_arrays(x["indices"], given),
-                lambda m: F.transform(
-                    F.sequence(F.lit(0), n - F.lit(1)), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0))
-                ),
+        def dense(e: Column) -> Column:
+            return F.coalesce(let(F.from_json(text(e), VECTOR), _dense_cells), F.array().cast("array<double>"))
+
+        def int_tags(e: Column) -> Column:
+            return _export(_float(vectors.tag_hash_sum(scalars.json_int_map(text(e)), lambda t: t)))
+
+        def text_tags(e: Column) -> Column:
+            tags = scalars.json_string_map(text(e))
+            return _export(
+                _float(
+                    vectors.tag_hash_sum(tags, lambda t: hashing.bucket_abs_of_mod(hashing.java_hash(t), e["buckets"]))
+                )
             )
-            return F.when(F.coalesce(F.size(x["indices"]), F.lit(0)) == 0, given).otherwise(placed)
 
-        return F.coalesce(let(F.from_json(self.text(key), VECTOR), cells), F.array().cast("array<double>"))
+        def rt_tags(e: Column) -> Column:
+            return _float(vectors.map_to_sparse(scalars.json_int_map(text(e)), k.TAG_SIZE))
+
+        kinds = {
+            "text": (("key",), text),
+            "int": (("key",), lambda e: scalars.lenient_int(text(e))),
+            "nullable_int": (("key",), lambda e: number(e).try_cast("int")),
+            "double": (("key",), lambda e: scalars.lenient_double(text(e))),
+            "nullable_double": (("key",), number),
+            "guarded": (("key",), lambda e: scalars.guarded_double(text(e))),
+            "seconds": (("key",), lambda e: scalars.seconds2(number(e))),
+            "vector": (("key", "default"), vector),
+            "argmax": (("key",), argmax),
+            "dense": (("key",), dense),
+            "int_tags": (("key",), int_tags),
+            "text_tags": (("key", "buckets"), text_tags),
+            "rt_tags": (("key",), rt_tags),
+            "launcher": (("key",), lambda e: sequences.tuple_sequence(text(e))),
+        }
+        self.families = {name: Family(f"{prefix}_{name}", *spec) for name, spec in kinds.items()}
+        self.cell = lambda key: F.try_element_at(cells, F.lit(key))
 
-    def int_tags(self, key: str) -> Column:
-        tags = scalars.json_int_map(self.text(key))
-        summed = vectors.tag_hash_sum(tags, lambda t: t)
-        return _export(_float(summed))
+    def __getattr__(self, name: str) -> Callable[..., Column]:
+        if name in self.__dict__.get("families", {}):
+            return self.families[name].pick
+        raise AttributeError(name)
 
-    def text_tags(self, key: str, buckets: int) -> Column:
-        tags = scalars.json_string_map(self.text(key))
-        summed = vectors.tag_hash_sum(tags, lambda t: hashing.bucket_abs_of_mod(hashing.java_hash(t), buckets))
-        return _export(_float(summed))
+    def columns(self) -> list[Column]:
+        return [f.build() for f in self.families.values() if f.entries]
 
-    def rt_tags(self, key: str) -> Column:
-        return _float(vectors.map_to_sparse(scalars.json_int_map(self.text(key)), k.TAG_SIZE))
 
-    def number(self, key: str) -> Column:
-        return self.text(key).try_cast("double")
+def _dense_cells(x: Column) -> Column:
+    given = F.transform(x["values"], lambda v: v.cast("double"))
+    n = F.coalesce(x["size"], F.size(x["values"]))
+    placed = let(
+        F.map_from_arrays(x["indices"], given),
+        lambda m: F.transform(
+            F.sequence(F.lit(0), n - F.lit(1)), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0))
+        ),
+    )
+    return F.when(F.coalesce(F.size(x["indices"]), F.lit(0)) == 0, given).otherwise(placed)
 
 
 def _export(pairs: Column) -> Column:
@@ -95,25 +140,38 @@ def _export(pairs: Column) -> Column:
 # ---------------------------------------------------------------- behaviour lists
 
 
-def _behaviour_key(kind: str) -> str:
-    return f"user_sl_feed_news_{kind}_fc_v2"
-
-
 def _launcher_key(kind: str, part: str) -> str:
     return f"user_smart_launcher_feed_news_{kind}_fc_news_{part}"
 
 
-READ_DURATION = "user_smart_launcher_feed_news_duration_fc_read_duration"
+def _parse_lists(requests: DataFrame) -> DataFrame:
+    """``lists``: the entries of the three behaviour lists, each parsed once"""
+    keys = F.array(*[F.lit(f"user_sl_feed_news_{kind}_fc_v2") for kind in k.SL2_KINDS])
 
+    def entries(key: Column) -> Column:
+        return sequences.behavior_entries(F.from_json(F.try_element_at("user", key), "array<string>"))
 
-def _parse_lists(requests: DataFrame) -> DataFrame:
-    user = _Side("user")
-    return requests.withColumns(
-        {
-            f"b_{kind}": sequences.behavior_entries(F.from_json(user.text(_behaviour_key(kind)), "array<string>"))
-            for kind in k.SL2_KINDS
-        }
-    )
+    return requests.withColumn("lists", F.transform(keys, entries))
+
+
+def _list_arrays() -> Column:
+    """``b``: per behaviour list its times, ids, durations and tokens as parallel arrays"""
+
+    def read(m: Column, name: str) -> Column:
+        return F.try_element_at(m, F.lit(name))
+
+    def tokens(m: Column, name: str) -> Column:
+        return F.transform(F.split(sequences.entry_value(m, name, k.TOP), "#"), lambda x: x.try_cast("int"))
+
+    def one(m: Column) -> Column:
+        return F.struct(
+            F.coalesce(read(m, "event_time").try_cast("bigint"), F.lit(None)).alias("t"),
+            read(m, "news_id").alias("id"),
+            F.coalesce(read(m, "read_duration").try_cast("double"), F.lit(0.0)).alias("d"),
+            *[tokens(m, name).alias(part) for part, name in k.SL2_TOKENS.items()],
+        )
+
+    return F.transform("lists", lambda entries: F.transform(entries, one))
 
 
 def _code_lists(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -125,9 +183,8 @@ def _code_lists(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
     keys = [
         F.struct(F.lit(part).alias("part"), F.lit(field).alias("feature")) for part, field in k.SL2_DICTIONARY.items()
     ]
-    kinds = [F.struct(F.lit(kind).alias("kind"), F.col(f"b_{kind}").alias("entries")) for kind in k.SL2_KINDS]
-    entries = parsed.select("request_id", F.explode(F.array(*kinds)).alias("l")).select(
-        "request_id", F.col("l.kind").alias("kind"), F.posexplode("l.entries").alias("pos", "m")
+    entries = parsed.select("request_id", F.posexplode("lists").alias("kind", "entries")).select(
+        "request_id", "kind", F.posexplode("entries").alias("pos", "m")
     )
     fields = entries.select("request_id", "kind", "pos", "m", F.explode(F.array(*keys)).alias("f")).select(
         "request_id", "kind", "pos", "f.part", "f.feature", F.try_element_at("m", F.col("f.feature")).alias("raw")
@@ -142,436 +199,454 @@ def _code_lists(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
     codes = dictionary.select("feature", "text", "code")
     coded = lookups.lookup_join(keyed, codes, ["feature", "text"], "left", spread=["request_id", "kind", "pos"])
 
-    def in_order(kind: str, part: str) -> Column:
+    def in_order(kind: int, part: str) -> Column:
         # a profile keeps a bounded number of entries, so this list is short
         own = F.when(
             (F.col("kind") == kind) & (F.col("part") == part),
             F.struct("pos", F.coalesce("code", F.lit(0)).alias("code")),
         )
-        return F.transform(F.array_sort(F.collect_list(own)), lambda e: e["code"])
+        return F.array_sort(F.collect_list(own)).getField("code")
 
     return coded.groupBy("request_id").agg(
-        *[in_order(kind, part).alias(f"codes_{kind}_{part}") for kind in k.SL2_KINDS for part in k.SL2_DICTIONARY]
+        *[in_order(n, part).alias(_code_column(kind, part)) for n, kind in enumerate(k.SL2_KINDS) for part in k.SL2_DICTIONARY]
     )
 
 
-def _list_columns() -> Columns:
-    """Compact arrays per behaviour list: times, ids, tokens, durations"""
-    out: Columns = {}
-    user = _Side("user")
-    for kind in k.SL2_KINDS:
-        entries = F.col(f"b_{kind}")
+def _code_column(kind: str, part: str) -> str:
+    return f"codes_{kind}_{part}"
 
-        def field(name: str, entries: Column = entries) -> Column:
-            return F.transform(entries, lambda m: F.try_element_at(m, F.lit(name)))
 
-        def tokens(name: str, entries: Column = entries) -> Column:
-            def one(m: Column) -> Column:
-                text = sequences.entry_value(m, name, k.TOP)
-                return F.transform(F.split(text, "#"), lambda x: x.try_cast("int"))
+def _behaviour(kind: str, field: str) -> Column:
+    return F.get(F.col("b"), F.lit(k.SL2_KINDS.index(kind))).getField(field)
 
-            return F.transform(entries, one)
 
-        out[f"t_{kind}"] = lambda f=field: F.transform(f("event_time"), lambda x: x.try_cast("bigint"))
-        out[f"id_{kind}"] = lambda f=field: f("news_id")
-        if kind == "duration":
-            out["d_duration"] = lambda f=field: F.transform(
-                f("read_duration"), lambda x: F.coalesce(x.try_cast("double"), F.lit(0.0))
-            )
-        for part, name in k.SL2_TOKENS.items():
-            out[f"tok_{kind}_{part}"] = lambda t=tokens, n=name: t(n)
-        for part in k.SL2_DICTIONARY:
-            out[f"c_{kind}_{part}"] = lambda c=f"codes_{kind}_{part}": F.coalesce(
-                F.col(c), F.array().cast("array<int>")
-            )
-    for kind in k.LAUNCHER_KINDS:
-        for part in ("id", *k.LAUNCHER_VALUES, *k.LAUNCHER_TOKENS):
-            out[f"l_{kind}_{part}"] = lambda key=_launcher_key(kind, part): sequences.tuple_sequence(user.text(key))
-    out["l_reads"] = lambda: F.transform(
-        sequences.tuple_sequence(user.text(READ_DURATION)),
-        lambda e: F.struct(
-            e["t"].alias("t"),
-            F.when(e["v"].contains("{"), F.get_json_object(e["v"], "$.duration"))
-            .otherwise(e["v"])
-            .try_cast("double")
-            .alias("d"),
-        ),
-    )
-    return out
+# ---------------------------------------------------------------- one training row
+
+
+class Plan:
+    """Collects what the asked columns need from each stage"""
+
+    def __init__(self, names: Sequence[str]):
+        self.user, self.item = Side("u", "user"), Side("i", "item")
+        self.user_scalars: dict[str, Column] = {}
+        self.item_scalars: dict[str, Column] = {}
+        self.needs: set[str] = set()
+        self.histories: dict[tuple[str, str], int] = {}
+        self.values: dict[tuple[str, str], int] = {}
+        self.tokens: dict[tuple[str, str], int] = {}
+        kinds = k.columns()
+        unknown = [n for n in names if n not in kinds]
+        if unknown:
+            raise KeyError(f"unknown training columns {unknown}")
+        makers = self._makers()
+        self.final = {n: makers[n]().cast(f"array<{kinds[n]}>") for n in names}
+
+    # -- stage access
+
+    def _user(self, name: str, value: Column) -> Column:
+        self.user_scalars[name] = value
+        return F.col(name)
+
+    def _item(self, name: str, value: Column) -> Column:
+        self.item_scalars[name] = value
+        return F.col(name)
+
+    def _req_ms(self) -> Column:
+        return self._user("req_ms", scalars.token_ms(self.user.cell("token")))
+
+    def _event_ms(self) -> Column:
+        return self._user("event_ms", self.user.cell("event_time").try_cast("bigint"))
 
+    def _behaviour(self, kind: str, field: str) -> Column:
+        self.needs.add("lists")
+        return _behaviour(kind, field)
 
-def _values(column: str) -> Column:
-    return F.transform(column, lambda e: e["v"])
-
-
-def _launcher_tokens(kind: str, part: str) -> Column:
-    return sequences.flatten_tokens(_values(f"l_{kind}_{part}"), k.TOKEN_LENGTH)
-
-
-# ---------------------------------------------------------------- stage columns
-
-
-def _user_columns() -> Columns:
-    u = _Side("user")
-    token, imei = u.text("token"), u.text("user_imei")
-    event_time = u.text("event_time").try_cast("bigint")
-    out: Columns = {
-        "rowkey": lambda: u.text("rowkey"),
-        "event_id": lambda: u.text("event_id"),
-        "token": lambda: token,
-        "user_imei": lambda: imei,
-        "experiment_rank_layer": lambda: hashing.experiment_bucket(imei, 100, k.EXPERIMENT_SALT),
-        "group_id": lambda: hashing.experiment_bucket(imei, 10_000),
-        "user_imei_hash": lambda: hashing.java_hash(imei),
-        "user_imei_hash_mod": lambda: hashing.bucket_abs_of_mod(hashing.java_hash(imei), 10_000_000),
-        "user_sale_month": lambda: scalars.device_age_months(event_time, scalars.lenient_long(u.text("user_sale_date"))),
-        "news_show_time": lambda: event_time.cast("string"),
-        "news_show_hour": lambda: scalars.hour_of(event_time, "Asia/Shanghai"),
-        "news_show_week_of_day": lambda: scalars.weekday_of(event_time, "Asia/Shanghai"),
-        "news_show_is_holiday": lambda: F.col("is_holiday"),
-        "source_pkg_name_code": lambda: F.col("_pkg_code"),
-        "req_ms": lambda: scalars.token_ms(token),
-        "event_ms": lambda: event_time,
-    }
-    out |= {n: lambda n=n: scalars.lenient_int(u.text(n)) for n in k.USER_INTS}
-    out |= {n: lambda n=n: u.number(n).try_cast("int") for n in k.USER_NULLABLE_INTS}
-    out |= {n: lambda n=n: scalars.lenient_double(u.text(n)) for n in k.USER_DOUBLES}
-    out |= {n: lambda n=n: u.number(n) for n in k.USER_NULLABLE_DOUBLES}
-    out |= {n: lambda n=n: scalars.seconds2(u.number(n)) for n in k.USER_SECONDS}
-    out |= {
-        f"user_{s}_ctr_30d": lambda s=s: scalars.ctr(
-            u.number(f"user_{s}_show_cnt_30d"), u.number(f"user_{s}_click_cnt_30d")
+    def _codes(self, kind: str, part: str) -> Column:
+        self.needs |= {"lists", "codes"}
+        return F.coalesce(F.col(_code_column(kind, part)), F.array().cast("array<int>"))
+
+    def _launcher(self, kind: str, part: str) -> Column:
+        return self.user.launcher(_launcher_key(kind, part))
+
+    def _launcher_ints(self, kind: str, part: str) -> Column:
+        values = self._launcher(kind, part).getField("v")
+        if part in k.LAUNCHER_TOKENS:
+            return sequences.flatten_tokens(values, k.TOKEN_LENGTH)
+        return F.coalesce(values.try_cast("array<int>"), values.cast("array<string>").try_cast("array<int>"))
+
+    # -- column makers
+
+    def _makers(self) -> dict[str, Callable[[], Column]]:
+        u, i, one = self.user, self.item, F.array
+        out: dict[str, Callable[[], Column]] = {}
+
+        def family(names: Sequence[str] | dict[str, str], pick: Callable[..., Column], whole: bool = False) -> None:
+            keyed = names if isinstance(names, dict) else {n: n for n in names}
+            for n, key in keyed.items():
+                out[n] = (lambda key=key: pick(key)) if whole else (lambda key=key: one(pick(key)))
+
+        family(k.USER_INTS, u.int)
+        family(k.USER_NULLABLE_INTS, u.nullable_int)
+        family(k.USER_DOUBLES, u.double)
+        family(k.USER_NULLABLE_DOUBLES, u.nullable_double)
+        family(k.USER_SECONDS, u.seconds)
+        family(k.USER_DENSE, u.dense, whole=True)
+        family(k.ITEM_INTS, i.int)
+        family(k.ITEM_NULLABLE_INTS, i.nullable_int)
+        family(k.ITEM_DOUBLES, i.double)
+        family(k.ITEM_GUARDED, i.guarded)
+        family(k.ITEM_NULLABLE_DOUBLES, i.nullable_double)
+        family(k.ITEM_SECONDS, i.seconds)
+        family(k.ITEM_DENSE, i.dense, whole=True)
+        family(("rowkey", "event_id", "token", "user_imei"), u.text)
+        family({"news_id": "newsId", "news_source": "news_source"}, i.text)
+        family(("news_source_level1", "news_source_level2"), i.int)
+        family({f"news_{n}category_v3_update": f"{n}_category_v3_update" for n in ("top", "sub", "third")}, i.argmax)
+        family(("news_topcategory_v3", "news_subcategory_v3"), i.argmax)
+        for name, pairs in self._pair_makers().items():
+            indices, values = k.pair_columns(name)
+            out[indices] = lambda p=pairs: vectors.indices_of(p())
+            out[values] = lambda p=pairs: vectors.values_of(p())
+        for s in k.SURFACES:
+            show, click = f"user_{s}_show_cnt_30d", f"user_{s}_click_cnt_30d"
+            out[f"user_{s}_ctr_30d"] = lambda a=show, b=click: one(scalars.ctr(u.nullable_double(a), u.nullable_double(b)))
+        for name, (a, b) in k.COSINES.items():
+            out[name] = lambda a=a, b=b: one(self._cosine(a, b))
+        out |= {n: lambda m=m: one(m()) for n, m in self._scalar_makers().items()}
+        out["recall_type"] = lambda: self._coded("recall_type")
+        out |= self._sequence_makers() | self._frequency_makers()
+        return out
+
+    def _scalar_makers(self) -> dict[str, Callable[[], Column]]:
+        u, i = self.user, self.item
+        imei, news_id = u.cell("user_imei"), i.cell("newsId")
+        event_ms = u.cell("event_time").try_cast("bigint")
+        sale = scalars.lenient_long(u.cell("user_sale_date"))
+        read = F.coalesce(i.cell("duration").try_cast("double"), F.lit(0.0))
+        video = F.coalesce(i.cell("video_duration").try_cast("double"), F.lit(0.0))
+        hash_user, hash_item = hashing.java_hash(imei), hashing.java_hash(news_id)
+        user = {
+            "experiment_rank_layer": lambda: hashing.experiment_bucket(imei, 100, k.EXPERIMENT_SALT),
+            "group_id": lambda: hashing.experiment_bucket(imei, 10_000),
+            "user_imei_hash": lambda: hash_user,
+            "user_imei_hash_mod": lambda: hashing.bucket_abs_of_mod(hash_user, 10_000_000),
+            "user_sale_month": lambda: scalars.device_age_months(event_ms, sale),
+            "news_show_time": lambda: event_ms.cast("string"),
+            "news_show_hour": lambda: scalars.hour_of(event_ms, "Asia/Shanghai"),
+            "news_show_week_of_day": lambda: scalars.weekday_of(event_ms, "Asia/Shanghai"),
+        }
+        item = {
+            "news_id_hash": lambda: hash_item,
+            "news_id_hash_mod": lambda: hashing.bucket_signed(hash_item, 1_000_000),
+            "clicked": lambda: i.cell("clicked").try_cast("double").try_cast("int"),
+            "news_position": lambda: scalars.safe_int(i.cell("news_position")),
+            "video_duration": lambda: scalars.clean_video(video),
+            "read_duration": lambda: scalars.clean_read_seconds(read),
+            "pcr": lambda: scalars.completion_rate(read, video),
+        }
+        out = {n: lambda n=n, m=m: self._user(n, m()) for n, m in user.items()}
+        out |= {n: lambda n=n, m=m: self._item(n, m()) for n, m in item.items()}
+        out |= {n: lambda n=n: self._coded(n) for n in ("news_show_is_holiday", "source_pkg_name_code", "news_source_encode")}
+        published = scalars.lenient_long(i.cell("news_publish_time"))
+        out["news_show_hour_duration"] = lambda: scalars.item_age_hours(
+            self._event_ms(), self._item("publish_ms", published)
         )
-        for s in k.SURFACES
-    }
-    out |= {n: lambda n=n: u.dense(n) for n in k.USER_DENSE}
-    out |= {f"p_{n}": lambda n=n: _float(u.vector(n)) for n in k.USER_VECTORS}
-    out["p_appsDurationVector"] = lambda: _float(u.vector("apps_duration"))
-    out["p_user_app_use_bert_vec"] = lambda: F.transform(
-        u.dense("user_app_use_bert_vec"), lambda x, i: F.struct(i.alias("i"), x.alias("v"))
-    )
-    out |= {f"p_{n}": lambda n=n: _float(u.vector(n, vectors.TOPIC_DEFAULT)) for n in k.USER_TOPICS}
-    out |= {f"p_{n}": lambda key=key: u.int_tags(key) for n, key in k.USER_INT_TAGS.items()}
-    out |= {f"p_{n}": lambda key=key, m=m: u.text_tags(key, m) for n, (key, m) in k.USER_TEXT_TAGS.items()}
-    out |= {f"p_{n}": lambda n=n: u.rt_tags(n) for n in k.USER_RT_TAGS}
-    for kind in k.LAUNCHER_KINDS:
-        for field, (_, size, drop) in k.HISTORY_VECTORS.items():
-            out[f"p_{k.history_name(kind, field)}"] = lambda kind=kind, f=field, n=size, d=drop: _history_pairs(
-                kind, f, n, d
+        for h, ms in HORIZONS.items():
+            out[f"sb_user_{h}_read_duration"] = lambda ms=ms: scalars.seconds2(self._read_total(ms))
+        return out
+
+    def _coded(self, name: str) -> Column:
+        """A column that a lookup join of its side computes"""
+        self.needs.add(name)
+        return F.col(name)
+
+    def _reads(self) -> Column:
+        self.user.launcher(READ_DURATION)
+        self.needs.add("reads")
+        return F.col("reads")
+
+    def _read_total(self, horizon: int) -> Column:
+        t = self._event_ms()
+        recent = F.filter(self._reads(), lambda e: (e["t"] < t) & (e["t"] > t - F.lit(horizon)))
+        return F.aggregate(recent, F.lit(0.0), lambda a, e: a + F.coalesce(e["d"], F.lit(0.0)))
+
+    def _pair_makers(self) -> dict[str, Callable[[], Column]]:
+        u, i, topic = self.user, self.item, vectors.TOPIC_DEFAULT
+        out: dict[str, Callable[[], Column]] = {n: lambda n=n: u.vector(n, 0) for n in k.USER_VECTORS}
+        out["appsDurationVector"] = lambda: u.vector("apps_duration", 0)
+        out |= {n: lambda n=n: u.vector(n, topic) for n in k.USER_TOPICS}
+        out |= {n: lambda key=key: u.int_tags(key) for n, key in k.USER_INT_TAGS.items()}
+        out |= {n: lambda key=key, m=m: u.text_tags(key, m) for n, (key, m) in k.USER_TEXT_TAGS.items()}
+        out |= {n: lambda n=n: u.rt_tags(n) for n in k.USER_RT_TAGS}
+        out |= {n: lambda key=key: i.vector(key, 0) for n, key in k.ITEM_VECTORS.items()}
+        out |= {n: lambda key=key: i.vector(key, topic) for n, key in k.ITEM_TOPICS.items()}
+        out |= {n: lambda key=key: i.int_tags(key) for n, key in k.ITEM_INT_TAGS.items()}
+        out |= {n: lambda key=key, m=m: i.text_tags(key, m) for n, (key, m) in k.ITEM_TEXT_TAGS.items()}
+        out["user_app_use_bert_vec"] = lambda: F.transform(
+            u.dense("user_app_use_bert_vec"), lambda x, n: F.struct(n.alias("i"), x.alias("v"))
+        )
+        for kind in k.LAUNCHER_KINDS:
+            for field in k.HISTORY_VECTORS:
+                out[k.history_name(kind, field)] = lambda kind=kind, f=field: self._history_pairs(kind, f)
+        return out
+
+    def _history_pairs(self, kind: str, field: str) -> Column:
+        self._launcher(kind, field)
+        return F.get(F.col("histories"), F.lit(self.histories.setdefault((kind, field), len(self.histories))))
+
+    def _cosine(self, user: str, item: str) -> Column:
+        makers = self._pair_makers()
+        a, b = makers[user](), makers[item]()
+        return vectors.cosine_sparse(
+            vectors.indices_of(a), vectors.values_of(a), vectors.indices_of(b), vectors.values_of(b)
+        )
+
+    def _sequence_makers(self) -> dict[str, Callable[[], Column]]:
+        out: dict[str, Callable[[], Column]] = {}
+        for name, (kind, length, fill) in k.padded().items():
+            values = self._sequence(name)
+            out[name] = lambda v=values, n=length, f=fill, t=kind: sequences.pad(v(), n, F.lit(f).cast(t))
+            if name != k.NO_LENGTH:
+                out[f"{name}_length"] = lambda v=values: F.array(F.size(v()))
+        return out
+
+    def _sequence(self, name: str) -> Callable[[], Column]:
+        if name == READ_DURATION:
+            return lambda: F.transform(self._reads(), lambda e: scalars.seconds2(e["d"]))
+        if name == "user_smart_launcher_feed_news_show_fc_action_flag":
+            return lambda: sequences.click_in_show(
+                self._launcher("show", "id").getField("v"), self._launcher("click", "id").getField("v")
             )
-    return out | _list_columns()
-
-
-def _history_pairs(kind: str, field: str, size: int, drop: int | None) -> Column:
-    """Occurrences per value of a launcher list"""
-    tokens = field in k.LAUNCHER_TOKENS
-    values = _launcher_tokens(kind, field) if tokens else _int_values(kind, field)
-    kept = F.filter(values, lambda x: (x < size) & (x != drop if drop is not None else F.lit(True)))
-    # the list is short: at most the feature length
-    counted = let(
-        F.array_sort(kept),
-        lambda a: F.transform(
-            F.array_distinct(a),
-            lambda x: F.struct(x.alias("i"), F.size(F.filter(a, lambda y: y == x)).cast("double").alias("v")),
-        ),
-    )
-    default = vectors.TOPIC_DEFAULT if field == "topic_top5" else 0
-    return vectors.sparse_or_default(counted, size, default)
-
-
-def _int_values(kind: str, field: str) -> Column:
-    return F.transform(_values(f"l_{kind}_{field}"), lambda x: F.coalesce(x.try_cast("int"), F.lit(0)))
-
-
-def _item_columns() -> Columns:
-    i = _Side("item")
-    news_id = i.text("newsId")
-    read = F.coalesce(i.number("duration"), F.lit(0.0))
-    video = F.coalesce(i.number("video_duration"), F.lit(0.0))
-    out: Columns = {
-        "news_id": lambda: news_id,
-        "news_id_hash": lambda: hashing.java_hash(news_id),
-        "news_id_hash_mod": lambda: hashing.bucket_signed(hashing.java_hash(news_id), 1_000_000),
-        "clicked": lambda: i.number("clicked").try_cast("int"),
-        "news_source_level1": lambda: scalars.lenient_int(i.text("news_source_level1")),
-        "news_source_level2": lambda: scalars.lenient_int(i.text("news_source_level2")),
-        "news_position": lambda: scalars.safe_int(i.text("news_position")),
-        "video_duration": lambda: scalars.clean_video(video),
-        "read_duration": lambda: scalars.clean_read_seconds(read),
-        "pcr": lambda: scalars.completion_rate(read, video),
-        "news_source": lambda: i.text("news_source"),
-        "news_source_encode": lambda: F.col("_source_code"),
-        "recall_type": lambda: F.col("_recall_codes"),
-        "publish_ms": lambda: scalars.lenient_long(i.text("news_publish_time")),
-    }
-    for name in ("top", "sub", "third"):
-        out[f"news_{name}category_v3_update"] = lambda n=name: i.argmax(f"{n}_category_v3_update")
-    for name in ("news_topcategory_v3", "news_subcategory_v3"):
-        out[name] = lambda n=name: i.argmax(n)
-    out |= {n: lambda n=n: scalars.lenient_int(i.text(n)) for n in k.ITEM_INTS}
-    out |= {n: lambda n=n: i.number(n).try_cast("int") for n in k.ITEM_NULLABLE_INTS}
-    out |= {n: lambda n=n: scalars.lenient_double(i.text(n)) for n in k.ITEM_DOUBLES}
-    out |= {n: lambda n=n: scalars.guarded_double(i.text(n)) for n in k.ITEM_GUARDED}
-    out |= {n: lambda key=key: i.number(key) for n, key in k.ITEM_NULLABLE_DOUBLES.items()}
-    out |= {n: lambda n=n: scalars.seconds2(i.number(n)) for n in k.ITEM_SECONDS}
-    out |= {n: lambda n=n: i.dense(n) for n in k.ITEM_DENSE}
-    out |= {f"p_{n}": lambda key=key: _float(i.vector(key)) for n, key in k.ITEM_VECTORS.items()}
-    out |= {f"p_{n}": lambda key=key: _float(i.vector(key, vectors.TOPIC_DEFAULT)) for n, key in k.ITEM_TOPICS.items()}
-    out |= {f"p_{n}": lambda key=key: i.int_tags(key) for n, key in k.ITEM_INT_TAGS.items()}
-    out |= {f"p_{n}": lambda key=key, m=m: i.text_tags(key, m) for n, (key, m) in k.ITEM_TEXT_TAGS.items()}
-    return out
+        for kind in k.SL2_KINDS:
+            part = name.removeprefix(f"user_sl2_feed_news_{kind}_fc_news_")
+            if part == "id":
+                return lambda: F.transform(
+                    self._behaviour(kind, "id"), lambda x: F.coalesce(hashing.java_hash(x), F.lit(0))
+                )
+            if part in k.SL2_TOKENS:
+                return lambda: F.slice(F.flatten(self._behaviour(kind, part)), 1, k.TOKEN_LENGTH)
+            if part != name:
+                return lambda: self._codes(kind, part)
+        for kind in k.LAUNCHER_KINDS:
+            part = name.removeprefix(f"user_smart_launcher_feed_news_{kind}_fc_news_")
+            if part == "id_string":
+                return lambda: self._launcher(kind, "id").getField("v")
+            if part == "id":
+                return lambda: F.transform(self._launcher(kind, "id").getField("v"), hashing.java_hash)
+            if part != name:
+                return lambda: self._launcher_ints(kind, part)
+        raise KeyError(name)
+
+    # -- frequency control
+
+    def _frequency_makers(self) -> dict[str, Callable[[], Column]]:
+        out: dict[str, Callable[[], Column]] = {}
+        for fields, places, column in (
+            (k.FREQUENCY_VALUES, self.values, "value_sums"),
+            (k.FREQUENCY_TOKENS, self.tokens, "token_sums"),
+        ):
+            for field in fields:
+                kinds = [("show", "s_times"), ("click", "c_times")]
+                if k.is_nv(field):
+                    kinds.append(("duration", "read_duration"))
+                for kind, tail in kinds:
+                    for n, h in enumerate(HORIZONS):
+                        stem = f"sl_news_{field}_{h}_{tail}"
+
+                        def at(f: str = field, kind: str = kind, n: int = n, places=places, column=column) -> Column:
+                            self._history_inputs(f, kind)
+                            place = places.setdefault((f, kind), len(places))
+                            return F.get(F.get(F.col(column), F.lit(place)), F.lit(n))
+
+                        if fields is k.FREQUENCY_VALUES:
+                            out[stem] = lambda at=at: F.array(at())
+                        else:
+                            out[f"{stem}_indices"] = lambda at=at: vectors.indices_of(at())
+                            out[f"{stem}_values"] = lambda at=at: vectors.values_of(at())
+        return out
+
+    def _history_inputs(self, field: str, kind: str) -> tuple[Column, Column, Column]:
+        """Times, values and durations of the list that a frequency field reads"""
+        tokens = field in k.FREQUENCY_TOKENS
+        part = (k.FREQUENCY_TOKENS if tokens else k.FREQUENCY_VALUES)[field][0]
+        if not k.is_nv(field):
+            entries = self._launcher(kind, part)
+            times, values = entries.getField("t"), entries.getField("v")
+            return times, values, F.array().cast("array<double>")
+        if tokens or part == "id":
+            values = self._behaviour(kind, part)
+        else:
+            values = self._codes(kind, part).cast("array<string>")
+        durations = self._behaviour(kind, "d") if kind == "duration" else F.array().cast("array<double>")
+        return self._behaviour(kind, "t"), values, durations
 
+    def value_sums(self) -> Column:
+        """array per (field, list) of sums per horizon, of entries with the item's value before the request"""
+        req = self._req_ms()
 
-# ---------------------------------------------------------------- features of both sides
+        def matched(t: Column, x: Column, d: Column, own: Column) -> Column:
+            return F.struct(t.alias("t"), x.alias("x"), d.alias("d"), own.cast("string").alias("own"))
 
+        inputs = [matched(*self._history_inputs(f, kind), self._own_value(f)) for f, kind in self.values]
 
-def _history(field: str, part: str, kind: str) -> tuple[list[str], Column]:
-    """The stage columns a frequency field reads, and its history as array<struct<t, x, d>>"""
-    nv = k.is_nv(field)
-    tokens = field in k.FREQUENCY_TOKENS
-    if not nv:
-        name = f"l_{kind}_{part}"
-        value = (lambda v: F.transform(F.split(v, "#"), lambda x: x.try_cast("int"))) if tokens else (
-            lambda v: v.try_cast("int")
-        )
-        entries = F.transform(name, lambda e: F.struct(e["t"].alias("t"), value(e["v"]).alias("x"), F.lit(0.0).alias("d")))
-        return [name], entries
-    values = f"tok_{kind}_{part}" if tokens else f"id_{kind}" if part == "id" else f"c_{kind}_{part}"
-    needs = [f"t_{kind}", values]
-    if kind == "duration":
-        needs.append("d_duration")
-        durations: Column = F.col("d_duration")
-    else:
-        durations = F.transform(f"t_{kind}", lambda _: F.lit(0.0))
-    zipped = F.zip_with(f"t_{kind}", values, lambda t, x: F.struct(t.alias("t"), x.alias("x")))
-    entries = F.zip_with(zipped, durations, lambda e, d: F.struct(e["t"].alias("t"), e["x"].alias("x"), d.alias("d")))
-    return needs, entries
-
-
-def _frequency_kinds(field: str) -> list[tuple[str, str]]:
-    return [("show", "s"), ("click", "c"), *([("duration", "d")] if k.is_nv(field) else [])]
-
-
-def _value_matches(field: str, kind: str) -> tuple[list[str], Column]:
-    """Earlier entries with the item's value as array<struct<age, d>>; only these are looked at per horizon"""
-    part, item = k.FREQUENCY_VALUES[field]
-    needs, entries = _history(field, part, kind)
-    hits = F.filter(entries, lambda e: (e["x"] == F.col(item)) & (e["t"] < F.col("req_ms")))
-    return [*needs, item, "req_ms"], F.transform(
-        hits, lambda e: F.struct((F.col("req_ms") - e["t"]).alias("age"), e["d"].alias("d"))
-    )
+        def hits(h: Column) -> Column:
+            def entry(t: Column, x: Column) -> Column:
+                return F.struct((req - t).alias("age"), x.alias("x"))
 
+            timed = F.zip_with(h["t"], h["x"], entry)
+            weighed = F.zip_with(
+                timed, h["d"], lambda e, d: F.struct(e["age"].alias("age"), e["x"].alias("x"), d.alias("d"))
+            )
+            return F.filter(weighed, lambda e: (e["x"] == h["own"]) & (e["age"] > 0))
+
+        return F.transform(F.array(*inputs), lambda h: let(hits(h), _sums_per_horizon))
+
+    def _own_value(self, field: str) -> Column:
+        item = k.FREQUENCY_VALUES[field][1]
+        if item == "news_id":
+            return self.item.text("newsId")
+        return self.item.argmax(item.replace("category", "_category") if item.endswith("_update") else item).cast("int")
+
+    def token_sums(self) -> Column:
+        """The same for items with several tokens: pairs of token and sum per horizon"""
+        req = self._req_ms()
+        pairs = self._pair_makers()
+        inputs = []
+        for field, kind in self.tokens:
+            _, item, size = k.FREQUENCY_TOKENS[field]
+            t, x, d = self._history_inputs(field, kind)
+            if not k.is_nv(field):
+                x = F.transform(x, lambda v: F.split(v, "#").try_cast("array<int>"))
+            own = vectors.indices_of(pairs[item]())
+            inputs.append(
+                F.struct(t.alias("t"), x.alias("x"), d.alias("d"), own.alias("own"), F.lit(size).alias("size"))
+            )
 
-def _token_matches(field: str, kind: str) -> tuple[list[str], Column]:
-    """Earlier tokens that the item has too, as array<struct<age, x, d>>"""
-    part, pairs, _ = k.FREQUENCY_TOKENS[field]
-    needs, entries = _history(field, part, kind)
-
-    def hits(own: Column) -> Column:
-        earlier = F.filter(entries, lambda e: e["t"] < F.col("req_ms"))
-        return F.flatten(
-            F.transform(
-                earlier,
-                lambda e: F.transform(
-                    F.filter(e["x"], lambda x: F.array_contains(own, x)),
-                    lambda x: F.struct((F.col("req_ms") - e["t"]).alias("age"), x.alias("x"), e["d"].alias("d")),
-                ),
+        def hits(h: Column) -> Column:
+            timed = F.zip_with(h["t"], h["x"], lambda t, x: F.struct((req - t).alias("age"), x.alias("x")))
+            weighed = F.zip_with(
+                timed, h["d"], lambda e, d: F.struct(e["age"].alias("age"), e["x"].alias("x"), d.alias("d"))
+            )
+            earlier = F.filter(weighed, lambda e: (e["age"] > 0) & F.arrays_overlap(e["x"], h["own"]))
+            return F.flatten(
+                F.transform(
+                    earlier,
+                    lambda e: F.transform(
+                        F.filter(e["x"], lambda x: F.array_contains(h["own"], x)),
+                        lambda x: F.struct(e["age"].alias("age"), x.alias("x"), e["d"].alias("d")),
+                    ),
+                )
             )
-        )
 
-    return [*needs, f"p_{pairs}", "req_ms"], let(vectors.indices_of(_pair(pairs)), hits)
+        return F.transform(F.array(*inputs), lambda h: let(hits(h), lambda m: _pairs_per_horizon(m, h["size"])))
 
 
-def _total(matches: Column, horizon: int, kind: str) -> Column:
-    recent = F.filter(matches, lambda m: m["age"] < horizon)
-    if kind != "d":
-        return F.size(recent).cast("double")
-    return F.aggregate(recent, F.lit(0.0), lambda a, m: a + m["d"])
+def _total(entries: Column) -> Column:
+    """Entries with a duration are summed, others counted"""
+    return F.aggregate(entries, F.lit(0.0), lambda a, e: a + F.coalesce(e["d"], F.lit(1.0)))
 
 
-def _token_pairs(field: str, kind: str, horizon: int) -> Column:
-    size = k.FREQUENCY_TOKENS[field][2]
-    recent = F.filter(f"m_{field}_{kind}", lambda m: m["age"] < horizon)
+def _sums_per_horizon(matches: Column) -> Column:
+    ms = F.array(*[F.lit(h) for h in HORIZON_MS])
+    return F.transform(ms, lambda h: _total(F.filter(matches, lambda e: e["age"] < h)))
 
-    def counted(r: Column) -> Column:
-        tokens = F.array_sort(F.array_distinct(F.transform(r, lambda m: m["x"])))
-        return F.transform(
-            tokens,
-            lambda x: F.struct(
-                x.alias("i"), _total(F.filter(r, lambda m: m["x"] == x), horizon, kind).alias("v")
-            ),
+
+def _pairs_per_horizon(matches: Column, size: Column) -> Column:
+    def counted(recent: Column) -> Column:
+        tokens = F.array_sort(F.array_distinct(recent.getField("x")))
+        entries = F.transform(
+            tokens, lambda x: F.struct(x.alias("i"), _total(F.filter(recent, lambda e: e["x"] == x)).alias("v"))
         )
+        return _float(vectors.sparse_or_default(entries, size))
 
-    return _float(vectors.sparse_or_default(let(recent, counted), size))
-
-
-class _Plan:
-    """What each stage has to hold for a set of asked columns"""
-
-    def __init__(self) -> None:
-        self.user, self.item = _user_columns(), _item_columns()
-        self.user_needed: dict[str, None] = {}
-        self.item_needed: dict[str, None] = {}
-        self.cross: Columns = {}
-        self.pair_cross: Columns = {}
-        self.final: dict[str, Column] = {}
-
-    def need(self, *names: str) -> None:
-        for name in names:
-            if name in self.item:
-                self.item_needed[name] = None
-            elif name in self.user:
-                self.user_needed[name] = None
-            else:
-                raise KeyError(f"no stage computes {name}")
-
-
-def _final_columns(plan: _Plan, wanted: Sequence[str]) -> None:
-    """Fill ``plan`` with the asked columns and what they read"""
-    kinds = k.columns()
-    pair_of = {c: (n, side) for n in (*k.user_pairs(), *k.item_pairs()) for side, c in enumerate(k.pair_columns(n))}
-    pads = k.padded()
-    frequency = k.frequency_columns()
-    for name in wanted:
-        if name not in kinds:
-            raise KeyError(f"unknown training column {name}")
-        if name in pair_of:
-            base, side = pair_of[name]
-            plan.need(f"p_{base}")
-            value = vectors.values_of(_pair(base)) if side else vectors.indices_of(_pair(base))
-        elif name in k.COSINES:
-            user, item = k.COSINES[name]
-            plan.need(f"p_{user}", f"p_{item}")
-            a, b = _pair(user), _pair(item)
-            value = F.array(
-                vectors.cosine_sparse(
-                    vectors.indices_of(a), vectors.values_of(a), vectors.indices_of(b), vectors.values_of(b)
-                )
-            )
-        elif name in frequency:
-            value = _frequency_column(plan, name)
-        elif name in pads or name.removesuffix("_length") in pads:
-            value = _padded_column(plan, name, pads)
-        elif name == "news_show_hour_duration":
-            plan.need("event_ms", "publish_ms")
-            value = F.array(scalars.item_age_hours(F.col("event_ms"), F.col("publish_ms")))
-        elif name.startswith("sb_user_") and name.endswith("_read_duration") and name not in k.USER_SECONDS:
-            plan.need("l_reads", "event_ms")
-            horizon = HORIZONS[name.removeprefix("sb_user_").removesuffix("_read_duration")]
-            value = F.array(scalars.seconds2(_read_total(horizon)))
-        else:
-            plan.need(name)
-            whole = name in k.USER_DENSE or name in k.ITEM_DENSE or name == "recall_type"
-            value = F.col(name) if whole else F.array(name)
-        plan.final[name] = value.cast(f"array<{kinds[name]}>")
-
-
-def _read_total(horizon: int) -> Column:
-    t = F.col("event_ms")
-    recent = F.filter("l_reads", lambda e: (e["t"] < t) & (e["t"] > t - F.lit(horizon)))
-    return F.aggregate(recent, F.lit(0.0), lambda a, e: a + F.coalesce(e["d"], F.lit(0.0)))
-
-
-def _frequency_column(plan: _Plan, name: str) -> Column:
-    for field in (*k.FREQUENCY_VALUES, *k.FREQUENCY_TOKENS):
-        for list_kind, kind in _frequency_kinds(field):
-            tail = "read_duration" if kind == "d" else f"{kind}_times"
-            for h, ms in HORIZONS.items():
-                stem = f"sl_news_{field}_{h}_{tail}"
-                match = f"m_{field}_{kind}"
-                if name == stem:
-                    needs, matches = _value_matches(field, list_kind)
-                    plan.need(*needs)
-                    plan.cross[match] = lambda m=matches: m
-                    return F.array(_total(F.col(match), ms, kind))
-                if name in (f"{stem}_indices", f"{stem}_values"):
-                    needs, matches = _token_matches(field, list_kind)
-                    plan.need(*needs)
-                    plan.cross[match] = lambda m=matches: m
-                    pairs = f"p_{stem}"
-                    plan.pair_cross[pairs] = lambda f=field, kd=kind, x=ms: _token_pairs(f, kd, x)
-                    return (vectors.indices_of if name.endswith("_indices") else vectors.values_of)(F.col(pairs))
-    raise KeyError(name)
-
-
-def _padded_column(plan: _Plan, name: str, pads: dict) -> Column:
-    base = name if name in pads else name.removesuffix("_length")
-    needs, values = _sequence_values(base)
-    plan.need(*needs)
-    if name != base:
-        return F.array(F.size(values))
-    kind, length, fill = pads[base]
-    return sequences.pad(values, length, F.lit(fill).cast(kind))
-
-
-def _sequence_values(base: str) -> tuple[list[str], Column]:
-    if base == READ_DURATION:
-        return ["l_reads"], F.transform("l_reads", lambda e: scalars.seconds2(e["d"]))
-    if base == "user_smart_launcher_feed_news_show_fc_action_flag":
-        return ["l_show_id", "l_click_id"], sequences.click_in_show(_values("l_show_id"), _values("l_click_id"))
-    for kind in k.SL2_KINDS:
-        part = base.removeprefix(f"user_sl2_feed_news_{kind}_fc_news_")
-        if part == base:
-            continue
-        if part == "id":
-            return [f"id_{kind}"], F.transform(f"id_{kind}", lambda x: F.coalesce(hashing.java_hash(x), F.lit(0)))
-        if part in k.SL2_TOKENS:
-            return [f"tok_{kind}_{part}"], F.slice(F.flatten(f"tok_{kind}_{part}"), 1, k.TOKEN_LENGTH)
-        return [f"c_{kind}_{part}"], F.col(f"c_{kind}_{part}")
-    for kind in k.LAUNCHER_KINDS:
-        part = base.removeprefix(f"user_smart_launcher_feed_news_{kind}_fc_news_")
-        if part == base:
-            continue
-        if part == "id_string":
-            return [f"l_{kind}_id"], _values(f"l_{kind}_id")
-        if part == "id":
-            return [f"l_{kind}_id"], F.transform(_values(f"l_{kind}_id"), hashing.java_hash)
-        if part in k.LAUNCHER_TOKENS:
-            return [f"l_{kind}_{part}"], _launcher_tokens(kind, part)
-        return [f"l_{kind}_{part}"], _int_values(kind, part)
-    raise KeyError(base)
+    ms = F.array(*[F.lit(h) for h in HORIZON_MS])
+    return F.transform(ms, lambda h: let(F.filter(matches, lambda e: e["age"] < h), counted))
 
 
 # ---------------------------------------------------------------- assembly
 
 
-def _user_stage(plan: _Plan, requests: DataFrame, dictionary: DataFrame, calendar: DataFrame) -> DataFrame:
-    needed = list(plan.user_needed)
-    u = _Side("user")
+def _history_family(plan: Plan) -> Column:
+    """Occurrences per value of the launcher lists"""
+    inputs = []
+    for kind, field in plan.histories:
+        _, size, drop = k.HISTORY_VECTORS[field]
+        default = vectors.TOPIC_DEFAULT if field == "topic_top5" else 0
+        inputs.append(
+            F.struct(
+                plan._launcher_ints(kind, field).alias("a"),
+                F.lit(size).alias("size"),
+                F.lit(drop).cast("int").alias("drop"),
+                F.lit(default).alias("default"),
+            )
+        )
+
+    def one(e: Column) -> Column:
+        kept = F.filter(e["a"], lambda x: x.isNotNull() & ~x.eqNullSafe(e["drop"]))
+
+        # the list is short: at most the feature length
+        def counted(a: Column) -> Column:
+            return F.transform(
+                F.array_distinct(a),
+                lambda x: F.struct(x.alias("i"), F.size(F.filter(a, lambda y: y == x)).cast("double").alias("v")),
+            )
+
+        return vectors.sparse_or_default(let(kept, counted), e["size"], e["default"])
+
+    return F.transform(F.array(*inputs), one).alias("histories")
+
+
+def _user_stage(plan: Plan, requests: DataFrame, dictionary: DataFrame, calendar: DataFrame) -> DataFrame:
+    cell = plan.user.cell
     out = requests.select("request_id", "user")
-    # history vectors read launcher lists that no other column may have asked for
-    lists = [n for n in plan.user if n.startswith("l_")]
-    histories = {f"p_{k.history_name(kind, f)}" for kind in k.LAUNCHER_KINDS for f in k.HISTORY_VECTORS}
-    if histories.intersection(needed):
-        needed += [n for n in lists if n not in needed]
-    if any(n.startswith(("t_", "id_", "tok_", "c_", "d_")) for n in needed):
+    kept = ["request_id"]
+    if "lists" in plan.needs:
         out = _parse_lists(out)
-        if any(n.startswith("c_") for n in needed):
-            out = out.join(_code_lists(out, dictionary), "request_id", "left")
-    if "news_show_is_holiday" in needed:
-        day = scalars.ms_to_ntz(u.text("event_time").try_cast("bigint"), "Asia/Shanghai").cast("date")
+        if "codes" in plan.needs:
+            codes = _code_lists(out, dictionary)
+            kept += [x for x in codes.columns if x != "request_id"]
+            out = out.join(codes, "request_id", "left")
+        out = out.withColumn("b", _list_arrays()).drop("lists")
+        kept.append("b")
+    if "news_show_is_holiday" in plan.needs:
+        day = scalars.ms_to_ntz(cell("event_time").try_cast("bigint"), "Asia/Shanghai").cast("date")
         out = lookups.holiday_lookup(out.withColumn("_day", day), calendar, "_day")
-    if "source_pkg_name_code" in needed:
-        named = out.withColumn("_pkg", u.text("source_pkg_name"))
-        out = lookups.dict_encode(named, dictionary, "source_pkg_name", "_pkg", "_pkg_code")
-    early = [n for n in needed if n in lists]
-    out = out.withColumns({n: plan.user[n]() for n in early})
-    rest = {n: plan.user[n]() for n in needed if n not in lists}
-    return out.select("request_id", *early, *[c.alias(n) for n, c in rest.items()])
-
-
-def _item_stage(plan: _Plan, items: DataFrame, dictionary: DataFrame) -> DataFrame:
-    needed = list(plan.item_needed)
-    i = _Side("item")
+        out = out.withColumnRenamed("is_holiday", "news_show_is_holiday")
+        kept.append("news_show_is_holiday")
+    if "source_pkg_name_code" in plan.needs:
+        named = out.withColumn("_pkg", cell("source_pkg_name"))
+        out = lookups.dict_encode(named, dictionary, "source_pkg_name", "_pkg", "source_pkg_name_code")
+        kept.append("source_pkg_name_code")
+    out = out.select(*kept, *plan.user.columns(), *[c.alias(n) for n, c in plan.user_scalars.items()])
+    if plan.histories:
+        out = out.select("*", _history_family(plan))
+    if "reads" in plan.needs:
+        out = out.withColumn("reads", _read_entries(plan.user.launcher(READ_DURATION)))
+    return out
+
+
+def _read_entries(entries: Column) -> Column:
+    def one(e: Column) -> Column:
+        text = F.when(e["v"].contains("{"), F.get_json_object(e["v"], "$.duration")).otherwise(e["v"])
+        return F.struct(e["t"].alias("t"), text.try_cast("double").alias("d"))
+
+    return F.transform(entries, one)
+
+
+def _item_stage(plan: Plan, items: DataFrame, dictionary: DataFrame) -> DataFrame:
+    cell = plan.item.cell
     out = items.select("sample_id", "request_id", "item")
-    if "recall_type" in needed:
-        pieces = out.select("sample_id", i.text("recall_type").alias("text"))
-        codes = lookups.multi_encode(pieces, dictionary, "feednews_recall_type", "text", "sample_id", "_recall_codes")
+    kept = ["sample_id", "request_id"]
+    if "recall_type" in plan.needs:
+        pieces = out.select("sample_id", cell("recall_type").alias("text"))
+        codes = lookups.multi_encode(pieces, dictionary, "feednews_recall_type", "text", "sample_id", "recall_type")
         out = out.join(codes, "sample_id", "left")
-    if "news_source_encode" in needed:
-        named = out.withColumn("_source", i.text("news_source"))
-        out = lookups.dict_encode(named, dictionary, "news_source", "_source", "_source_code")
-    return out.select("sample_id", "request_id", *[plan.item[n]().alias(n) for n in needed])
+        kept.append("recall_type")
+    if "news_source_encode" in plan.needs:
+        named = out.withColumn("_source", cell("news_source"))
+        out = lookups.dict_encode(named, dictionary, "news_source", "_source", "news_source_encode")
+        kept.append("news_source_encode")
+    return out.select(*kept, *plan.item.columns(), *[c.alias(n) for n, c in plan.item_scalars.items()])
 
 
 def assemble(
@@ -586,15 +661,15 @@ def assemble(
     ``requests``: request_id, user map<string,string>; ``items``: sample_id, request_id, item
     map<string,string>; ``dictionary``: feature, text, code; ``calendar``: d, is_holiday.
     """
-    plan = _Plan()
-    _final_columns(plan, list(columns if columns is not None else k.columns()))
+    plan = Plan(list(columns if columns is not None else k.columns()))
+    # built before the stages, because building them asks for stage columns
+    cross = []
+    if plan.values:
+        cross.append(plan.value_sums().alias("value_sums"))
+    if plan.tokens:
+        cross.append(plan.token_sums().alias("token_sums"))
     users = _user_stage(plan, requests, dictionary, calendar)
-    rows = skew_join(
-        _item_stage(plan, items, dictionary), users, "request_id", "inner", spread=["sample_id"]
-    )
-    kept = rows.columns
-    if plan.cross:
-        rows = rows.select(*kept, *[c().alias(n) for n, c in plan.cross.items()])
-    if plan.pair_cross:
-        rows = rows.select("*", *[c().alias(n) for n, c in plan.pair_cross.items()])
+    rows = skew_join(_item_stage(plan, items, dictionary), users, "request_id", "inner", spread=["sample_id"])
+    if cross:
+        rows = rows.select("*", *cross)
     return rows.select("sample_id", *[c.alias(n) for n, c in plan.final.items()])

@@ -1,6 +1,7 @@
 """Stand-in inputs derived from the given tables, as lazy DataFrames.
 
-``view_sql`` holds the same derivations as SQL. Every view reads its whole table.
+``view_sql`` holds the same derivations as SQL. Every view reads its whole table. Dictionaries and the
+calendar are lookup tables that a job finds ready, so they are written out once.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import DAY_MS, epoch_ms, epoch_us, int_div
 from ..operators import lookups, recall
+from ..session import materialize
 from ..sources import readers
 
 # fixed values of the stand-ins: rows per behaviour list, items per request
@@ -188,7 +190,7 @@ class Views:
 
     @cached_property
     def dictionary(self) -> DataFrame:
-        return lookups.build_dictionary(self.dict_texts)
+        return materialize(lookups.build_dictionary(self.dict_texts))
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -198,7 +200,7 @@ class Views:
             .union(self.table("events").select(F.col("ts").cast("date")))
             .distinct()
         )
-        return days.select("d", F.when(F.weekday("d") >= 5, 1).otherwise(0).alias("is_holiday"))
+        return materialize(days.select("d", F.when(F.weekday("d") >= 5, 1).otherwise(0).alias("is_holiday")))
 
     # ------------------------------------------------------------ requests
 
@@ -367,7 +369,8 @@ class Views:
             "news_source": F.concat(F.lit("src"), k % 6),
         }
         entry = [F.struct(F.lit(f).alias("feature"), t.alias("text")) for f, t in texts.items()]
-        return lookups.build_dictionary(self.event.select(F.explode(F.array(*entry)).alias("e")).select("e.*"))
+        rows = self.event.select(F.explode(F.array(*entry)).alias("e")).select("e.*")
+        return materialize(lookups.build_dictionary(rows))
 
     # ------------------------------------------------------------ CDC, keyed
 
