@@ -454,7 +454,8 @@ class Plan:
                         stem = f"sl_news_{field}_{h}_{tail}"
 
                         def at(f: str = field, kind: str = kind, n: int = n, places=places, column=column) -> Column:
-                            self._history_inputs(f, kind)
+                            if (f, kind) not in places:
+                                self._history_inputs(f, kind)  # asks for the stage columns
                             place = places.setdefault((f, kind), len(places))
                             return F.get(F.get(F.col(column), F.lit(place)), F.lit(n))
 

@@ -28,7 +28,7 @@ def csv(a: Column) -> Column:
 )
 def _(v: Views) -> DataFrame:
     scalars.register_sql_functions(v.spark)
-    a = v.table("documents").select("doc_id", F.call_function("string_to_array", c("text"), F.lit(r"[ \n]+")).alias("a"))
+    a = v.spread_table("documents").select("doc_id", F.call_function("string_to_array", c("text"), F.lit(r"[ \n]+")).alias("a"))
     return a.select("doc_id", F.size("a").cast("bigint").alias("pieces"), F.array_join("a", "|").alias("joined"))
 
 
@@ -37,7 +37,7 @@ def _(v: Views) -> DataFrame:
     f"SELECT doc_id, CAST({java_hash_sql('text')} AS INTEGER) AS h FROM documents",
 )
 def _(v: Views) -> DataFrame:
-    return v.table("documents").select("doc_id", hashing.java_hash(c("text")).alias("h"))
+    return v.spread_table("documents").select("doc_id", hashing.java_hash(c("text")).alias("h"))
 
 
 @query(

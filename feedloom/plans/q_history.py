@@ -58,7 +58,7 @@ def _(v: Views) -> DataFrame:
        FROM documents""",
 )
 def _(v: Views) -> DataFrame:
-    return v.table("documents").select("doc_id", scalars.dedupe_csv(F.col("text")).alias("ids"))
+    return v.spread_table("documents").select("doc_id", scalars.dedupe_csv(F.col("text")).alias("ids"))
 
 
 # ---------------------------------------------------------------- windows

@@ -41,12 +41,20 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def spread_table(self, name: str) -> DataFrame:
+        return readers.spread(self.table(name))
+
     # ------------------------------------------------------------ events
 
     @cached_property
     def event(self) -> DataFrame:
         return self.event_rows(self.table("events"))
 
+    @cached_property
+    def spread_event(self) -> DataFrame:
+        """The same rows for work that is heavy per row"""
+        return self.event_rows(self.spread_table("events"))
+
     @staticmethod
     def event_rows(events: DataFrame) -> DataFrame:
         return events.select(
@@ -118,7 +126,7 @@ class Views:
         return self._lists(behavior_json())
 
     def _lists(self, element: Column) -> DataFrame:
-        rows = self.event.select(int_div(F.col("seq"), SEQ_ROWS).alias("list_id"), "seq", element.alias("x"))
+        rows = self.spread_event.select(int_div(F.col("seq"), SEQ_ROWS).alias("list_id"), "seq", element.alias("x"))
         return rows.groupBy("list_id").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("seq", "x"))), lambda e: e["x"]).alias("entries")
         )
@@ -130,7 +138,7 @@ class Views:
 
     @cached_property
     def item(self) -> DataFrame:
-        return self.table("embeddings").select(
+        return self.spread_table("embeddings").select(
             F.col("vec_id").alias("item_id"),
             "label",
             F.transform("embedding", lambda x: x.cast("double")).alias("embedding"),
@@ -155,7 +163,7 @@ class Views:
         """Token counts of whole documents"""
         token = F.explode(F.split("text", "[ \t\n\r\f]+")).alias("tag")
         return (
-            self.table("documents")
+            self.spread_table("documents")
             .select("doc_id", token)
             .filter(F.col("tag") != "")
             .groupBy("doc_id", "tag")
@@ -356,7 +364,7 @@ class Views:
             ),
         }
         pairs = [x for name, value in cells.items() for x in (F.lit(name), value.cast("string"))]
-        return self.event.filter(F.col("event_type") == "view").select(
+        return self.spread_event.filter(F.col("event_type") == "view").select(
             F.col("seq").alias("sample_id"), F.col("user_id").alias("request_id"), F.create_map(*pairs).alias("item")
         )
 
@@ -376,7 +384,7 @@ class Views:
 
     @cached_property
     def cdc(self) -> DataFrame:
-        return self.table("orders").select(F.col("o_orderkey").alias("seq"), cdc_json().alias("value"))
+        return self.spread_table("orders").select(F.col("o_orderkey").alias("seq"), cdc_json().alias("value"))
 
     @cached_property
     def cdc_turn(self) -> DataFrame:

@@ -21,6 +21,8 @@ def build_session(app: str = "feedloom", cores: str | int = "*", shuffle: int |
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local tables: keep all cores busy instead of merging shuffles into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     if shuffle:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle))

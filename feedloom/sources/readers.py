@@ -41,6 +41,15 @@ def rowkey(user: Column, ms: Column, ttl_ms: int = KEYED_TTL_MS, buckets: int =
     return F.concat(bucket, second, F.lpad(F.substring(user, 1, 9), 9, "0"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with fewer splits than cores over all cores, for work that is heavy per row.
+
+    An input of any size has enough splits and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def resolve_source(kind: str) -> str:
     """'hbase' (keyed table) or 'hdfs' (day/hour folders), letter case ignored"""
     kind = kind.lower()
