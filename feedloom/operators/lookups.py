@@ -17,15 +17,13 @@ def build_dictionary(texts: DataFrame, prefix: int = 8) -> DataFrame:
     A text's code is its rank among the texts with the same first letters plus the number of texts with
     smaller first letters, so a large vocabulary is not numbered by one task.
     """
-    distinct = (
-        texts.select("feature", "text").distinct().withColumn("_block", F.substring(F.col("text"), 1, prefix))
-    )
+    known = texts.select("feature", "text").filter(F.col("text").isNotNull())
+    distinct = known.distinct().withColumn("_block", F.substring(F.col("text"), 1, prefix))
     offsets = block_offsets(distinct, ["feature"], "_block", {"_before": F.count(F.lit(1))}, F.sum)
     rank = F.row_number().over(Window.partitionBy("feature", "_block").orderBy("text"))
     code = (F.col("_rank") + F.coalesce("_before", F.lit(0))).cast("int").alias("code")
     return (
-        distinct.filter(F.col("text").isNotNull())
-        .withColumn("_rank", rank)
+        distinct.withColumn("_rank", rank)
         .join(offsets, ["feature", "_block"])
         .select("feature", "text", code)
     )

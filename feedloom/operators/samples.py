@@ -158,7 +158,7 @@ def prebatch_pack(
     arrays = {f.name for f in df.schema.fields if f.dataType.typeName() == "array"}
     # both aggregates are on the window's partitioning, so nothing is shuffled again
     packed = placed.groupBy("part", "grp").agg(
-        F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list(F.struct(seq, *features))).alias("_rows")
+        F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list(F.struct(F.col(seq).alias("_seq"), *features))).alias("_rows")
     )
 
     def gathered(name: str) -> Column:
