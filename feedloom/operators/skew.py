@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_CHARS = 64_000_000
-HOT_KEYS = 1000
+HOT_KEYS = 100_000
+HOT_ROWS = 1_000_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS) -> bool:
@@ -35,35 +36,44 @@ def lookup_join(
     return skew_join(fact, dim, keys, how, **skew)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows.
+
+    At most the ``HOT_KEYS`` heaviest, so the list may be broadcast whatever the data: a key that is not on
+    it has under 1/HOT_KEYS of the rows. The count is combined on the map side.
+    """
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > hot_rows)
+        .orderBy(F.desc("_n"), *keys)
+        .limit(HOT_KEYS)
+        .select(*keys)
+    )
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    hot_rows: int = 1_000_000,
+    hot_rows: int = HOT_ROWS,
     salts: int = 64,
     spread: Sequence[str] | None = None,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join where the rows of hot left keys are spread over ``salts`` tasks.
 
     Only keys with more than ``hot_rows`` left rows get salted, and only their right rows are repeated.
-    At most ``HOT_KEYS`` keys are salted: the next key below them has under 1/HOT_KEYS of the rows, so the
-    list of hot keys is small by construction. ``spread`` names the left columns that tell rows apart; the
-    salt is a hash of them, so a retried task gives a row the same salt again.
+    ``spread`` names the left columns that tell rows apart; the salt is a hash of them, so a retried task gives a row the same salt again. ``count_from`` is what the
+    keys are counted on when ``left`` is expensive to compute and has the same keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"the right side is repeated, so {how!r} would repeat its unmatched rows")
     keys = [on] if isinstance(on, str) else list(on)
     if spread is None:
         spread = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
-    hot = (
-        left.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(salts).alias("_fan"))
-    )
+    hot = hot_keys(left if count_from is None else count_from, keys, hot_rows).withColumn("_fan", F.lit(salts))
     fan = F.coalesce(F.col("_fan"), F.lit(1))
     salted_left = (
         left.join(F.broadcast(hot), keys, "left")

@@ -640,7 +640,7 @@ def _item_stage(plan: Plan, items: DataFrame, dictionary: DataFrame) -> DataFram
     kept = ["sample_id", "request_id"]
     if "recall_type" in plan.needs:
         pieces = out.select("sample_id", cell("recall_type").alias("text"))
-        codes = lookups.multi_encode(pieces, dictionary, "feednews_recall_type", "text", "sample_id", "recall_type")
+        codes = lookups.multi_encode(pieces, dictionary, "recall_type", "text", "sample_id", "recall_type")
         out = out.join(codes, "sample_id", "left")
         kept.append("recall_type")
     if "news_source_encode" in plan.needs:
@@ -654,13 +654,14 @@ def assemble(
     requests: DataFrame,
     items: DataFrame,
     dictionary: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Training rows: ``sample_id`` and the asked columns, all of them by default.
 
     ``requests``: request_id, user map<string,string>; ``items``: sample_id, request_id, item
-    map<string,string>; ``dictionary``: feature, text, code; ``calendar``: d, is_holiday.
+    map<string,string>; ``dictionary``: feature, text, code; ``calendar``: d, is_holiday, for the holiday
+    column only.
     """
     plan = Plan(list(columns if columns is not None else k.columns()))
     # built before the stages, because building them asks for stage columns
@@ -670,7 +671,9 @@ def assemble(
     if plan.tokens:
         cross.append(plan.token_sums().alias("token_sums"))
     users = _user_stage(plan, requests, dictionary, calendar)
-    rows = skew_join(_item_stage(plan, items, dictionary), users, "request_id", "inner", spread=["sample_id"])
+    rows = skew_join(
+        _item_stage(plan, items, dictionary), users, "request_id", "inner", spread=["sample_id"], count_from=items
+    )
     if cross:
         rows = rows.select("*", *cross)
     return rows.select("sample_id", *[c.alias(n) for n, c in plan.final.items()])

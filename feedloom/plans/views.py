@@ -373,7 +373,7 @@ class Views:
         k = F.col("k")
         texts = {
             "news_category_v3": F.concat(F.lit("c"), k % 15),
-            "feednews_recall_type": F.concat(F.lit("2"), k % 8),
+            "recall_type": F.concat(F.lit("2"), k % 8),
             "news_source": F.concat(F.lit("src"), k % 6),
         }
         entry = [F.struct(F.lit(f).alias("feature"), t.alias("text")) for f, t in texts.items()]

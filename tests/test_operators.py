@@ -57,7 +57,8 @@ def test_lookup_join_has_a_way_beyond_the_size_limit(hot):
 # ---------------------------------------------------------------- horizons
 
 
-def test_horizon_sums_against_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [0, 150, 10_000])
+def test_horizon_sums_against_brute_force(spark, hot_rows):
     rng = random.Random(1)
     hist = [(rng.randrange(3), rng.randrange(1, 400) * 1000, rng.randrange(5)) for _ in range(400)]
     asked = [(i, rng.randrange(4), rng.randrange(1, 400) * 1000) for i in range(200)]
@@ -65,7 +66,7 @@ def test_horizon_sums_against_brute_force(spark):
     got = history.horizon_sums(
         spark.createDataFrame(asked, "id int, u int, at bigint"),
         spark.createDataFrame(hist, "u int, t bigint, n int"),
-        ["u"], "at", "t", ["n"], horizons, block_ms=7_000,
+        ["u"], "at", "t", ["n"], horizons, block_ms=7_000, hot_rows=hot_rows,
     )
     want = [
         (i, *[sum(n for hu, t, n in hist if hu == u and at - h < t < at) for h in horizons.values()])
@@ -77,7 +78,7 @@ def test_horizon_sums_against_brute_force(spark):
 def test_horizon_bounds_are_strict(spark):
     hist = spark.createDataFrame([(1, t, 1) for t in (100, 150, 200)], "u int, t bigint, n int")
     asked = spark.createDataFrame([(0, 1, 200)], "id int, u int, at bigint")
-    got = history.horizon_sums(asked, hist, ["u"], "at", "t", ["n"], {"h": 100, "g": 101}, block_ms=30)
+    got = history.horizon_sums(asked, hist, ["u"], "at", "t", ["n"], {"h": 100, "g": 101}, block_ms=30, hot_rows=0)
     assert rows(got, "h_n", "g_n") == [(1, 2)]
 
 
