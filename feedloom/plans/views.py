@@ -198,7 +198,7 @@ class Views:
 
     @cached_property
     def dictionary(self) -> DataFrame:
-        return materialize(lookups.build_dictionary(self.dict_texts))
+        return materialize(lookups.build_dictionary(self.dict_texts), "dictionary")
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -208,7 +208,7 @@ class Views:
             .union(self.table("events").select(F.col("ts").cast("date")))
             .distinct()
         )
-        return materialize(days.select("d", F.when(F.weekday("d") >= 5, 1).otherwise(0).alias("is_holiday")))
+        return materialize(days.select("d", F.when(F.weekday("d") >= 5, 1).otherwise(0).alias("is_holiday")), "calendar")
 
     # ------------------------------------------------------------ requests
 
@@ -378,7 +378,7 @@ class Views:
         }
         entry = [F.struct(F.lit(f).alias("feature"), t.alias("text")) for f, t in texts.items()]
         rows = self.event.select(F.explode(F.array(*entry)).alias("e")).select("e.*")
-        return materialize(lookups.build_dictionary(rows))
+        return materialize(lookups.build_dictionary(rows), "dictionary")
 
     # ------------------------------------------------------------ CDC, keyed
 
