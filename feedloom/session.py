@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_MADE: list[tuple[SparkSession, str]] = []
 
 
 def build_session(app: str = "feedloom", cores: str | int = "*", shuffle: int | None = None) -> SparkSession:
@@ -32,30 +33,54 @@ def build_session(app: str = "feedloom", cores: str | int = "*", shuffle: int |
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may go without: there every
-    task runs in the driver process, so a fresh temporary folder is shared by definition.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset (tests, bench) it is a folder below the
+    session's warehouse, which Spark's own tables need to be shared as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if sc.applicationId not in _LOCAL_DIRS:
-        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="feedloom-")
-    return _LOCAL_DIRS[sc.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one, one per call."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one, one per call; it is removed when the program ends (``release``)."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(release)
+    _MADE.append((spark, path))
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that Spark uses for it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
+
+
+def release() -> None:
+    """Remove the work folders of sessions that still run; results read from them have to be written by then."""
+    while _MADE:
+        spark, path = _MADE.pop()
+        if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+            delete_path(spark, path)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a result to the shared folder and go on from there.
 
-    It is computed once, its lineage ends, and a lost executor does not lose it.
+    It is computed once, its lineage ends, and a lost executor does not lose it. The shuffle files of the job are
+    dropped as soon as the table is there.
     """
-    path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
