@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
 STRIP = " \t\n\x0b\x0c\r"
@@ -43,3 +47,27 @@ def salted_join(
     copies = F.when(F.col(weight) >= least, salts).otherwise(F.slice(salts, 1, 1))
     repeated = small.withColumn("_salt", F.explode(copies))
     return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into runs of rows with about ``size`` bytes of text, so that memory does not follow row counts"""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    """The batch with a column put last, instead of one of the same name"""
+    names = [n for n in batch.schema.names if n != name]
+    return pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [values], names=[*names, name])
+
+
+def schema_with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    """Schema of ``with_column`` results"""
+    return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, licenses, line_dedup, mixing
+from . import bpe, fingerprints, licenses, line_dedup, mixing, neighbors, secrets, simhash
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,18 +25,60 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = secrets.spans_text("spans", secrets.KINDS[:3])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(k) for k in secrets.KINDS],
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.spans_text("spans").alias("spans"),
+    )
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.by_document(licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op8_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbors.search(rows, F.col("vec_id") % 20 == 0)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES["op1_mixing"] = op1_mixing
 ORACLES["op1_mixing"] = mixing.SQL
 QUERIES["op2_line_dedup"] = op2_line_dedup
 ORACLES["op2_line_dedup"] = line_dedup.SQL
+QUERIES["op3_secrets"] = op3_secrets
 QUERIES["op5_fingerprints"] = op5_fingerprints
+QUERIES["op6_bpe"] = op6_bpe
 QUERIES["op7_licenses"] = op7_licenses
 ORACLES["op7_licenses"] = licenses.SQL
+QUERIES["op8_neighbors"] = op8_neighbors
+QUERIES["op9_simhash"] = op9_simhash
