@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, licenses, line_dedup, mixing, neighbors, secrets, simhash
+import corpus_pipeline
+
+from . import bpe, fingerprints, licenses, line_dedup, mixing, neighbors, secrets, simhash, suffixes, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +42,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, read(spark, sf_dir, "labels")).drop("text")
+    predicted = F.when(F.col("score") >= toxicity.REJECT, 1).otherwise(0)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -71,14 +80,27 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES["op1_mixing"] = op1_mixing
 ORACLES["op1_mixing"] = mixing.SQL
 QUERIES["op2_line_dedup"] = op2_line_dedup
 ORACLES["op2_line_dedup"] = line_dedup.SQL
 QUERIES["op3_secrets"] = op3_secrets
+QUERIES["op4_toxicity"] = op4_toxicity
 QUERIES["op5_fingerprints"] = op5_fingerprints
 QUERIES["op6_bpe"] = op6_bpe
 QUERIES["op7_licenses"] = op7_licenses
 ORACLES["op7_licenses"] = licenses.SQL
 QUERIES["op8_neighbors"] = op8_neighbors
 QUERIES["op9_simhash"] = op9_simhash
+QUERIES["op10_suffixes"] = op10_suffixes
+ORACLES["op10_suffixes"] = suffixes.SQL
+QUERIES["pipeline"] = pipeline
