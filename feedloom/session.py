@@ -83,4 +83,11 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a written table (a result of ``materialize``) that nothing will read again."""
+    delete_path(table.sparkSession, table.work_path)
