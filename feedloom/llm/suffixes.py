@@ -1,20 +1,22 @@
 """Suffix-array dedup: bytes covered by a long string that also starts in a document with a smaller id are removed.
 
 Two equal strings of ``length`` bytes have equal anchors: the grams of GRAM bytes whose hash is least among all grams of
-the string (leftmost among equals). So a text is cut into pieces, each the run of strings that share an anchor, and only
-pieces around the same gram can hold equal strings, at the same distance from it.
+the string (leftmost among equals). So a text is cut into pieces, each the run of strings that share an anchor. A piece is
+cut once more by whether its strings begin at least half of the possible distance before the anchor; all strings of one
+half have about 30 bytes around the anchor in common, the key. Only pieces with the same key can hold equal strings, at
+the same distance from the anchor.
 
-The pieces of a gram are a collection of short texts, and their suffixes are sorted by column-wise construction: the
+The pieces of a key are a collection of short texts, and their suffixes are sorted by column-wise construction: the
 texts are laid on each other at the anchor, and in each round, from the last column to the first, one symbol of every
 text is put before what has been read. The round's symbols, in the order of the suffixes read so far, are the collection's
 Burrows-Wheeler column; sorting them stably gives the order of the longer suffixes, and common prefixes are carried along
 as one more than the least common prefix between the two places of a symbol, or 0 where symbols differ. Suffixes that
 have a common prefix of ``length`` or more hold the same string; the smallest doc_id among them decides.
 
-On a cluster: grams are counted by (gram, smallest and largest doc_id), combined on the map side, and a Bloom filter of
-fixed size of the grams found in more than one document lets a second pass over the texts write only pieces that can
+On a cluster: keys are counted by (key, smallest and largest doc_id), combined on the map side, and a Bloom filter of
+fixed size of the keys found in more than one document lets a second pass over the texts write only pieces that can
 matter. Equal pieces become one row with the smallest doc_id before they are sorted. Sorted, shuffled runs on disk take
-the part of the sequential external files, and a task reads them in one pass, whole grams at a time. A gram with more than
+the part of the sequential external files, and a task reads them in one pass, whole keys at a time. A key with more than
 ``hot_pieces`` different pieces is not sorted by one task: its strings are compared by a plain aggregate.
 
 Cases: null text counts as empty; texts shorter than ``length`` lose nothing; repeats within a document or between rows
@@ -32,11 +34,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import salted_join, slices
 
 LENGTH = 50
-GRAM = 16
+GRAM = 8
 FILTER_BITS = 1 << 27
 HOT_PIECES = 100_000
 BATCH_PIECES = 50_000
@@ -59,10 +61,8 @@ def eights(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    """Hashes of GRAM = 16 bytes from every place on"""
-    low = eights(codes)
-    high = np.concatenate([low[8:], np.zeros(min(8, len(low)), np.uint64)])
+def mixed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of pairs of integers"""
     x = low * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
     x += high * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -72,6 +72,14 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
     return x
 
 
+def hash_of(grams: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of ``size`` bytes (at least eight) from each place on, from the eight bytes at every place"""
+    out = np.full(len(start), size, np.uint64)
+    for shift in [*range(0, size - 8, 8), size - 8]:
+        out = mixed(out, grams[start + shift])
+    return out
+
+
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
     """For every window of ``width`` values the offset of its leftmost least one; windows past the end are not given"""
     best, offset, have = values, np.zeros(len(values), np.uint8), 1
@@ -86,22 +94,31 @@ def least_places(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def pieces(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, length: int):
-    """Pieces of texts that stand one after the other: (text, start, anchor, strings, gram hash), places in ``codes``"""
+    """Pieces of texts that stand one after the other: (text, start, anchor, strings, key), places in ``codes``"""
     n = len(codes)
     if n < length:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty, empty
-    hashes = gram_hashes(codes)
-    offset = least_places(hashes[: n - GRAM + 1], length - GRAM + 1)
+    grams = eights(codes)
+    hashes = mixed(grams, np.uint64(1))
+    width = length - GRAM + 1
+    half = width // 2
+    offset = least_places(hashes[: n - GRAM + 1], width)
     place = np.arange(len(offset))
     anchor = place + offset
+    early = offset >= half  # begins far before the anchor
     text = np.repeat(np.arange(len(starts)), lengths)[: len(offset)]
     inside = place + length <= (starts + lengths)[text]
     first = inside.copy()
-    first[1:] &= ~inside[:-1] | (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+    first[1:] &= ~inside[:-1] | (anchor[1:] != anchor[:-1]) | (early[1:] != early[:-1]) | (text[1:] != text[:-1])
     begin = np.flatnonzero(first)
     count = np.add.reduceat(inside.astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
-    return text[begin], begin, anchor[begin], count, hashes[anchor[begin]].view(np.int64)
+    at, is_early = anchor[begin], early[begin]
+    key = np.empty(len(begin), np.uint64)
+    # what all strings of a half have in common: `half` bytes before the anchor, or what follows from the anchor on
+    key[is_early] = hash_of(grams, at[is_early] - half, half + GRAM)
+    key[~is_early] = hash_of(grams, at[~is_early], length - half + 1)
+    return text[begin], begin, at, count, key.view(np.int64)
 
 
 def laid_out(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,30 +133,30 @@ def laid_out(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 # ---------------------------------------------------------------- Bloom filter of fixed size
 
 
-def filter_places(grams: np.ndarray) -> list[np.ndarray]:
-    """Two places of each gram in the filter"""
+def filter_places(keys: np.ndarray) -> list[np.ndarray]:
+    """Two places of each key in the filter"""
     bits = FILTER_BITS.bit_length() - 1
-    values = grams.view(np.uint64)
+    values = keys.view(np.uint64)
     other = values * np.uint64(0xFF51AFD7ED558CCD)
     return [values >> np.uint64(64 - bits), other >> np.uint64(64 - bits)]
 
 
-def shared_grams(marked: DataFrame, length: int) -> np.ndarray:
-    """Filter (FILTER_BITS bits) of the grams that anchor pieces in more than one document.
+def shared_keys(marked: DataFrame, length: int) -> np.ndarray:
+    """Filter (FILTER_BITS bits) of the keys of pieces in more than one document.
 
     The driver gets the filter's words, whatever the data; when it fills up, more pieces are looked at, none is missed.
     """
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             codes, starts, lengths = laid_out(batch)
-            text, _, _, _, gram = pieces(codes, starts, lengths, length)
+            text, _, _, _, key = pieces(codes, starts, lengths, length)
             ids = batch.column("doc_id").take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([pa.array(gram), ids], names=["gram", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), ids], names=["key", "doc_id"])
 
-    seen = marked.select("doc_id", "text").mapInArrow(grams, "gram long, doc_id long")
-    both = seen.groupBy("gram").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    shared = materialize(both.filter(F.col("least") < F.col("most")).select("gram"), "grams")
+    seen = marked.select("doc_id", "text").mapInArrow(keys, "key long, doc_id long")
+    both = seen.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    shared = materialize(both.filter(F.col("least") < F.col("most")).select("key"), "shared_keys")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,21 +175,21 @@ def shared_grams(marked: DataFrame, length: int) -> np.ndarray:
 
 
 def shared_pieces(marked: DataFrame, length: int) -> DataFrame:
-    """(doc_id, mark, start, gram, ahead, piece): pieces whose gram anchors pieces of several documents.
+    """(doc_id, mark, start, key, ahead, piece): pieces whose key stands in several documents.
 
     ``start`` is the piece's place in its text and ``ahead`` how many bytes before its anchor it begins.
     """
-    held = marked.sparkSession.sparkContext.broadcast(shared_grams(marked, length))  # FILTER_BITS bits
+    held = marked.sparkSession.sparkContext.broadcast(shared_keys(marked, length))  # FILTER_BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
         for batch in slices(batches, "text", SLICE):
             codes, starts, lengths = laid_out(batch)
-            text, begin, anchor, count, gram = pieces(codes, starts, lengths, length)
-            wanted = np.ones(len(gram), bool)
-            for place in filter_places(gram):
+            text, begin, anchor, count, key = pieces(codes, starts, lengths, length)
+            wanted = np.ones(len(key), bool)
+            for place in filter_places(key):
                 wanted &= (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-            text, begin, anchor, count, gram = (x[wanted] for x in (text, begin, anchor, count, gram))
+            text, begin, anchor, count, key = (x[wanted] for x in (text, begin, anchor, count, key))
             if not len(text):
                 continue
             raw = codes.tobytes()
@@ -183,14 +200,14 @@ def shared_pieces(marked: DataFrame, length: int) -> DataFrame:
                     batch.column("doc_id").take(at),
                     batch.column("mark").take(at),
                     pa.array(begin - starts[text]),
-                    pa.array(gram),
+                    pa.array(key),
                     pa.array((anchor - begin).astype(np.int32)),
                     pa.array(cut, pa.binary()),
                 ],
-                names=["doc_id", "mark", "start", "gram", "ahead", "piece"],
+                names=["doc_id", "mark", "start", "key", "ahead", "piece"],
             )
 
-    kind = "doc_id long, mark long, start long, gram long, ahead int, piece binary"
+    kind = "doc_id long, mark long, start long, key long, ahead int, piece binary"
     return marked.select("doc_id", "mark", "text").mapInArrow(run, kind)
 
 
@@ -259,17 +276,17 @@ def smallest_holders(cut: list[bytes], ahead: np.ndarray, doc_id: np.ndarray, le
 
 
 def resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Distinct pieces sorted by gram -> (k1, k2, copies, holders); reads whole grams, about BATCH_PIECES at a time"""
+    """Distinct pieces sorted by key -> (k1, k2, copies, holders); reads whole keys, about BATCH_PIECES at a time"""
 
     def solved(table: pa.Table) -> pa.RecordBatch:
         cut = table.column("piece").to_pylist()
         ids = table.column("least").to_numpy().astype(np.int64)
-        gram = table.column("gram").to_numpy()
+        key = table.column("key").to_numpy()
         ahead = table.column("ahead").to_numpy().astype(np.int64)
-        change = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-        lone = np.repeat(np.diff(np.append(change, len(gram))) == 1, np.diff(np.append(change, len(gram))))
+        change = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        lone = np.repeat(np.diff(np.append(change, len(key))) == 1, np.diff(np.append(change, len(key))))
         out: list[np.ndarray] = [np.full(len(p) - length + 1, d) for p, d in zip(cut, ids)]
-        several = np.flatnonzero(~lone)  # a gram with one piece needs no sorting
+        several = np.flatnonzero(~lone)  # a key with one piece needs no sorting
         if len(several):
             found = smallest_holders([cut[i] for i in several], ahead[several], ids[several], length)
             for i, holders in zip(several.tolist(), found):
@@ -286,8 +303,8 @@ def resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         rows += batch.num_rows
         if rows >= BATCH_PIECES:
             table = pa.Table.from_batches(held).combine_chunks()
-            gram = table.column("gram").to_numpy()
-            last = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on
+            key = table.column("key").to_numpy()
+            last = int(np.searchsorted(key, key[-1]))  # the last key may go on
             if last:
                 yield solved(table.slice(0, last))
             held = table.slice(last).to_batches()
@@ -297,7 +314,7 @@ def resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 
 
 def hot_holders(hot: DataFrame, length: int) -> DataFrame:
-    """The same for grams with very many pieces: every string is a row, and the smallest doc_id a plain aggregate"""
+    """The same for keys with very many pieces: every string is a row, and the smallest doc_id a plain aggregate"""
     strings = F.transform(
         F.sequence(F.lit(1), F.length("piece") - F.lit(length - 1)),
         lambda i: F.struct(i.alias("at"), F.substring(F.col("piece"), i, F.lit(length)).alias("string")),
@@ -355,27 +372,33 @@ def cut_spans(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """(doc_id, mark, spans): runs of bytes of a text that are covered by strings found in smaller doc_ids"""
+    if length < 3 * GRAM:
+        raise ValueError(f"strings of at least {3 * GRAM} bytes")
     marked = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    key = [F.xxhash64("gram", "piece").alias("k1"), F.xxhash64(F.lit(1), "gram", "piece").alias("k2")]
-    found = materialize(shared_pieces(marked, length).select("*", *key), "pieces")
-    distinct = found.groupBy("gram", "ahead", "piece", "k1", "k2").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")
-    )
-    distinct = materialize(distinct, "distinct_pieces")
-    hot = materialize(distinct.groupBy("gram").count().filter(F.col("count") > hot_pieces).select("gram"), "hot_grams")
-    usual = distinct.join(hot, "gram", "left_anti").select("gram", "ahead", "piece", "k1", "k2", "least", "copies")
-    in_order = usual.repartition("gram").sortWithinPartitions("gram")
+    name = [F.xxhash64("key", "piece").alias("k1"), F.xxhash64(F.lit(1), "key", "piece").alias("k2")]
+    found = materialize(shared_pieces(marked, length), "pieces")
+    equal = found.groupBy("key", "ahead", "piece")
+    distinct = materialize(equal.agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "distinct")
+    hot = materialize(distinct.groupBy("key").count().filter(F.col("count") > hot_pieces).select("key"), "hot_keys")
+    usual = distinct.join(hot, "key", "left_anti")
+    in_order = usual.repartition("key").sortWithinPartitions("key").select("*", *name)
     kind = "k1 long, k2 long, copies long, holders array<long>"
     holders = in_order.mapInArrow(lambda b: resolve(b, length), kind)
     if not hot.isEmpty():
-        holders = holders.unionByName(hot_holders(distinct.join(hot, "gram", "left_semi"), length))
+        named = distinct.join(hot, "key", "left_semi").select("*", *name)
+        holders = holders.unionByName(hot_holders(named, length))
     holders = materialize(holders, "holders")
-    places = found.select("doc_id", "mark", "start", "k1", "k2")
+    discard(distinct)
+    places = found.select("doc_id", "mark", "start", *name)
     met = salted_join(places, holders, ["k1", "k2"], "copies", ["doc_id", "mark", "start"])
     runs = met.select("doc_id", "mark", "start", "holders").mapInArrow(
         lambda b: spans_of_pieces(b, length), "doc_id long, mark long, low long, high long"
     )
-    return runs.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    spans = runs.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    out = materialize(spans, "spans")
+    for table in (found, holders):
+        discard(table)
+    return out
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_PIECES) -> DataFrame:
@@ -418,12 +441,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_
 
 SQL = f"""
 WITH t AS (
-  SELECT row_number() OVER () AS row_no, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+  SELECT row_number() OVER () AS row_no, doc_id, encode(coalesce(text, '')) AS raw FROM documents
 ), s AS (
-  SELECT row_no, doc_id, pos, substr(digits, 2 * pos + 1, {2 * LENGTH}) AS string, substr(digits, 2 * pos + 1, 2) AS byte
-  FROM (SELECT *, unnest(range(length(digits) // 2)) AS pos FROM t)
+  SELECT row_no, doc_id, pos, raw[pos : pos + {LENGTH - 1}] AS string, raw[pos : pos] AS byte
+  FROM (SELECT *, unnest(range(1, octet_length(raw) + 1)) AS pos FROM t)
 ), l AS (
-  SELECT string, min(doc_id) AS holder FROM s WHERE length(string) = {2 * LENGTH} GROUP BY string
+  SELECT string, min(doc_id) AS holder FROM s WHERE octet_length(string) = {LENGTH} GROUP BY string
 ), m AS (
   SELECT row_no, pos, byte, max(CASE WHEN holder < doc_id THEN 1 END) OVER (
     PARTITION BY row_no ORDER BY pos ROWS BETWEEN {LENGTH - 1} PRECEDING AND CURRENT ROW) IS NOT NULL AS lost
@@ -433,6 +456,6 @@ WITH t AS (
 )
 SELECT t.doc_id, count(r.pos)::BIGINT AS n_bytes, count(*) FILTER (lost)::BIGINT AS n_removed,
   count(*) FILTER (starts)::BIGINT AS n_spans,
-  sha256(unhex(coalesce(string_agg(byte, '' ORDER BY pos) FILTER (NOT lost), ''))) AS kept_sha256
+  sha256(unhex(coalesce(string_agg(hex(byte), '' ORDER BY pos) FILTER (NOT lost), ''))) AS kept_sha256
 FROM t LEFT JOIN r USING (row_no) GROUP BY t.row_no, t.doc_id
 """
