@@ -35,7 +35,7 @@ from .components import components
 
 BITS = 64
 SEED = 42
-GROUP_ROWS = 4096
+GROUP_ROWS = 1024
 
 
 def simhash(text: str, words: int) -> int:
