@@ -105,6 +105,7 @@ class LineRuns:
 def repeated_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40, batches: int = 4) -> DataFrame:
     """(_h1, _h2, _docs, _last): the keys in at least ``min_docs`` documents and the largest id that holds them.
 
+    ``_docs`` counts until the key was settled, so it is at least ``min_docs`` and at most the number of documents.
     The table is read once: lines are counted by (batch, hash), combined on the map side, and written by batch.
     """
     spark = docs.sparkSession

@@ -34,8 +34,9 @@ WINDOW, STRIDE = 32, 24
 REJECT = 0.7
 TRIGRAMS = 4096
 REMEMBERED = 150_000
-# a word of fewer documents is known by its trigrams alone, so rare words are not learned by heart
-LEAST_DOCS, MOST_WORDS = 20, 30_000
+# a word in fewer than this share of the sample is known by its trigrams alone, so rare words are not learned by heart
+WORD_SHARE, MOST_WORDS = 1 / 180, 30_000
+BATCH, PASSES, LEAST_STEPS = 128, 3, 90
 
 # bounds of the training sample
 TOXIC_DOCS, CLEAN_DOCS, SAMPLE_CHARS = 1200, 2400, 20_000
@@ -230,7 +231,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = 8,
     """Fit the network to document labels"""
     words = [words_of(t) for t in texts]
     seen = Counter(w for doc in words for w in set(doc))
-    common = sorted((w for w, n in seen.items() if n >= LEAST_DOCS), key=lambda w: (-seen[w], w))[:MOST_WORDS]
+    least = max(2, int(len(texts) * WORD_SHARE))
+    common = sorted((w for w, n in seen.items() if n >= least), key=lambda w: (-seen[w], w))[:MOST_WORDS]
     network = Network({w: i + 1 for i, w in enumerate(common)})
     network.start(seed)
     listed = ["", *sorted({w for doc in words for w in doc})]  # number 0 is no word
@@ -246,8 +248,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = 8,
             chosen = chosen if len(chosen) else np.arange(len(index))
         else:
             chosen = hardest(network, listed, index, owner, labels, rng)
-        for _ in range(3):
-            for part in np.array_split(rng.permutation(chosen), max(1, len(chosen) // 128)):
+        steps = max(1, len(chosen) // BATCH)
+        for _ in range(max(PASSES, -(-LEAST_STEPS // steps))):
+            for part in np.array_split(rng.permutation(chosen), steps):
                 used, local = np.unique(index[part], return_inverse=True)
                 used = used if len(used) and used[0] == 0 else np.append(0, used)
                 local = local.reshape(-1, WINDOW) + (0 if 0 in index[part] else 1)
