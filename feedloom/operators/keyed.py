@@ -76,16 +76,15 @@ def check_and_delete(table: DataFrame, requests: DataFrame, key: str, check: str
     """Apply a delete of cell ``target`` only where cell ``check`` equals the request's ``expected``.
 
     A null ``expected`` asks for the cell to be absent. Returns the table with ``applied``: null for rows
-    nobody asked to delete from, else whether the delete took place.
+    nobody asked to delete from, else whether the delete took place. Of several requests for a key one that holds is
+    enough; they become one answer per key before they meet the table.
     """
-    asked = requests.select(key, "expected", F.lit(True).alias("_asked"))
-    out = lookup_join(table, asked, key, "left")
-    applied = F.when(F.col("_asked"), F.col(check).eqNullSafe(F.col("expected")))
-    return (
-        out.withColumn("applied", applied)
-        .withColumn(target, F.when(~F.coalesce("applied", F.lit(False)), F.col(target)))
-        .drop("expected", "_asked")
-    )
+    met = table.select(key, check).distinct().join(requests.select(key, "expected").distinct(), key)
+    answers = met.groupBy(key, check).agg(F.max(F.col(check).eqNullSafe(F.col("expected"))).alias("applied"))
+    own = answers.select(F.col(key).alias("_key"), F.col(check).alias("_check"), "applied")
+    same = (F.col(key) == F.col("_key")) & F.col(check).eqNullSafe(F.col("_check"))
+    out = table.join(own, same, "left").drop("_key", "_check")
+    return out.withColumn(target, F.when(~F.coalesce("applied", F.lit(False)), F.col(target)))
 
 
 def set_if_absent(df: DataFrame, name: str, field: str, value: str, seq: str) -> DataFrame:

@@ -52,9 +52,10 @@ def encode_sequence(
 ) -> DataFrame:
     """Code the keys of ``sequences.sequence_keys`` by a dictionary: array<struct<t,v>> per row.
 
-    The keys are taken out to rows, so that the dictionary may be of any size, and put back in place.
+    The keys are taken out to rows, so that the dictionary may be of any size, and put back in place. A row whose list
+    is empty or null gets an empty array.
     """
-    entries = df.select(row_id, F.posexplode(keys).alias("pos", "e"))
+    entries = df.select(row_id, F.posexplode_outer(keys).alias("pos", "e"))
     long = entries.select(
         row_id, "pos", F.col("e.t").alias("t"), F.posexplode_outer("e.keys").alias("rank", "key")
     )
@@ -66,7 +67,8 @@ def encode_sequence(
     per_entry = coded.groupBy(row_id, "pos", "t").agg(
         F.array_join(pad(tokens, take, F.lit(str(fill))), "#").alias("v")
     )
-    per_row = per_entry.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("pos", "t", "v"))).alias("_all"))
+    real = F.when(F.col("pos").isNotNull(), F.struct("pos", "t", "v"))
+    per_row = per_entry.groupBy(row_id).agg(F.array_sort(F.collect_list(real)).alias("_all"))
     return per_row.select(
         row_id, F.transform("_all", lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v"))).alias(name)
     )

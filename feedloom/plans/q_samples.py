@@ -127,17 +127,18 @@ def _(v: Views) -> DataFrame:
        CASE WHEN x % 3 <> 0 THEN (20 + x % 10) || '|3' ELSE '' END AS recall_type FROM v_turn""",
 )
 def _(v: Views) -> DataFrame:
-    items = v.wide.select("rowkey", F.explode(samples.qualifier_ids(c("cells"), "itemFeature")).alias("news_id"))
-    cells = v.wide.select("rowkey", F.explode("cells").alias("q", "text"))
-    prefix = "recommend_result_"
-    results = cells.filter(c("q").startswith(prefix)).select(
+    # an item's result is a cell of the same row
+    with_result = F.transform(
+        samples.qualifier_ids(c("cells"), "itemFeature"),
+        lambda i: F.struct(i.alias("id"), samples.item_cell(c("cells"), "recommend_result_", i).alias("text")),
+    )
+    items = v.wide.select("rowkey", F.explode(with_result).alias("i"))
+    return items.select(
         "rowkey",
-        F.substring("q", len(prefix) + 1, 1000).alias("news_id"),
-        F.get_json_object("text", "$.pctr").try_cast("double").alias("pctr"),
-        F.get_json_object("text", "$.recall_type").alias("recall_type"),
+        c("i.id").alias("news_id"),
+        F.coalesce(F.get_json_object("i.text", "$.pctr").try_cast("double"), F.lit(0.0)).alias("pctr"),
+        F.coalesce(F.get_json_object("i.text", "$.recall_type"), F.lit("")).alias("recall_type"),
     )
-    out = lookups.lookup_join(items, results, ["rowkey", "news_id"], "left")
-    return out.withColumns({"pctr": F.coalesce("pctr", F.lit(0.0)), "recall_type": F.coalesce("recall_type", F.lit(""))})
 
 
 GATED = """v_request r WHERE r.conv_id % 4 <> 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +58,29 @@ def _(v: Views) -> DataFrame:
     return _increasing(v, state.STATE_TTL_MS)
 
 
-@query("stream_state_ttl")
+@query(
+    "stream_state_ttl",
+    """SELECT seq, user_id, t FROM (SELECT *, max(t) OVER (PARTITION BY user_id, seq % 2 ORDER BY seq
+       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM v_wordtime) WHERE t > greatest(coalesce(top, 0), 0)""",
+)
 def _(v: Views) -> DataFrame:
-    return _increasing(v, 1)
+    """Even arrivals, a pause longer than the expiry, odd arrivals: these start without state"""
+    spark, source = v.spark, run_dir(v.spark, "ttl-source")
+    out, checkpoint = run_dir(spark, "ttl"), run_dir(spark, "ttl-checkpoint")
+    rows = v.event.select("seq", wordtime_text().alias("value"))
+
+    def take_in() -> None:
+        parsed = parsed_wordtime(readers.stream_files(spark, source, rows.schema))
+        kept = state.monotonic_filter(parsed, "user_id", "t", "seq", ttl_ms=500)
+        with jobs.without_idle_batches(spark):
+            jobs.drain(jobs.to_files(kept, out, checkpoint))
+
+    rows.filter(c("seq") % 2 == 0).write.parquet(source)
+    take_in()
+    time.sleep(1)
+    rows.filter(c("seq") % 2 == 1).write.mode("append").parquet(source)
+    take_in()
+    return spark.read.schema("seq bigint, user_id bigint, t bigint").parquet(out)
 
 
 @query(
@@ -66,10 +88,10 @@ def _(v: Views) -> DataFrame:
     "SELECT t_ms // 5000 * 5000 AS window_start_ms, user_id, count(*) AS n FROM v_event GROUP BY 1, 2",
 )
 def _(v: Views) -> DataFrame:
-    counts = jobs.tumbling_count(event_stream(v), ["user_id"], F.timestamp_millis("t_ms"), late="1 day")
     table = run_dir(v.spark, "counts")
-    jobs.drain(jobs.to_batches(counts, jobs.counts_sink(table), run_dir(v.spark, "counts-checkpoint"), mode="update"))
-    return jobs.read_counts(v.spark, table, ["user_id"])
+    sink = jobs.count_deltas_sink(table, ["user_id"], F.timestamp_millis("t_ms"))
+    jobs.drain(jobs.to_batches(event_stream(v), sink, run_dir(v.spark, "counts-checkpoint")))
+    return jobs.read_count_deltas(v.spark, table, ["user_id"])
 
 
 @query(

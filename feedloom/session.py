@@ -33,12 +33,14 @@ def build_session(app: str = "feedloom", cores: str | int = "*", shuffle: int |
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset (tests, bench) it is a folder below the
-    session's warehouse, which Spark's own tables need to be shared as well.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may go without (tests, bench): there it is a
+    folder below the session's warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 

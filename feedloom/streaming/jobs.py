@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import cdc, keyed
+from ..operators import cdc, keyed, windows
 from ..sources.writers import with_bucket
 
 
@@ -77,6 +77,20 @@ def tumbling_count(
     )
 
 
+def count_deltas_sink(
+    table: str, keys: Sequence[str], time: Column, width: str = "5 seconds"
+) -> Callable[[DataFrame, int], None]:
+    """Counts of each batch by window and key; ``read_count_deltas`` adds them up.
+
+    No watermark: a row counts in its window however late it comes, and no state is kept.
+    """
+    return lambda df, batch_id: write_batch(windows.tumbling_count(df, time, keys, width), table, batch_id)
+
+
+def read_count_deltas(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
+    return spark.read.parquet(table).groupBy("window_start_ms", *keys).agg(F.sum("n").alias("n"))
+
+
 def counts_sink(table: str) -> Callable[[DataFrame, int], None]:
     """Changed counts of each batch (update mode); ``read_counts`` takes the last of each window and key"""
     return lambda df, batch_id: write_batch(df, table, batch_id)

@@ -156,11 +156,22 @@ def test_check_and_delete(spark):
     table = spark.createDataFrame(
         [("a", "1", "x"), ("b", None, "x"), ("c", "2", "x"), ("d", "1", "x")], "k string, chk string, val string"
     )
-    asked = spark.createDataFrame([("a", "1"), ("b", None), ("c", "1")], "k string, expected string")
+    asked = spark.createDataFrame(
+        [("a", "1"), ("a", "2"), ("b", None), ("c", "1"), ("c", "3")], "k string, expected string"
+    )
     got = keyed.check_and_delete(table, asked, "k", "chk", "val")
     assert {tuple(r) for r in got.select("k", "val", "applied").collect()} == {
         ("a", None, True), ("b", None, True), ("c", "x", False), ("d", "x", None),
     }
+    assert got.count() == 4
+
+
+def test_an_empty_list_is_encoded_as_one(spark):
+    entry = "array<struct<t:bigint,keys:array<string>>>"
+    df = spark.createDataFrame([(1, [(5, ["a", "z"])]), (2, []), (3, None)], f"id int, keys {entry}")
+    codes = spark.createDataFrame([("f", "a", 7)], "feature string, text string, code int")
+    got = lookups.encode_sequence(df, codes, "id", "keys", "f", 2, "seq")
+    assert {r["id"]: [tuple(e) for e in r["seq"]] for r in got.collect()} == {1: [(5, "7#0")], 2: [], 3: []}
 
 
 def test_expiry(spark):

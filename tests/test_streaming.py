@@ -84,6 +84,18 @@ def test_processing_time_counts(spark):
     assert {(r["k"], r["n"]) for r in got.collect()} == {("a", 2), ("b", 1)}
 
 
+def test_late_files_count(spark):
+    source, table = run_dir(spark, "source"), run_dir(spark, "counts")
+    for day in (3, 2, 1):  # a file each, the latest first
+        rows = spark.range(100).select((F.lit(day * 86_400_000) + F.col("id") * 1000).alias("t"), F.lit("a").alias("k"))
+        rows.coalesce(1).write.mode("append").parquet(source)
+    stream = readers.stream_files(spark, source, "t bigint, k string", files_per_trigger=1)
+    sink = jobs.count_deltas_sink(table, ["k"], F.timestamp_millis("t"))
+    jobs.drain(jobs.to_batches(stream, sink, run_dir(spark, "checkpoint")))
+    got = jobs.read_count_deltas(spark, table, ["k"])
+    assert got.agg(F.sum("n")).first()[0] == 300 and got.count() == 60
+
+
 def test_console_sink(spark):
     rows = stream_of(spark, [("a",)], schema="k string")
     jobs.drain(jobs.to_console(rows, run_dir(spark, "checkpoint")))
