@@ -2,7 +2,9 @@
 
 A unit (a line, or a whole text of several lines) is normalised to lower-case letters and digits. A notice with a
 bigrams and a unit with b can reach a coefficient t only when t / (2 - t) <= a / b <= (2 - t) / t. So every notice is listed under the unit
-sizes it can match, and units meet that short list by their size; all others are dropped before their bigrams are made.
+sizes it can match, and units meet that short list by their size. A match also shares at least t / (2 - t) of the notice's
+bigrams, so it holds one of any few of them that are more than the rest; of those with the longest words one word each is
+listed, and units without any listed word are dropped before their bigrams are made.
 
 Cases: null and empty texts match nothing; units of one word have no bigrams and match nothing; repeated bigrams count
 once; a unit may match several notices; rows with the same doc_id are one document; an empty table gives no rows;
@@ -90,6 +92,13 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     return ceil(n * threshold / (2 - threshold) - 1e-9), floor(n * (2 - threshold) / threshold + 1e-9)
 
 
+def telling_words(pairs: list[str], threshold: float) -> set[str]:
+    """Words of which every text that reaches the threshold with these bigrams holds at least one"""
+    shared = ceil(len(pairs) * threshold / (2 - threshold) - 1e-9)
+    longest = sorted((max(p.split(), key=len) for p in pairs), key=lambda w: (-len(w), w))
+    return set(longest[: len(pairs) - shared + 1])
+
+
 def scan(docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per matching unit and notice: doc_id, unit (line number from 1, 0 for the whole text), license, dice;
     a document without matches has one row of nulls.
@@ -110,7 +119,9 @@ def scan(docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES, threshol
     units = F.concat(none, numbered, F.coalesce(whole, F.filter(none, lambda x: F.lit(False))))
     exploded = docs.select("doc_id", F.explode(units).alias("u"))
     split = exploded.select("doc_id", "u.unit", F.split(normalised("u.line"), " ").alias("words"))
-    large = split.filter((F.size("words") > least) | (F.col("unit") == -1))
+    telling = sorted(set().union(*(telling_words(pairs, threshold) for _, pairs in listed)))
+    told = F.arrays_overlap("words", F.array(*[F.lit(w) for w in telling]))
+    large = split.filter(((F.size("words") > least) & told) | (F.col("unit") == -1))
     sized = large.select("doc_id", "unit", bigrams(F.col("words")).alias("own")).withColumn("_n", F.size("own"))
     met = sized.join(F.broadcast(table), "_n", "left").filter(F.col("license").isNotNull() | (F.col("unit") == -1))
     common = F.size(F.array_intersect("own", "_pairs"))
