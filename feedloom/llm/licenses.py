@@ -3,8 +3,8 @@
 A unit (a line, or a whole text of several lines) is normalised to lower-case letters and digits. A notice with a
 bigrams and a unit with b can reach a coefficient t only when t / (2 - t) <= a / b <= (2 - t) / t. So every notice is listed under the unit
 sizes it can match, and units meet that short list by their size. A match also shares at least t / (2 - t) of the notice's
-bigrams, so it holds one of any few of them that are more than the rest; of those with the longest words one word each is
-listed, and units without any listed word are dropped before their bigrams are made.
+bigrams, so it holds one of any few of them that are more than the rest; those with the longest words are listed, and
+documents and units without a listed bigram are dropped by one search before they are normalised.
 
 Cases: null and empty texts match nothing; units of one word have no bigrams and match nothing; repeated bigrams count
 once; a unit may match several notices; rows with the same doc_id are one document; an empty table gives no rows;
@@ -13,6 +13,7 @@ other columns are not returned.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from math import ceil, floor
 
@@ -92,11 +93,19 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     return ceil(n * threshold / (2 - threshold) - 1e-9), floor(n * (2 - threshold) / threshold + 1e-9)
 
 
-def telling_words(pairs: list[str], threshold: float) -> set[str]:
-    """Words of which every text that reaches the threshold with these bigrams holds at least one"""
+def telling_pairs(pairs: list[str], threshold: float) -> set[str]:
+    """Bigrams, those of the longest words, of which every text that reaches the threshold holds at least one"""
     shared = ceil(len(pairs) * threshold / (2 - threshold) - 1e-9)
-    longest = sorted((max(p.split(), key=len) for p in pairs), key=lambda w: (-len(w), w))
-    return set(longest[: len(pairs) - shared + 1])
+    return set(sorted(pairs, key=lambda p: (-max(map(len, p.split())), -len(p), p))[: len(pairs) - shared + 1])
+
+
+def bigram_pattern(pairs: set[str]) -> str:
+    """Regular expression that finds one of the bigrams in a text that is not normalised"""
+    following: dict[str, list[str]] = {}
+    for first, second in sorted(tuple(p.split()) for p in pairs):
+        following.setdefault(first, []).append(second)
+    choices = "|".join(f"{first}[^a-z0-9]++(?:{'|'.join(seconds)})" for first, seconds in following.items())
+    return f"(?i)(?<![a-z0-9])(?:{choices})(?![a-z0-9])"
 
 
 def scan(docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
@@ -108,20 +117,30 @@ def scan(docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES, threshol
     spark = docs.sparkSession
     listed = [(name, _pairs(text)) for name, text in notices]
     sizes = {name: size_bounds(len(pairs), threshold) for name, pairs in listed}
-    rows = [(n, name, pairs) for name, pairs in listed for n in range(sizes[name][0], sizes[name][1] + 1)]
-    table = spark.createDataFrame(rows, "_n int, license string, _pairs array<string>")
+    rows = [{"license": name, "_pairs": pairs, "low": sizes[name][0], "high": sizes[name][1]} for name, pairs in listed]
+    kind = "array<struct<license:string,_pairs:array<string>,low:int,high:int>>"
+    parsed = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
+    table = parsed.select(F.explode(F.sequence("low", "high")).alias("_n"), "license", "_pairs")
+    least, most = min(low for low, _ in sizes.values()), max(high for _, high in sizes.values())
+    telling = F.lit(bigram_pattern(set().union(*(telling_pairs(pairs, threshold) for _, pairs in listed))))
+
+    def unit(number: Column, line: Column) -> Column:
+        return F.struct(number.alias("unit"), line.alias("line"))
+
+    lines = F.split("text", "\n", -1)
+    numbered = F.transform(lines, lambda x, i: unit(i + 1, x))
+    # n distinct bigrams have at most n + 1 distinct words, and a whole text with more cannot match
+    few = F.size(F.array_distinct(F.split(normalised("text"), " "))) <= most + 1
+    whole = F.when((F.size(lines) > 1) & few, F.array(unit(F.lit(0), F.col("text"))))
+    none = F.array(unit(F.lit(-1), F.lit("")))
+    units = F.concat(none, numbered, F.coalesce(whole, F.slice(none, 1, 0)))
+    # documents without a telling bigram are told by one search, before anything is taken apart
+    exploded = docs.select("doc_id", F.explode_outer(F.when(F.rlike("text", telling), units).otherwise(none)).alias("u"))
+    marked = F.col("unit") == -1
+    held = exploded.select("doc_id", "u.*").filter(marked | F.rlike("line", telling))
+    split = held.select("doc_id", "unit", F.split(normalised("line"), " ").alias("words"))
     # a unit has fewer distinct bigrams than words, so short ones go before their bigrams are made
-    least = min(low for low, _ in sizes.values())
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    numbered = F.transform(lines, lambda x, i: F.struct((i + 1).alias("unit"), x.alias("line")))
-    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("unit"), F.col("text").alias("line"))))
-    none = F.array(F.struct(F.lit(-1).alias("unit"), F.lit("").alias("line")))
-    units = F.concat(none, numbered, F.coalesce(whole, F.filter(none, lambda x: F.lit(False))))
-    exploded = docs.select("doc_id", F.explode(units).alias("u"))
-    split = exploded.select("doc_id", "u.unit", F.split(normalised("u.line"), " ").alias("words"))
-    telling = sorted(set().union(*(telling_words(pairs, threshold) for _, pairs in listed)))
-    told = F.arrays_overlap("words", F.array(*[F.lit(w) for w in telling]))
-    large = split.filter(((F.size("words") > least) & told) | (F.col("unit") == -1))
+    large = split.filter((F.size("words") > least) | marked)
     sized = large.select("doc_id", "unit", bigrams(F.col("words")).alias("own")).withColumn("_n", F.size("own"))
     met = sized.join(F.broadcast(table), "_n", "left").filter(F.col("license").isNotNull() | (F.col("unit") == -1))
     common = F.size(F.array_intersect("own", "_pairs"))
