@@ -8,17 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import pad
+from ..session import materialize
 from .skew import block_offsets, lookup_join
 
 
-def build_dictionary(texts: DataFrame, prefix: int = 8) -> DataFrame:
+def build_dictionary(texts: DataFrame) -> DataFrame:
     """Distinct (feature, text) -> (feature, text, code), codes from 1 in text order per feature.
 
-    A text's code is its rank among the texts with the same first letters plus the number of texts with
-    smaller first letters, so a large vocabulary is not numbered by one task.
+    The texts are laid out in ranges of (feature, text) and written once, so that a text keeps its range. A code is the
+    rank within the range plus the feature's texts in earlier ranges, so a large vocabulary, whatever its first letters,
+    is numbered by as many tasks as it has ranges.
     """
     known = texts.select("feature", "text").filter(F.col("text").isNotNull())
-    distinct = known.distinct().withColumn("_block", F.substring(F.col("text"), 1, prefix))
+    distinct = text_ranges(known.distinct())
     offsets = block_offsets(distinct, ["feature"], "_block", {"_before": F.count(F.lit(1))}, F.sum)
     rank = F.row_number().over(Window.partitionBy("feature", "_block").orderBy("text"))
     code = (F.col("_rank") + F.coalesce("_before", F.lit(0))).cast("int").alias("code")
@@ -29,6 +31,12 @@ def build_dictionary(texts: DataFrame, prefix: int = 8) -> DataFrame:
     )
 
 
+def text_ranges(distinct: DataFrame) -> DataFrame:
+    """The rows in ranges of (feature, text), written, with the range's number as ``_block``"""
+    laid = distinct.repartitionByRange("feature", "text")
+    return materialize(laid.withColumn("_block", F.spark_partition_id()), "texts")
+
+
 def dict_encode(df: DataFrame, dictionary: DataFrame, feature: str, text: str, name: str) -> DataFrame:
     """The code of ``text`` in the dictionary of ``feature``, 0 when it is unknown or null"""
     codes = dictionary.filter(F.col("feature") == feature).select(F.col("text").alias(text), F.col("code").alias(name))

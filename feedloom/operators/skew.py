@@ -37,19 +37,14 @@ def lookup_join(
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows.
+    """Keys with more than ``hot_rows`` rows and more than 1/HOT_KEYS of all rows.
 
-    At most the ``HOT_KEYS`` heaviest, so the list may be broadcast whatever the data: a key that is not on
-    it has under 1/HOT_KEYS of the rows. The count is combined on the map side.
+    By the second bound there are fewer than ``HOT_KEYS`` of them, so the list may be broadcast whatever the data, and
+    every key above the bounds is on it. The count is combined on the map side.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg((F.sum("_n") / HOT_KEYS).alias("_share")).scalar()
+    return counts.filter(F.col("_n") > F.greatest(F.lit(float(hot_rows)), F.coalesce(share, F.lit(0.0)))).select(*keys)
 
 
 def skew_join(

@@ -45,9 +45,8 @@ def _(v: Views) -> DataFrame:
        FROM v_click WHERE t_ms >= epoch_ms(TIMESTAMP '2024-01-08')) WHERE flag <= 20""",
 )
 def _(v: Views) -> DataFrame:
-    start = scalars.epoch_ms(F.expr("TIMESTAMP_NTZ'2024-01-08 00:00:00'"))
-    clicks = v.click.filter(F.col("t_ms") >= start)
-    return recall.latest_n(clicks, "user_id", latest_order(), 20).select(
+    start_ms = 1_704_672_000_000  # 2024-01-08
+    return recall.latest_n(v.click_since(start_ms), "user_id", latest_order(), 20).select(
         "user_id", F.col("item_id").alias("news_id"), "flag"
     )
 
@@ -151,7 +150,7 @@ def _(v: Views) -> DataFrame:
        FROM b GROUP BY doc_id""",
 )
 def _(v: Views) -> DataFrame:
-    out = history.tag_hash_sum_rows(v.tags, "doc_id", bucket_abs_of_mod(java_hash(F.col("tag")), 1_000_000), "w")
+    out = history.tag_hash_sum_rows(v.tokens, "doc_id", bucket_abs_of_mod(java_hash(F.col("tag")), 1_000_000), "w")
     return out.select("doc_id", _ints("indices"), _ints("values", "vals"))
 
 

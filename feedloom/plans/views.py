@@ -67,8 +67,8 @@ class Views:
             "value",
         )
 
-    def _history(self, kind: str) -> DataFrame:
-        return self.event.filter(F.col("event_type") == kind).select(
+    def _history(self, kind: str, event: DataFrame | None = None) -> DataFrame:
+        return (self.event if event is None else event).filter(F.col("event_type") == kind).select(
             "seq",
             "user_id",
             F.col("k").alias("item_id"),
@@ -87,6 +87,11 @@ class Views:
     def click(self) -> DataFrame:
         return self._history("click")
 
+    def click_since(self, start_ms: int) -> DataFrame:
+        """The clicks from a time on; the bound is on the stored column, so it reaches the scan"""
+        since = self.table("events").filter(F.col("ts") >= readers.ntz_literal(start_ms))
+        return self._history("click", self.event_rows(since))
+
     @cached_property
     def read(self) -> DataFrame:
         return self._history("purchase")
@@ -158,17 +163,17 @@ class Views:
             F.col("label").cast("string").alias("articletype"),
         ).select("news_id", (F.col("news_id") + 1 + F.col("o")).cast("string").alias("recalled"), "articletype")
 
+    @cached_property
+    def tokens(self) -> DataFrame:
+        """Tokens of whole documents, one row each"""
+        token = F.explode(F.split("text", "[ \t\n\r\f]+")).alias("tag")
+        rows = self.spread_table("documents").select("doc_id", token).filter(F.col("tag") != "")
+        return rows.withColumn("w", F.lit(1.0))
+
     @cached_property
     def tags(self) -> DataFrame:
         """Token counts of whole documents"""
-        token = F.explode(F.split("text", "[ \t\n\r\f]+")).alias("tag")
-        return (
-            self.spread_table("documents")
-            .select("doc_id", token)
-            .filter(F.col("tag") != "")
-            .groupBy("doc_id", "tag")
-            .agg(F.count(F.lit(1)).cast("double").alias("w"))
-        )
+        return self.tokens.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).cast("double").alias("w"))
 
     @cached_property
     def tag_maps(self) -> DataFrame:

@@ -47,6 +47,18 @@ def test_skew_join_spreads_the_hot_key(hot):
         skew.skew_join(left, right, "k", "full")
 
 
+def test_hot_keys_follow_rows_and_share(hot, monkeypatch):
+    left, _ = hot
+    counts = {r["k"]: r["count"] for r in left.groupBy("k").count().collect()}
+    for hot_rows, share in ((20, 100_000), (0, 3)):
+        monkeypatch.setattr(skew, "HOT_KEYS", share)
+        least = max(hot_rows, sum(counts.values()) / share)
+        got = {r["k"] for r in skew.hot_keys(left, ["k"], hot_rows).collect()}
+        assert got == {k for k, n in counts.items() if n > least}
+        assert len(got) < share
+    assert skew.hot_keys(left.limit(0), ["k"], 0).count() == 0
+
+
 def test_lookup_join_has_a_way_beyond_the_size_limit(hot):
     left, right = hot
     small = skew.lookup_join(left, right, "k", "inner")
@@ -226,13 +238,22 @@ def test_sampling_and_partitions(spark):
 
 def test_dictionary_codes(spark):
     words = [("f", w) for w in ("b", "a", "ab", "b", "zz", None)] + [("g", "a")]
-    d = lookups.build_dictionary(spark.createDataFrame(words, "feature string, text string"), prefix=1)
+    d = lookups.build_dictionary(spark.createDataFrame(words, "feature string, text string"))
     assert rows(d, "feature", "text", "code") == [("f", "a", 1), ("f", "ab", 2), ("f", "b", 3), ("f", "zz", 4), ("g", "a", 1)]
     df = spark.createDataFrame([(1, "ab|q|zz"), (2, None)], "id int, s string")
     got = lookups.multi_encode(df, d, "f", "s", "id", "codes", limit=4)
     assert rows(got, "id", "codes") == [(1, [2, 0]), (2, [0])]
 
 
+def test_dictionary_is_numbered_in_ranges(spark):
+    text = F.concat(F.lit("https://example.com/"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    words = spark.range(100_000).select(F.lit("f").alias("feature"), text.alias("text"))
+    assert lookups.text_ranges(words).select("_block").distinct().count() > 1
+    d = lookups.build_dictionary(words)
+    wrong = d.filter(F.col("code") != F.substring("text", 21, 6).cast("int") + 1)
+    assert (d.count(), wrong.count()) == (100_000, 0)
+
+
 def test_membership_flag(spark):
     df = spark.createDataFrame([(1,), (2,), (2,)], "id int")
     members = spark.createDataFrame([(2,), (2,), (5,)], "id int")
