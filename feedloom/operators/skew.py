@@ -8,17 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 500_000
-BROADCAST_CHARS = 64_000_000
+BROADCAST_BYTES = 10 * 1024 * 1024
 HOT_KEYS = 100_000
 HOT_ROWS = 1_000_000
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS) -> bool:
-    """Measure a lookup side before broadcasting it: its rows and their printed size."""
-    size = F.sum(F.length(F.to_json(F.struct(*dim.columns)))).alias("chars")
-    got = dim.agg(F.count(F.lit(1)).alias("n"), size).first()
-    return got["n"] <= max_rows and (got["chars"] or 0) <= max_chars
+def estimated_bytes(df: DataFrame) -> int:
+    """Size that the optimizer derives from the stored files below a plan; no job is run"""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def lookup_join(
@@ -26,13 +23,16 @@ def lookup_join(
     dim: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
     **skew: object,
 ) -> DataFrame:
-    """Join a lookup side: broadcast when its measured size allows it, else a join that splits hot keys."""
+    """Join a lookup side: as Spark plans it when its files are small, else a join that splits hot keys.
+
+    Below the limit, which is Spark's own for broadcasts, there is no hint: Spark decides by the size it knows.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(dim, max_rows):
-        return fact.join(F.broadcast(dim), keys, how)
+    if estimated_bytes(dim) <= max_bytes:
+        return fact.join(dim, keys, how)
     return skew_join(fact, dim, keys, how, **skew)
 
 

@@ -61,8 +61,10 @@ def test_hot_keys_follow_rows_and_share(hot, monkeypatch):
 
 def test_lookup_join_has_a_way_beyond_the_size_limit(hot):
     left, right = hot
-    small = skew.lookup_join(left, right, "k", "inner")
-    large = skew.lookup_join(left, right, "k", "inner", max_rows=1, hot_rows=20, salts=5)
+    small = skew.lookup_join(left, right, "k", "inner", max_bytes=skew.estimated_bytes(right))
+    large = skew.lookup_join(left, right, "k", "inner", max_bytes=1, hot_rows=20, salts=5)
+    assert "_salt" not in small._jdf.queryExecution().toString()
+    assert "_salt" in large._jdf.queryExecution().toString()
     assert rows(small, "id", "k", "v") == rows(large, "id", "k", "v")
 
 
