@@ -180,6 +180,34 @@ def test_licenses(docs, none):
     assert licenses.by_document(licenses.scan(none)).count() == 0
 
 
+def test_licenses_against_brute_force(spark):
+    """Notices with words left out, other case and marks, and broken over lines; K is no ASCII letter"""
+    texts = []
+    for _, notice in licenses.NOTICES:
+        words = notice.split()
+        for k in (2, 3, 5, 9):
+            left = [w for n, w in enumerate(words) if n % (k + 4) != k]
+            texts += [" ".join(left).upper(), "** " + ", ".join(left) + " **", " ".join(words[:-k] or words)]
+        half = len(words) // 2
+        texts.append(" ".join(words[:half]) + "\n" + " ".join(words[half:]))
+        texts.append("other words before\n" + notice + "\n\n" + notice.replace("k", "\u212a") + "\n")
+    expected = set()
+    for n, text in enumerate(texts):
+        lines = text.split("\n")
+        for number, unit in [*enumerate(lines, 1), *([(0, text)] if len(lines) > 1 else [])]:
+            own = set(licenses._pairs(unit))
+            for name, notice in licenses.NOTICES:
+                pairs = set(licenses._pairs(notice))
+                dice = 2 * len(own & pairs) / (len(own) + len(pairs))
+                if dice >= licenses.THRESHOLD:
+                    expected.add((n, number, name, round(dice, 9)))
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    got = {(r["doc_id"], r["unit"], r["license"], round(r["dice"], 9)) for r in found if r["license"]}
+    assert got == expected
+    assert len(expected) > 2 * len(licenses.NOTICES)
+    assert any(unit == 0 for _, unit, _, _ in expected)
+
+
 @pytest.mark.parametrize("scaled", [False, True])
 def test_neighbors(spark, scaled):
     rng = np.random.default_rng(3)
