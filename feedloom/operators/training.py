@@ -24,12 +24,15 @@ from ..functions import hashing, scalars, sequences, vectors
 from ..functions.binding import let
 from ..plans import catalog as k
 from . import lookups
-from .history import HORIZONS
+from .history import HORIZONS, horizon_sums
 from .skew import skew_join
 
 VECTOR = "struct<size:int,indices:array<int>,values:array<float>>"
 READ_DURATION = k.NO_LENGTH
-HORIZON_MS = list(HORIZONS.values())
+# durations are summed as integers, in parts of a ms
+PARTS = 1000
+SUMS = "array<struct<place:int,x:string,v:array<double>>>"
+COUNTS = "array<struct<place:int,i:int,v:double>>"
 
 
 def _float(pairs: Column) -> Column:
@@ -144,9 +147,13 @@ def _launcher_key(kind: str, part: str) -> str:
     return f"user_smart_launcher_feed_news_{kind}_fc_news_{part}"
 
 
+def _list_key(kind: str) -> str:
+    return f"user_sl_feed_news_{kind}_fc_v2"
+
+
 def _parse_lists(requests: DataFrame) -> DataFrame:
     """``lists``: the entries of the three behaviour lists, each parsed once"""
-    keys = F.array(*[F.lit(f"user_sl_feed_news_{kind}_fc_v2") for kind in k.SL2_KINDS])
+    keys = F.array(*[F.lit(_list_key(kind)) for kind in k.SL2_KINDS])
 
     def entries(key: Column) -> Column:
         return sequences.behavior_entries(F.from_json(F.try_element_at("user", key), "array<string>"))
@@ -174,6 +181,15 @@ def _list_arrays() -> Column:
     return F.transform("lists", lambda entries: F.transform(entries, one))
 
 
+def _heaviest(raw: Column) -> Column:
+    """The heaviest key of a JSON map"""
+    weights = F.transform_values(
+        F.coalesce(F.from_json(raw, "map<string,string>"), F.create_map().cast("map<string,string>")),
+        lambda _, w: F.coalesce(w.try_cast("double"), F.lit(0.0)),
+    )
+    return F.get(sequences.topn_entries(weights, 1), F.lit(0))
+
+
 def _code_lists(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(request_id, codes_<kind>_<part>): one int array per list and dictionary field, in list order.
 
@@ -189,13 +205,7 @@ def _code_lists(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
     fields = entries.select("request_id", "kind", "pos", "m", F.explode(F.array(*keys)).alias("f")).select(
         "request_id", "kind", "pos", "f.part", "f.feature", F.try_element_at("m", F.col("f.feature")).alias("raw")
     )
-    weights = F.transform_values(
-        F.coalesce(F.from_json("raw", "map<string,string>"), F.create_map().cast("map<string,string>")),
-        lambda _, w: F.coalesce(w.try_cast("double"), F.lit(0.0)),
-    )
-    keyed = fields.select(
-        "request_id", "kind", "pos", "part", "feature", F.get(sequences.topn_entries(weights, 1), F.lit(0)).alias("text")
-    )
+    keyed = fields.select("request_id", "kind", "pos", "part", "feature", _heaviest(F.col("raw")).alias("text"))
     codes = dictionary.select("feature", "text", "code")
     coded = lookups.lookup_join(keyed, codes, ["feature", "text"], "left", spread=["request_id", "kind", "pos"])
 
@@ -351,8 +361,8 @@ class Plan:
         out["news_show_hour_duration"] = lambda: scalars.item_age_hours(
             self._event_ms(), self._item("publish_ms", published)
         )
-        for h, ms in HORIZONS.items():
-            out[f"sb_user_{h}_read_duration"] = lambda ms=ms: scalars.seconds2(self._read_total(ms))
+        for h in HORIZONS:
+            out[f"sb_user_{h}_read_duration"] = lambda h=h: scalars.seconds2(self._read_total(h))
         return out
 
     def _coded(self, name: str) -> Column:
@@ -365,10 +375,10 @@ class Plan:
         self.needs.add("reads")
         return F.col("reads")
 
-    def _read_total(self, horizon: int) -> Column:
-        t = self._event_ms()
-        recent = F.filter(self._reads(), lambda e: (e["t"] < t) & (e["t"] > t - F.lit(horizon)))
-        return F.aggregate(recent, F.lit(0.0), lambda a, e: a + F.coalesce(e["d"], F.lit(0.0)))
+    def _read_total(self, horizon: str) -> Column:
+        self._event_ms()
+        self.needs.add("read_totals")
+        return F.coalesce(F.col(f"{horizon}_read"), F.lit(0)) / F.lit(PARTS)
 
     def _pair_makers(self) -> dict[str, Callable[[], Column]]:
         u, i, topic = self.user, self.item, vectors.TOPIC_DEFAULT
@@ -391,7 +401,6 @@ class Plan:
         return out
 
     def _history_pairs(self, kind: str, field: str) -> Column:
-        self._launcher(kind, field)
         return F.get(F.col("histories"), F.lit(self.histories.setdefault((kind, field), len(self.histories))))
 
     def _cosine(self, user: str, item: str) -> Column:
@@ -405,6 +414,8 @@ class Plan:
         out: dict[str, Callable[[], Column]] = {}
         for name, (kind, length, fill) in k.padded().items():
             values = self._sequence(name)
+            if length != k.TOKEN_LENGTH:
+                values = lambda v=values, n=length: sequences.latest(v(), n)
             out[name] = lambda v=values, n=length, f=fill, t=kind: sequences.pad(v(), n, F.lit(f).cast(t))
             if name != k.NO_LENGTH:
                 out[f"{name}_length"] = lambda v=values: F.array(F.size(v()))
@@ -424,7 +435,7 @@ class Plan:
                     self._behaviour(kind, "id"), lambda x: F.coalesce(hashing.java_hash(x), F.lit(0))
                 )
             if part in k.SL2_TOKENS:
-                return lambda: F.slice(F.flatten(self._behaviour(kind, part)), 1, k.TOKEN_LENGTH)
+                return lambda: sequences.latest(F.flatten(self._behaviour(kind, part)), k.TOKEN_LENGTH)
             if part != name:
                 return lambda: self._codes(kind, part)
         for kind in k.LAUNCHER_KINDS:
@@ -454,8 +465,11 @@ class Plan:
                         stem = f"sl_news_{field}_{h}_{tail}"
 
                         def at(f: str = field, kind: str = kind, n: int = n, places=places, column=column) -> Column:
-                            if (f, kind) not in places:
-                                self._history_inputs(f, kind)  # asks for the stage columns
+                            if column == "value_sums":
+                                self._own_value(f)  # asks for the stage columns
+                            else:
+                                self._own_tokens(f)
+                            self._req_ms()
                             place = places.setdefault((f, kind), len(places))
                             return F.get(F.get(F.col(column), F.lit(place)), F.lit(n))
 
@@ -466,102 +480,186 @@ class Plan:
                             out[f"{stem}_values"] = lambda at=at: vectors.values_of(at())
         return out
 
-    def _history_inputs(self, field: str, kind: str) -> tuple[Column, Column, Column]:
-        """Times, values and durations of the list that a frequency field reads"""
-        tokens = field in k.FREQUENCY_TOKENS
-        part = (k.FREQUENCY_TOKENS if tokens else k.FREQUENCY_VALUES)[field][0]
-        if not k.is_nv(field):
-            entries = self._launcher(kind, part)
-            times, values = entries.getField("t"), entries.getField("v")
-            return times, values, F.array().cast("array<double>")
-        if tokens or part == "id":
-            values = self._behaviour(kind, part)
-        else:
-            values = self._codes(kind, part).cast("array<string>")
-        durations = self._behaviour(kind, "d") if kind == "duration" else F.array().cast("array<double>")
-        return self._behaviour(kind, "t"), values, durations
-
-    def value_sums(self) -> Column:
-        """array per (field, list) of sums per horizon, of entries with the item's value before the request"""
-        req = self._req_ms()
-
-        def matched(t: Column, x: Column, d: Column, own: Column) -> Column:
-            return F.struct(t.alias("t"), x.alias("x"), d.alias("d"), own.cast("string").alias("own"))
-
-        inputs = [matched(*self._history_inputs(f, kind), self._own_value(f)) for f, kind in self.values]
-
-        def hits(h: Column) -> Column:
-            def entry(t: Column, x: Column) -> Column:
-                return F.struct((req - t).alias("age"), x.alias("x"))
-
-            timed = F.zip_with(h["t"], h["x"], entry)
-            weighed = F.zip_with(
-                timed, h["d"], lambda e, d: F.struct(e["age"].alias("age"), e["x"].alias("x"), d.alias("d"))
-            )
-            return F.filter(weighed, lambda e: (e["x"] == h["own"]) & (e["age"] > 0))
-
-        return F.transform(F.array(*inputs), lambda h: let(hits(h), _sums_per_horizon))
-
     def _own_value(self, field: str) -> Column:
         item = k.FREQUENCY_VALUES[field][1]
         if item == "news_id":
             return self.item.text("newsId")
         return self.item.argmax(item.replace("category", "_category") if item.endswith("_update") else item).cast("int")
 
-    def token_sums(self) -> Column:
-        """The same for items with several tokens: pairs of token and sum per horizon"""
-        req = self._req_ms()
-        pairs = self._pair_makers()
-        inputs = []
-        for field, kind in self.tokens:
-            _, item, size = k.FREQUENCY_TOKENS[field]
-            t, x, d = self._history_inputs(field, kind)
-            if not k.is_nv(field):
-                x = F.transform(x, lambda v: F.split(v, "#").try_cast("array<int>"))
-            own = vectors.indices_of(pairs[item]())
-            inputs.append(
-                F.struct(t.alias("t"), x.alias("x"), d.alias("d"), own.alias("own"), F.lit(size).alias("size"))
-            )
+    def _own_tokens(self, field: str) -> Column:
+        return F.array_distinct(vectors.indices_of(self._pair_makers()[k.FREQUENCY_TOKENS[field][1]]()))
+
+    def places(self) -> list[tuple[str, str]]:
+        """(field, list) of the asked frequency features: those of one value, then those of tokens"""
+        return [*self.values, *self.tokens]
+
+    def asked(self) -> Column:
+        """The item's values and tokens at each place"""
+        fields = [*[F.array(self._own_value(f).cast("string")) for f, _ in self.values]]
+        fields += [self._own_tokens(f).cast("array<string>") for f, _ in self.tokens]
+        return _at_places(dict(enumerate(fields)))
 
-        def hits(h: Column) -> Column:
-            timed = F.zip_with(h["t"], h["x"], lambda t, x: F.struct((req - t).alias("age"), x.alias("x")))
-            weighed = F.zip_with(
-                timed, h["d"], lambda e, d: F.struct(e["age"].alias("age"), e["x"].alias("x"), d.alias("d"))
-            )
-            earlier = F.filter(weighed, lambda e: (e["age"] > 0) & F.arrays_overlap(e["x"], h["own"]))
-            return F.flatten(
-                F.transform(
-                    earlier,
-                    lambda e: F.transform(
-                        F.filter(e["x"], lambda x: F.array_contains(h["own"], x)),
-                        lambda x: F.struct(e["age"].alias("age"), x.alias("x"), e["d"].alias("d")),
-                    ),
-                )
-            )
 
-        return F.transform(F.array(*inputs), lambda h: let(hits(h), lambda m: _pairs_per_horizon(m, h["size"])))
+def _at_places(values: dict[int, Column]) -> Column:
+    """array of (place, x), one for each element of the arrays in ``values``"""
 
+    def placed(n: int, found: Column) -> Column:
+        held = F.coalesce(found, F.array().cast("array<string>"))
+        return F.transform(held, lambda x: F.struct(F.lit(n).alias("place"), x.alias("x")))
 
-def _total(entries: Column) -> Column:
-    """Entries with a duration are summed, others counted"""
-    return F.aggregate(entries, F.lit(0.0), lambda a, e: a + F.coalesce(e["d"], F.lit(1.0)))
+    each = [placed(n, found) for n, found in values.items()]
+    return F.filter(F.concat(*each), lambda e: e["x"].isNotNull())
 
 
-def _sums_per_horizon(matches: Column) -> Column:
-    ms = F.array(*[F.lit(h) for h in HORIZON_MS])
-    return F.transform(ms, lambda h: _total(F.filter(matches, lambda e: e["age"] < h)))
+# ---------------------------------------------------------------- whole histories
 
 
-def _pairs_per_horizon(matches: Column, size: Column) -> Column:
-    def counted(recent: Column) -> Column:
-        tokens = F.array_sort(F.array_distinct(recent.getField("x")))
-        entries = F.transform(
-            tokens, lambda x: F.struct(x.alias("i"), _total(F.filter(recent, lambda e: e["x"] == x)).alias("v"))
+def cell_history(requests: DataFrame) -> DataFrame:
+    """The behaviour cells of requests in the long form that ``assemble`` takes as ``history``"""
+
+    def listed(key: str) -> Column:
+        entries = F.coalesce(F.from_json(F.try_element_at("user", F.lit(key)), "array<string>"), F.array().cast("array<string>"))
+        return F.transform(
+            entries, lambda x: F.struct(F.lit(key).alias("cell"), F.lit(None).cast("bigint").alias("t"), x.alias("value"))
         )
-        return _float(vectors.sparse_or_default(entries, size))
 
-    ms = F.array(*[F.lit(h) for h in HORIZON_MS])
-    return F.transform(ms, lambda h: let(F.filter(matches, lambda e: e["age"] < h), counted))
+    def timed(key: str) -> Column:
+        entries = sequences.tuple_sequence(F.try_element_at("user", F.lit(key)))
+        return F.transform(entries, lambda e: F.struct(F.lit(key).alias("cell"), e["t"].alias("t"), e["v"].alias("value")))
+
+    parts = ("id", *k.LAUNCHER_VALUES, *k.LAUNCHER_TOKENS)
+    keys = [_launcher_key(kind, part) for kind in k.LAUNCHER_KINDS for part in parts]
+    cells = [listed(_list_key(kind)) for kind in k.SL2_KINDS] + [timed(key) for key in (*keys, READ_DURATION)]
+    return requests.select("request_id", F.explode(F.concat(*cells)).alias("e")).select("request_id", "e.*")
+
+
+def _parts(amount: Column) -> Column:
+    return F.round(amount * F.lit(PARTS)).cast("bigint")
+
+
+def _facts(plan: Plan, history: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(request_id, place, x, t, n): what every history row adds to the places that read its cell"""
+    places = plan.places()
+    found = []
+
+    def at(kind: str, wanted: Callable[[str], bool]) -> dict[int, str]:
+        """place -> history part, of the frequency fields that read a list of this kind"""
+        parts = k.FREQUENCY_VALUES | k.FREQUENCY_TOKENS
+        return {n: parts[f][0] for n, (f, on) in enumerate(places) if on == kind and wanted(f)}
+
+    for kind in k.SL2_KINDS:
+        parts = at(kind, k.is_nv)
+        if not parts:
+            continue
+        own = history.filter(F.col("cell") == _list_key(kind))
+        entries = own.select("request_id", F.explode(sequences.behavior_entries(F.array("value"))).alias("m"))
+        read = F.coalesce(F.try_element_at("m", F.lit("read_duration")).try_cast("double"), F.lit(0.0))
+        timed = entries.select(
+            "request_id",
+            "m",
+            F.try_element_at("m", F.lit("event_time")).try_cast("bigint").alias("t"),
+            _parts(read if kind == "duration" else F.lit(1)).alias("n"),
+        ).filter(F.col("t").isNotNull())
+        direct: dict[int, Column] = {}
+        for n, part in parts.items():
+            if part == "id":
+                direct[n] = F.array(F.try_element_at("m", F.lit("news_id")))
+            elif part in k.SL2_TOKENS:
+                tokens = F.split(sequences.entry_value(F.col("m"), k.SL2_TOKENS[part], k.TOP), "#")
+                direct[n] = F.transform(tokens, lambda x: x.try_cast("int").cast("string"))
+        if direct:
+            found.append(timed.select("request_id", "t", "n", F.explode(_at_places(direct)).alias("e")))
+        coded = {n: part for n, part in parts.items() if part in k.SL2_DICTIONARY}
+        if coded:
+            keys = [F.struct(F.lit(n).alias("place"), F.lit(k.SL2_DICTIONARY[part]).alias("feature")) for n, part in coded.items()]
+            fields = timed.select("request_id", "t", "n", "m", F.explode(F.array(*keys)).alias("f"))
+            keyed = fields.select(
+                "request_id", "t", "n", "f.place", "f.feature", _heaviest(F.try_element_at("m", F.col("f.feature"))).alias("text")
+            )
+            codes = dictionary.select("feature", "text", "code")
+            met = lookups.lookup_join(keyed, codes, ["feature", "text"], "left", spread=["request_id", "place", "t"])
+            x = F.coalesce("code", F.lit(0)).cast("string").alias("x")
+            found.append(met.select("request_id", "t", "n", F.struct("place", x).alias("e")))
+    for kind in k.LAUNCHER_KINDS:
+        for n, part in at(kind, lambda f: not k.is_nv(f)).items():
+            own = history.filter((F.col("cell") == _launcher_key(kind, part)) & F.col("t").isNotNull())
+            x = F.array("value")
+            if part in k.LAUNCHER_TOKENS:
+                x = F.transform(F.split("value", "#"), lambda v: v.try_cast("int").cast("string"))
+            one = F.lit(PARTS).cast("bigint").alias("n")
+            found.append(own.select("request_id", "t", one, F.explode(_at_places({n: x})).alias("e")))
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.unionByName(more)
+    return rows.select("request_id", "e.place", "e.x", "t", "n")
+
+
+def _frequencies(
+    plan: Plan, requests: DataFrame, items: DataFrame, dictionary: DataFrame, history: DataFrame
+) -> DataFrame:
+    """sample_id and ``_all``: place, x and the sums over each horizon before the request"""
+    times = requests.select("request_id", plan.user_scalars["req_ms"].alias("at")).filter(F.col("at").isNotNull())
+    own = items.select("sample_id", "request_id", *plan.item.columns())
+    own = own.select("sample_id", "request_id", F.explode(plan.asked()).alias("e"))
+    asked = skew_join(
+        own.select("sample_id", "request_id", "e.*"), times, "request_id", "inner", spread=["sample_id"], count_from=items
+    )
+    sums = horizon_sums(
+        asked, _facts(plan, history, dictionary), ["request_id", "place", "x"], "at", "t", ["n"]
+    )
+    totals = F.array(*[F.col(f"{h}_n") / F.lit(PARTS) for h in HORIZONS]).alias("v")
+    # an item has few values and tokens, so a sample's list is short
+    return sums.groupBy("sample_id").agg(F.collect_list(F.struct("place", "x", totals)).alias("_all"))
+
+
+def _value_sums(plan: Plan) -> Column:
+    def one(n: Column) -> Column:
+        own = F.get(F.filter("_all", lambda e: e["place"] == n), F.lit(0))
+        return F.coalesce(own["v"], F.array_repeat(F.lit(0.0), len(HORIZONS)))
+
+    return F.transform(F.array(*[F.lit(n) for n in range(len(plan.values))]), one).alias("value_sums")
+
+
+def _token_sums(plan: Plan) -> Column:
+    first = len(plan.values)
+    spots = [
+        F.struct(F.lit(n).alias("place"), F.lit(k.FREQUENCY_TOKENS[f][2]).alias("size"))
+        for n, (f, _) in enumerate(plan.tokens, first)
+    ]
+
+    def pairs(s: Column) -> Column:
+        def per_horizon(own: Column) -> Column:
+            return F.transform(
+                F.sequence(F.lit(0), F.lit(len(HORIZONS) - 1)),
+                lambda h: _float(
+                    vectors.sparse_or_default(
+                        F.transform(own, lambda e: F.struct(e["x"].cast("int").alias("i"), F.get(e["v"], h).alias("v"))),
+                        s["size"],
+                    )
+                ),
+            )
+
+        held = F.coalesce(F.filter("_all", lambda e: e["place"] == s["place"]), F.array().cast(SUMS))
+        return let(held, per_horizon)
+
+    return F.transform(F.array(*spots), pairs).alias("token_sums")
+
+
+def _history_counts(plan: Plan, history: DataFrame) -> DataFrame:
+    """request_id and ``counts``: occurrences per value of the launcher cells, over whole histories"""
+    found = None
+    for n, (kind, field) in enumerate(plan.histories):
+        _, size, drop = k.HISTORY_VECTORS[field]
+        own = history.filter(F.col("cell") == _launcher_key(kind, field))
+        x = F.col("value").try_cast("int")
+        if field in k.LAUNCHER_TOKENS:
+            x = F.explode(F.transform(F.split("value", "#"), lambda v: F.coalesce(v.try_cast("int"), F.lit(0))))
+        rows = own.select("request_id", F.lit(n).alias("place"), x.alias("i")).filter(F.col("i") < size)
+        rows = rows if drop is None else rows.filter(F.col("i") != drop)
+        found = rows if found is None else found.unionByName(rows)
+    counts = found.groupBy("request_id", "place", "i").agg(F.count(F.lit(1)).cast("double").alias("v"))
+    # values are below the vector's size, so a list is at most as long
+    return counts.groupBy("request_id").agg(F.collect_list(F.struct("place", "i", "v")).alias("counts"))
 
 
 # ---------------------------------------------------------------- assembly
@@ -570,34 +668,22 @@ def _pairs_per_horizon(matches: Column, size: Column) -> Column:
 def _history_family(plan: Plan) -> Column:
     """Occurrences per value of the launcher lists"""
     inputs = []
-    for kind, field in plan.histories:
-        _, size, drop = k.HISTORY_VECTORS[field]
+    for n, (_, field) in enumerate(plan.histories):
         default = vectors.TOPIC_DEFAULT if field == "topic_top5" else 0
-        inputs.append(
-            F.struct(
-                plan._launcher_ints(kind, field).alias("a"),
-                F.lit(size).alias("size"),
-                F.lit(drop).cast("int").alias("drop"),
-                F.lit(default).alias("default"),
-            )
-        )
+        size = k.HISTORY_VECTORS[field][1]
+        inputs.append(F.struct(F.lit(n).alias("place"), F.lit(size).alias("size"), F.lit(default).alias("default")))
 
-    def one(e: Column) -> Column:
-        kept = F.filter(e["a"], lambda x: x.isNotNull() & ~x.eqNullSafe(e["drop"]))
-
-        # the list is short: at most the feature length
-        def counted(a: Column) -> Column:
-            return F.transform(
-                F.array_distinct(a),
-                lambda x: F.struct(x.alias("i"), F.size(F.filter(a, lambda y: y == x)).cast("double").alias("v")),
-            )
-
-        return vectors.sparse_or_default(let(kept, counted), e["size"], e["default"])
+    def one(s: Column) -> Column:
+        own = F.filter(F.coalesce("counts", F.array().cast(COUNTS)), lambda e: e["place"] == s["place"])
+        pairs = F.transform(own, lambda e: F.struct(e["i"].alias("i"), e["v"].alias("v")))
+        return vectors.sparse_or_default(pairs, s["size"], s["default"])
 
     return F.transform(F.array(*inputs), one).alias("histories")
 
 
-def _user_stage(plan: Plan, requests: DataFrame, dictionary: DataFrame, calendar: DataFrame) -> DataFrame:
+def _user_stage(
+    plan: Plan, requests: DataFrame, dictionary: DataFrame, calendar: DataFrame, history: DataFrame
+) -> DataFrame:
     cell = plan.user.cell
     out = requests.select("request_id", "user")
     kept = ["request_id"]
@@ -620,18 +706,25 @@ def _user_stage(plan: Plan, requests: DataFrame, dictionary: DataFrame, calendar
         kept.append("source_pkg_name_code")
     out = out.select(*kept, *plan.user.columns(), *[c.alias(n) for n, c in plan.user_scalars.items()])
     if plan.histories:
-        out = out.select("*", _history_family(plan))
+        out = out.join(_history_counts(plan, history), "request_id", "left")
+        out = out.select(*[c for c in out.columns if c != "counts"], _history_family(plan))
+    if "read_totals" in plan.needs:
+        own = history.filter((F.col("cell") == READ_DURATION) & F.col("t").isNotNull())
+        read = _parts(F.coalesce(_read_ms(F.col("value")), F.lit(0.0))).alias("read")
+        moments = out.select("request_id", "event_ms").filter(F.col("event_ms").isNotNull())
+        sums = horizon_sums(moments, own.select("request_id", "t", read), ["request_id"], "event_ms", "t", ["read"])
+        out = out.join(sums.drop("event_ms"), "request_id", "left")
     if "reads" in plan.needs:
         out = out.withColumn("reads", _read_entries(plan.user.launcher(READ_DURATION)))
     return out
 
 
-def _read_entries(entries: Column) -> Column:
-    def one(e: Column) -> Column:
-        text = F.when(e["v"].contains("{"), F.get_json_object(e["v"], "$.duration")).otherwise(e["v"])
-        return F.struct(e["t"].alias("t"), text.try_cast("double").alias("d"))
+def _read_ms(value: Column) -> Column:
+    return F.when(value.contains("{"), F.get_json_object(value, "$.duration")).otherwise(value).try_cast("double")
 
-    return F.transform(entries, one)
+
+def _read_entries(entries: Column) -> Column:
+    return F.transform(entries, lambda e: F.struct(e["t"].alias("t"), _read_ms(e["v"]).alias("d")))
 
 
 def _item_stage(plan: Plan, items: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -656,24 +749,28 @@ def assemble(
     dictionary: DataFrame,
     calendar: DataFrame | None,
     columns: Sequence[str] | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Training rows: ``sample_id`` and the asked columns, all of them by default.
 
     ``requests``: request_id, user map<string,string>; ``items``: sample_id, request_id, item
     map<string,string>; ``dictionary``: feature, text, code; ``calendar``: d, is_holiday, for the holiday
-    column only.
+    column only; ``history``: request_id, cell, t, value, the entries of the behaviour cells as rows.
+
+    Counts, read time and history vectors come from the whole of ``history``, by default the requests' own
+    cells; the cells themselves are only read for the padded sequences, which are cut at their lengths.
     """
     plan = Plan(list(columns if columns is not None else k.columns()))
+    if history is None and (plan.places() or plan.histories or "read_totals" in plan.needs):
+        history = cell_history(requests)
     # built before the stages, because building them asks for stage columns
-    cross = []
-    if plan.values:
-        cross.append(plan.value_sums().alias("value_sums"))
-    if plan.tokens:
-        cross.append(plan.token_sums().alias("token_sums"))
-    users = _user_stage(plan, requests, dictionary, calendar)
+    frequent = _frequencies(plan, requests, items, dictionary, history) if plan.places() else None
+    users = _user_stage(plan, requests, dictionary, calendar, history)
     rows = skew_join(
         _item_stage(plan, items, dictionary), users, "request_id", "inner", spread=["sample_id"], count_from=items
     )
-    if cross:
-        rows = rows.select("*", *cross)
+    if frequent is not None:
+        rows = rows.join(frequent, "sample_id", "left")
+        sums = [f(plan) for f, places in ((_value_sums, plan.values), (_token_sums, plan.tokens)) if places]
+        rows = rows.select(*[c for c in rows.columns if c != "_all"], *sums)
     return rows.select("sample_id", *[c.alias(n) for n, c in plan.final.items()])

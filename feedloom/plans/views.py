@@ -19,8 +19,11 @@ from ..sources import readers
 # fixed values of the stand-ins: rows per behaviour list, items per request
 SEQ_ROWS = 100
 PAGE_TURNS = 10
-# entries a user profile keeps per behaviour kind, which is the feature length
+# length of the behaviour sequences, and entries a user's cells keep per kind: the longest padded sequences
 LIST_ROWS = 121
+CELL_ROWS = 1000
+# behaviour kind of an event type
+KINDS = {"view": "show", "click": "click", "purchase": "duration"}
 
 
 class Views:
@@ -296,24 +299,48 @@ class Views:
 
     @cached_property
     def profile(self) -> DataFrame:
-        """Per user: the latest LIST_ROWS events of each kind as lists, and the time of the last event"""
+        """Per user: the latest CELL_ROWS events of each kind as lists, and the time of the last event"""
         rows = self.event.withColumn("x", behavior_json())
-        latest = recall.latest_n(rows, ["user_id", "event_type"], [F.desc("t_ms"), F.desc("seq")], LIST_ROWS)
+        latest = recall.latest_n(rows, ["user_id", "event_type"], [F.desc("t_ms"), F.desc("seq")], CELL_ROWS)
 
         def listed(kind: str, value: Column) -> Column:
             own = F.when(F.col("event_type") == kind, F.struct("seq", value.alias("x")))
             return F.transform(F.array_sort(F.collect_list(own)), lambda e: e["x"])
 
         k, t = F.col("k"), F.col("t_ms")
-        ms = F.round(F.col("value") * 1000).cast("bigint").cast("string")
-        read = F.when(k % 2 == 0, ms).otherwise(F.concat(F.lit('{"duration":"'), ms, F.lit('"}')))
-        timed = F.struct(t.alias("t"), news_id(k).alias("id"), (k % 5).cast("string").alias("cat"), read.alias("d"))
+        timed = F.struct(t.alias("t"), news_id(k).alias("id"), (k % 5).cast("string").alias("cat"), read_text().alias("d"))
         return latest.groupBy("user_id").agg(
             F.max("t_ms").alias("last_ms"),
             *[listed(kind, F.col("x")).alias(f"b_{kind}") for kind in ("view", "click", "purchase")],
             *[listed(kind, timed).alias(f"l_{kind}") for kind in ("view", "click", "purchase")],
         )
 
+    @cached_property
+    def behaviours(self) -> DataFrame:
+        """Whole histories, every event an entry of the behaviour cells that list it"""
+        k, t = F.col("k"), F.col("t_ms")
+        launcher = "user_smart_launcher_feed_news_{}_fc_{}"
+        read = {
+            "view": {"news_id": news_id(k), "news_top_category_v3": (k % 5).cast("string")},
+            "click": {"news_id": news_id(k)},
+            "purchase": {"read_duration": read_text()},
+        }
+
+        def entries(event_type: str, kind: str) -> Column:
+            cells = [
+                F.struct(F.lit(launcher.format(kind, part)).alias("cell"), t.alias("t"), value.alias("value"))
+                for part, value in read[event_type].items()
+            ]
+            listed = F.struct(
+                F.lit(f"user_sl_feed_news_{kind}_fc_v2").alias("cell"), t.alias("t"), behavior_json().alias("value")
+            )
+            return F.when(F.col("event_type") == event_type, F.array(listed, *cells))
+
+        held = F.coalesce(*[entries(*names) for names in KINDS.items()])
+        return self.spread_event.select(F.col("user_id").alias("request_id"), F.explode(held).alias("e")).select(
+            "request_id", "e.*"
+        )
+
     @cached_property
     def requests(self) -> DataFrame:
         """One request per user with the user's JSON cells"""
@@ -432,6 +459,12 @@ def wordtime_text() -> Column:
     return F.concat(F.col("user_id").cast("string"), F.lit(","), (F.col("t_us") - back).cast("string"))
 
 
+def read_text() -> Column:
+    """Read durations as bare numbers and as JSON"""
+    ms = F.round(F.col("value") * 1000).cast("bigint").cast("string")
+    return F.when(F.col("k") % 2 == 0, ms).otherwise(F.concat(F.lit('{"duration":"'), ms, F.lit('"}')))
+
+
 def behavior_json() -> Column:
     k = F.col("k")
 

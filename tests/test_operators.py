@@ -1,10 +1,13 @@
+import json
 import random
 from collections import Counter, defaultdict
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators import cdc, history, keyed, lookups, recall, samples, skew, stats, windows
+from feedloom.operators import cdc, history, keyed, lookups, recall, samples, skew, stats, training, windows
+from feedloom.plans.views import Views
 from feedloom.session import run_dir
 from feedloom.sources import readers, writers
 
@@ -347,3 +350,76 @@ def test_brute_force_recall(spark):
                 if i == item:
                     want[u, a].add(r)
     assert Counter(tuple(r) for r in got.collect()) == Counter((u, a, ",".join(sorted(s))) for (u, a), s in want.items())
+
+
+# ---------------------------------------------------------------- training rows
+
+
+def test_training_row_counts_whole_histories(spark):
+    """A user with 350 events of each kind: sums are of all of them, sequences are the latest"""
+    n, at = 350, 1_700_000_000_000
+    times = [at - 60_000 * (n - i) for i in range(n)]
+    behaviour = [
+        f'{{"event_time":"{t}","news_id":"V{i % 2}","read_duration":"{i}","news_category_v3":{{"c1":1}},'
+        f'"news_topic_vec_v2":{{"{i % 2}":1.0}}}}'
+        for i, t in enumerate(times)
+    ]
+    entries = [
+        (1, cell, t, value(i))
+        for i, t in enumerate(times)
+        for cell, value in (
+            ("user_sl_feed_news_show_fc_v2", lambda i: behaviour[i]),
+            ("user_sl_feed_news_duration_fc_v2", lambda i: behaviour[i]),
+            ("user_smart_launcher_feed_news_click_fc_news_top_category_v3", lambda i: str(i % 2)),
+            ("user_smart_launcher_feed_news_duration_fc_read_duration", lambda i: str(i)),
+        )
+    ]
+    history = spark.createDataFrame(entries, "request_id int, cell string, t bigint, value string")
+    user = {
+        "token": f"{at}1",
+        "event_time": str(at),
+        "user_sl_feed_news_show_fc_v2": json.dumps(behaviour),
+        "user_sl_feed_news_duration_fc_v2": json.dumps(behaviour),
+        "user_smart_launcher_feed_news_click_fc_news_top_category_v3": json.dumps(
+            {"t1": times, "t2": [str(i % 2) for i in range(n)]}
+        ),
+        "user_smart_launcher_feed_news_duration_fc_read_duration": json.dumps(
+            {"t1": times, "t2": [str(i) for i in range(n)]}
+        ),
+    }
+    item = {"newsId": "V1", "topic_vec_v2": '{"size":2001,"indices":[1],"values":[0.5]}'}
+    requests = spark.createDataFrame([(1, user)], "request_id int, user map<string,string>")
+    items = spark.createDataFrame([(7, 1, item)], "sample_id bigint, request_id int, item map<string,string>")
+    dictionary = spark.createDataFrame([("news_category_v3", "c1", 1)], "feature string, text string, code int")
+    odd = range(1, n, 2)
+    expected = {
+        "sl_news_id_nv_14days_s_times": [len(odd)],
+        "sl_news_id_nv_14days_read_duration": [sum(odd)],
+        "sl_news_id_nv_1hour_s_times": [len([i for i in odd if n - i < 60])],
+        "sl_news_topic_v2_top5_nv_14days_s_times_values": [len(odd)],
+        "sb_user_14days_read_duration": [round(sum(range(n)) / 1000, 2)],
+        "user_click_news_top_category_v3_history_indices": [0, 1],
+        "user_click_news_top_category_v3_history_values": [n / 2, n / 2],
+    }
+    few = requests.withColumn(
+        "user", F.map_filter("user", lambda key, _: key.isin("token", "event_time", "user_sl_feed_news_show_fc_v2"))
+    )
+    ids = "user_sl2_feed_news_show_fc_news_id"
+    for given, whole in ((few, history), (requests, None)):
+        row = training.assemble(given, items, dictionary, None, [*expected, ids, f"{ids}_length"], whole).first()
+        assert {name: list(row[name]) for name in expected} == expected
+        assert row[f"{ids}_length"] == [121] and len(row[ids]) == 121
+        codes = {f"V{p}": 31 * ord("V") + ord(str(p)) for p in (0, 1)}
+        assert row[ids] == [codes[f"V{i % 2}"] for i in range(n - 121, n)]
+
+
+def test_profile_keeps_whole_histories(spark, tmp_path):
+    """The stand-in hands every event on, not the latest of each kind"""
+    events = [(i, 1, "view", datetime(2024, 1, 1) + timedelta(minutes=i), 1.0, '{"k": 1}') for i in range(350)]
+    schema = "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz, value double, props string"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    views = Views(spark, str(tmp_path))
+    got = training.assemble(
+        views.requests, views.request_items, views.training_dictionary, None, ["sl_news_id_nv_14days_s_times"], views.behaviours
+    ).collect()
+    assert len(got) == 350 and {r["sl_news_id_nv_14days_s_times"][0] for r in got} == {350.0}
