@@ -232,6 +232,25 @@ def test_neighbors(spark, scaled):
     assert neighbors.search(empty, F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("n, spread, long", [(1200, 0.5, 1), (1200, 0.0, 20), (30, 0.0, 1)])
+def test_neighbors_of_unequal_lengths(spark, n, spread, long):
+    """64 dimensions with the registered tables and probes; every query gets its k rows"""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((n, 64))
+    x *= np.exp(spread * rng.standard_normal(n))[:, None] / np.linalg.norm(x, axis=1, keepdims=True)
+    x[5] *= long
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbors.search(df, F.col("vec_id") % 20 == 0).toPandas()
+    hits = 0
+    for q in range(0, n, 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        mine = got[got["query_id"] == q]
+        assert sorted(mine["rank"]) == list(range(1, 21))
+        hits += len(set(np.argsort(-scores)[:20]) & set(mine["vec_id"]))
+    assert hits / (20 * len(range(0, n, 20))) >= 0.9
+
+
 def plain_simhash(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 3 else [" ".join(words)] * bool(words)
