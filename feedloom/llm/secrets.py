@@ -32,9 +32,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the same spans as runs of any length of which 32 characters are asked
 
 # fixed values: words that name a credential, common passwords, keyboard rows, look-alike characters
+# a word's separator and value are looked ahead at, so that a value may itself be the word before the real one
 CONTEXT = re.compile(
-    r"""\b(pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth|bearer|access[_-]?key|private[_-]?key)\b"""
-    r"""["']?(?:[\x20\t]*[:=][\x20\t]*|\x20+is\x20+|\x20+)["']?([^\s"'<>]{6,})""",
+    r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth|bearer|access[_-]?key|private[_-]?key)(?![A-Za-z0-9_])"""
+    r"""(?=["']?(?:[\x20\t]*[:=][\x20\t]*|\x20+is\x20+|\x20+)["']?([^\s"'<>]{6,}))""",
     re.I | re.A,
 )
 HINTS = ("pass", "pwd", "secret", "token", "apikey", "api_key", "api-key", "credential", "auth", "bearer", "access", "private")
@@ -138,13 +139,15 @@ def guess_spans(text: str, ranks: dict[str, int], least_cost: float, base: list[
     low = text.lower()
     if not any(h in low for h in HINTS):
         return []
-    found = []
+    found, reached = [], 0
     for m in CONTEXT.finditer(text):
-        value = m.group(2).rstrip(".,;:!?)")
-        start, end = m.start(2), m.start(2) + len(value)
-        if len(value) >= 6 and not any(a <= start and end <= b for a, _, b in base):
+        value = m.group(1).rstrip(".,;:!?)")
+        start, end = m.start(1), m.start(1) + len(value)
+        # of values that overlap the first that costs enough is kept
+        if start >= reached and len(value) >= 6 and not any(a <= start and end <= b for a, _, b in base):
             if guess_cost(value, ranks) >= least_cost:
                 found.append((start, 3, end))
+                reached = end
     return found
 
 

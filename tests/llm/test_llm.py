@@ -102,6 +102,20 @@ def test_secrets(docs, none):
     assert secrets.scan(none, words=[]).count() == 0 and secrets.common_words(none) == []
 
 
+def test_credential_words_before_each_other():
+    ranks = {w: i + 1 for i, w in enumerate(secrets.COMMON)}
+    for text, values in (
+        ("Auth token: $x9!Kq7#Zpw2&LmN", ["$x9!Kq7#Zpw2&LmN"]),
+        ("secret password: $x9!Kq7#Zpw2&LmN", ["$x9!Kq7#Zpw2&LmN"]),
+        ("DB_PASSWORD=p@9!Kq7#Zpw2&LmN", ["p@9!Kq7#Zpw2&LmN"]),
+        ("user_pwd = p@9!Kq7#Zpw2&LmN", ["p@9!Kq7#Zpw2&LmN"]),
+        ("secret token=$x9!Kq7#Zpw2&LmN", ["token=$x9!Kq7#Zpw2&LmN"]),
+        ("compass: $x9!Kq7#Zpw2&LmN", []),
+    ):
+        found = secrets.guess_spans(text, ranks, 9.0, secrets.base_spans(text))
+        assert [text[a:b] for a, _, b in found] == values
+
+
 def test_guess_costs():
     ranks = {"password": 1, "horse": 50}
     cost = lambda s: secrets.guess_cost(s, ranks)
