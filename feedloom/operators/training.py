@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import hashing, scalars, sequences, vectors
 from ..functions.binding import let
 from ..plans import catalog as k
+from ..session import materialize
 from . import lookups
 from .history import HORIZONS, horizon_sums
 from .skew import skew_join
@@ -604,12 +605,13 @@ def _frequencies(
     asked = skew_join(
         own.select("sample_id", "request_id", "e.*"), times, "request_id", "inner", spread=["sample_id"], count_from=items
     )
-    sums = horizon_sums(
-        asked, _facts(plan, history, dictionary), ["request_id", "place", "x"], "at", "t", ["n"]
-    )
+    # both sides are read several times, so they are written once; so is the result, which keeps the plan small
+    facts = materialize(_facts(plan, history, dictionary), "facts")
+    sums = horizon_sums(materialize(asked, "asked"), facts, ["request_id", "place", "x"], "at", "t", ["n"])
     totals = F.array(*[F.col(f"{h}_n") / F.lit(PARTS) for h in HORIZONS]).alias("v")
     # an item has few values and tokens, so a sample's list is short
-    return sums.groupBy("sample_id").agg(F.collect_list(F.struct("place", "x", totals)).alias("_all"))
+    lists = sums.groupBy("sample_id").agg(F.collect_list(F.struct("place", "x", totals)).alias("_all"))
+    return materialize(lists, "frequencies")
 
 
 def _value_sums(plan: Plan) -> Column:
