@@ -40,9 +40,8 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     import public_tokenizers
 
     path = public_tokenizers.path(TOKENIZER)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path), path)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("round_trip"))
+    coded = bpe.code(docs.select("doc_id", "source", "text"), path, compare="round_trip")
+    return coded.select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

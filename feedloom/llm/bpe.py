@@ -5,13 +5,15 @@ before it, or white space), which are unions of the pieces of the tokenizer's pa
 boundaries: two neighbouring bytes that never stand together inside any vocabulary token can't be merged by any rule, so
 the parts between are encoded independently and their ids put one after the other.
 
-The file is read on the driver and sent to the tasks. Chunks that a task has not met before are encoded together: one
-merge for each fragment a round, as arrays; fragments of over WIDTH bytes go through a queue one by one. The ids of
-chunks are kept in a table of bounded size.
+The file is read on the driver and sent to the tasks. Chunks that a task does not know are encoded together: one merge
+for each fragment a round, as arrays; fragments of over WIDTH bytes go through a queue one by one. Ids of chunks that
+stand more than once in a run of texts are kept in a table of at most REMEMBERED bytes, so a worker's memory follows
+neither the texts' number nor their words; only a single text is held as a whole. ``code`` and ``round_trip`` encode and
+decode in one worker.
 
 Cases: null text is encoded as an empty one (no ids); ids that are null decode to the empty text; unknown ids raise;
-bytes that are not UTF-8 decode to the replacement character; an existing column of the result's name is replaced, all
-others are kept; an empty table gives no rows.
+bytes that are not UTF-8 decode to the replacement character; a very long text is one row of its own run; repeated rows
+are coded each; an existing column of the result's name is replaced, all others are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +37,11 @@ from .common import schema_with, slices, with_column
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-REMEMBERED = 500_000
+REMEMBERED = 16 << 20
+ENTRY = 250  # bytes of a table entry besides text and ids
 WIDTH = 24
-ROWS = 50_000
+ROWS = 20_000
+RUN = 1 << 20  # bytes of text encoded at a time
 NEVER = np.int32(2**31 - 1)
 
 
@@ -91,6 +96,7 @@ class Encoder:
         names = sorted(vocabulary.added, key=len, reverse=True)
         self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids; NEVER where no rule merges them or one is missing (-1)"""
@@ -160,8 +166,8 @@ class Encoder:
         starts[1:] |= ~self.vocabulary.inside[codes[:-1], codes[1:]]
         return codes, np.flatnonzero(starts)
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode chunks and remember their ids"""
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Packed ids of chunks"""
         codes, starts = self.fragments(chunks)
         lengths = np.diff(np.append(starts, len(codes)))
         first = np.array(self.vocabulary.byte_id, np.int32)[codes]
@@ -190,25 +196,57 @@ class Encoder:
         packed = out.tobytes()
         chunk_ends = np.cumsum([len(c.encode()) for c in chunks])
         upto = ends[np.searchsorted(starts, chunk_ends) - 1].tolist()
-        for chunk, a, b in zip(chunks, [0, *upto], upto):
-            self.known[chunk] = packed[4 * a : 4 * b]
+        return {chunk: packed[4 * a : 4 * b] for chunk, a, b in zip(chunks, [0, *upto], upto)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The texts' ids as packed 32-bit integers"""
         added = self.vocabulary.added
         cut = [self.split.split(t) if self.split else [t] for t in texts]
         found = [[[p] if i % 2 else self.chunks.findall(p) for i, p in enumerate(parts)] for parts in cut]
-        new = {c for parts in found for chunks in parts[::2] for c in chunks} - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = {c for parts in found for chunks in parts[::2] for c in chunks}
-        if new:
-            self.learn(list(new))
+        times = Counter(chain.from_iterable(chunks for parts in found for chunks in parts[::2]))
+        new = [c for c in times if c not in self.known]
+        learnt = self.learn(new) if new else {}
+        self.known.update(learnt)
         ids_of, special = self.known.__getitem__, {k: np.array([i], np.int32).tobytes() for k, i in added.items()}
-        return [
+        out = [
             b"".join([special[chunks[0]] if i % 2 else b"".join(map(ids_of, chunks)) for i, chunks in enumerate(parts)])
             for parts in found
         ]
+        for chunk, packed in learnt.items():
+            if times[chunk] > 1:
+                self.held += ENTRY + 4 * len(chunk) + len(packed)
+            else:
+                del self.known[chunk]
+        if self.held > REMEMBERED:
+            self.known, self.held = {}, 0
+        return out
+
+
+class Decoder:
+    """Decodes ids: the bytes of all tokens as one buffer with offsets"""
+
+    def __init__(self, vocabulary: Vocabulary):
+        tokens = [vocabulary.token_bytes.get(i, b"") for i in range(vocabulary.ids)]
+        self.known = np.array([i in vocabulary.token_bytes for i in range(vocabulary.ids)])
+        self.buffer = np.frombuffer(b"".join(tokens), np.uint8)
+        self.ends = np.cumsum([len(t) for t in tokens])
+        self.lengths = np.array([len(t) for t in tokens])
+
+    def decode(self, ids: np.ndarray) -> str:
+        if not len(ids):
+            return ""
+        if ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all():
+            raise ValueError("an id that the vocabulary does not have")
+        lengths = self.lengths[ids]
+        upto = np.cumsum(lengths)
+        places = np.repeat(self.ends[ids] - upto, lengths) + np.arange(upto[-1])
+        return self.buffer[places].tobytes().decode("utf-8", "replace")
+
+
+def packed_lists(packed: list[bytes]) -> pa.Array:
+    """Arrow lists of packed 32-bit integers"""
+    offsets = pa.array([0, *accumulate(len(p) // 4 for p in packed)], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32()))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", name: str = "ids") -> DataFrame:
@@ -217,29 +255,55 @@ def encode(docs: DataFrame, path: str, text: str = "text", name: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, RUN):
             packed = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
-            offsets = pa.array([0, *accumulate(len(p) // 4 for p in packed)], pa.int32())
-            values = pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32())
-            yield with_column(batch, name, pa.ListArray.from_arrays(offsets, values))
+            yield with_column(batch, name, packed_lists(packed))
 
     return docs.mapInArrow(run, schema_with(docs, name, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Add the text of an id column: the bytes of the tokens put together, read as UTF-8"""
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = df.sparkSession.sparkContext.broadcast(Decoder(Vocabulary(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.token_bytes.__getitem__
+        decoder = shared.value
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                texts = []
-                for row in batch.column(ids):
-                    values = row.values
-                    numbers = [] if values is None else values.to_numpy(zero_copy_only=False).tolist()
-                    texts.append(b"".join(map(token, numbers)).decode("utf-8", "replace"))
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                rows = [r.values for r in batch.column(ids)]
+                texts = [decoder.decode(r.to_numpy(zero_copy_only=False)) if r is not None else "" for r in rows]
                 yield with_column(batch, name, pa.array(texts, pa.string()))
 
     return df.mapInArrow(run, schema_with(df, name, T.StringType()))
+
+
+def code(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", compare: str | None = None
+) -> DataFrame:
+    """Add ids and the text they decode to, in one worker; the given text is not returned.
+
+    With ``compare`` the decoded text is not returned either: that column tells whether it equals the text.
+    """
+    vocabulary = Vocabulary(path)
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, Decoder(vocabulary)))
+    kept = docs.select(*[c for c in docs.columns if c not in (ids, compare or decoded)])
+    out = schema_with(kept.drop(text), ids, T.ArrayType(T.IntegerType()))
+    last = T.StructField(compare, T.BooleanType()) if compare else T.StructField(decoded, T.StringType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, decoder = shared.value
+        encoder = Encoder(vocabulary)
+        for batch in slices(batches, text, RUN):
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            packed = encoder.encode(texts)
+            again = [decoder.decode(np.frombuffer(p, np.int32)) for p in packed]
+            if compare:
+                end = pa.array([a == t for a, t in zip(again, texts)], pa.bool_())
+            else:
+                end = pa.array(again, pa.string())
+            names = [n for n in batch.schema.names if n != text]
+            columns = [batch.column(n) for n in names] + [packed_lists(packed), end]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, ids, last.name])
+
+    return kept.mapInArrow(run, T.StructType([*out.fields, last]))

@@ -57,7 +57,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    coded = bpe.code(read(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

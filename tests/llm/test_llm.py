@@ -186,6 +186,33 @@ def test_bpe_round_trip(docs, none, vocabulary):
     assert bpe.decode(bpe.encode(none, vocabulary), vocabulary).count() == 0
 
 
+def test_bpe_in_one_worker(spark, docs, vocabulary):
+    clashing = docs.withColumn("ids", F.lit("x")).withColumn("decoded", F.lit(1))
+    rows = bpe.code(clashing, vocabulary).collect()
+    two = bpe.decode(bpe.encode(docs, vocabulary), vocabulary).collect()
+    assert sorted((str(r["doc_id"]), r["ids"], r["decoded"]) for r in rows) == sorted(
+        (str(r["doc_id"]), r["ids"], r["decoded"]) for r in two
+    )
+    assert set(rows[0].asDict()) == {"doc_id", "source", "_row", "ids", "decoded"}
+    same = bpe.code(docs, vocabulary, compare="same").collect()
+    assert all(r["same"] for r in same) and "decoded" not in same[0]
+    with pytest.raises(Exception, match="does not have"):
+        bpe.decode(spark.createDataFrame([([-1],)], "ids array<int>"), vocabulary).collect()
+
+
+def test_bpe_table_is_bounded(vocabulary, monkeypatch):
+    shared = bpe.Vocabulary(vocabulary)
+    texts = [" ".join(f"w{i}q{j % 7}" for j in range(i, i + 200)) * 2 for i in range(0, 4000, 100)]
+    want = [bpe.Encoder(shared).encode([t])[0] for t in texts]
+    monkeypatch.setattr(bpe, "REMEMBERED", 20_000)
+    encoder, most = bpe.Encoder(shared), 0
+    for text, ids in zip(texts, want):
+        assert encoder.encode([text]) == [ids]
+        most = max(most, len(encoder.known))
+        assert encoder.held <= bpe.REMEMBERED
+    assert 0 < most <= bpe.REMEMBERED // bpe.ENTRY
+
+
 def test_licenses(docs, none):
     found = {r["doc_id"]: r for r in licenses.by_document(licenses.scan(docs)).collect()}
     assert (found[10]["n_matches"], found[10]["licenses"], found[10]["best_dice"]) == (1, "mit-short", 1.0)
