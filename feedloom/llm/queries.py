@@ -9,7 +9,20 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, licenses, line_dedup, mixing, neighbors, secrets, simhash, suffixes, toxicity
+from . import (
+    bpe,
+    fingerprints,
+    lexical,
+    licenses,
+    line_dedup,
+    mixing,
+    negatives,
+    neighbors,
+    secrets,
+    simhash,
+    suffixes,
+    toxicity,
+)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +98,17 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -103,4 +127,8 @@ QUERIES["op8_neighbors"] = op8_neighbors
 QUERIES["op9_simhash"] = op9_simhash
 QUERIES["op10_suffixes"] = op10_suffixes
 ORACLES["op10_suffixes"] = suffixes.SQL
+QUERIES["op11_negatives"] = op11_negatives
+ORACLES["op11_negatives"] = negatives.SQL
+QUERIES["op12_lexical"] = op12_lexical
+ORACLES["op12_lexical"] = lexical.SQL
 QUERIES["pipeline"] = pipeline
