@@ -18,6 +18,7 @@ from . import (
     mixing,
     negatives,
     neighbors,
+    scoring,
     secrets,
     simhash,
     suffixes,
@@ -109,6 +110,11 @@ def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", scoring.is_held_out().alias("held_out"))
+    return scoring.score(docs)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -131,4 +137,5 @@ QUERIES["op11_negatives"] = op11_negatives
 ORACLES["op11_negatives"] = negatives.SQL
 QUERIES["op12_lexical"] = op12_lexical
 ORACLES["op12_lexical"] = lexical.SQL
+QUERIES["op13_lm_scoring"] = op13_lm_scoring
 QUERIES["pipeline"] = pipeline
