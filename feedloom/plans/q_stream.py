@@ -83,6 +83,52 @@ def _(v: Views) -> DataFrame:
     return spark.read.schema("seq bigint, user_id bigint, t bigint").parquet(out)
 
 
+HALVES = """SELECT user_id, event_type, seq % 2 AS half, max(struct_pack(t_us := t_us, seq := seq)) AS x
+  FROM v_event GROUP BY ALL"""
+
+
+def _latest(v: Views, ttl_ms: int, pause: float) -> DataFrame:
+    """Even arrivals, a pause, odd arrivals, over one map state; the last output of each half"""
+    spark, source = v.spark, run_dir(v.spark, "map-source")
+    out, checkpoint = run_dir(spark, "map"), run_dir(spark, "map-checkpoint")
+    rows = v.event.select("user_id", "event_type", "t_us", "seq")
+
+    def take_in() -> None:
+        stream = readers.stream_files(spark, source, rows.schema)
+        latest = state.latest_per_field(stream, "user_id", "event_type", "t_us", "seq", ttl_ms=ttl_ms)
+        with state.map_state_store(spark), jobs.without_idle_batches(spark):
+            jobs.drain(jobs.to_files(latest, out, checkpoint))
+
+    rows.filter(c("seq") % 2 == 0).write.parquet(source)
+    take_in()
+    time.sleep(pause)
+    rows.filter(c("seq") % 2 == 1).write.mode("append").parquet(source)
+    take_in()
+    found = spark.read.schema(rows.select("user_id", "event_type", "t_us", "seq").schema).parquet(out)
+    last = found.groupBy("user_id", "event_type", (c("seq") % 2).alias("half")).agg(F.max(F.struct("t_us", "seq")).alias("x"))
+    return last.select("user_id", "event_type", "half", "x.t_us", "x.seq")
+
+
+@query(
+    "stream_map_state",
+    f"""WITH h AS ({HALVES}) SELECT b.user_id, b.event_type, b.half, b.x.t_us AS t_us, b.x.seq AS seq
+        FROM h b LEFT JOIN h a ON a.half = 0 AND b.half = 1 AND a.user_id = b.user_id AND a.event_type = b.event_type
+        WHERE a.x IS NULL OR b.x > a.x""",
+)
+def _(v: Views) -> DataFrame:
+    """The odd half shows only what rose: the even half's entries are still there"""
+    return _latest(v, 3_600_000, 0)
+
+
+@query(
+    "stream_map_state_ttl",
+    f"WITH h AS ({HALVES}) SELECT user_id, event_type, half, x.t_us AS t_us, x.seq AS seq FROM h",
+)
+def _(v: Views) -> DataFrame:
+    """The pause is longer than the expiry, so the odd half starts anew"""
+    return _latest(v, 500, 1)
+
+
 @query(
     "stream_tumbling_count",
     "SELECT t_ms // 5000 * 5000 AS window_start_ms, user_id, count(*) AS n FROM v_event GROUP BY 1, 2",

@@ -1,12 +1,15 @@
-"""Keyed state: the monotonic filter and its expiry."""
+"""Keyed state: the monotonic filter, latest times per field in map state, and their expiry."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 STATE_TTL_MS = 300_000
@@ -61,3 +64,78 @@ def monotonic_filter(
     return rows.groupBy(key).applyInPandasWithState(
         step, rows.schema, "top bigint, touched bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
     )
+
+
+# ---------------------------------------------------------------- map state
+
+MAP_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def map_state_store(spark: SparkSession) -> Iterator[None]:
+    """Map state and its expiry need a state store on disk; the setting is read when a query starts"""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, MAP_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+class LatestPerField(StatefulProcessor):
+    """A map field -> (time, seq) for each key; entries expire one by one"""
+
+    def __init__(self, names: tuple[str, ...], kinds: tuple[str, ...], ttl_ms: int):
+        self.names, self.kinds, self.ttl_ms = names, kinds, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        _, field, time, seq = self.kinds
+        self.latest = handle.getMapState(
+            "latest", f"field {field}", f"time {time}, seq {seq}", ttlDurationMs=self.ttl_ms
+        )
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best: dict = {}  # one entry for each field of the key's part in this batch
+        for chunk in rows:
+            for found in zip(*[chunk[n].tolist() for n in self.names[1:]]):
+                best[found[0]] = max(best.get(found[0], found[1:]), found[1:])
+        out = []
+        for field, new in best.items():
+            old = self.latest.getValue((field,)) if self.latest.containsKey((field,)) else None
+            # written back in any case: an entry lives on when it is read, not only when it rises
+            self.latest.updateValue((field,), new if old is None else max(tuple(old), new))
+            if old is None or new > tuple(old):
+                out.append((key[0], field, *new))
+        if out:
+            yield pd.DataFrame(out, columns=list(self.names))
+
+    def close(self) -> None:
+        pass
+
+
+def latest_per_field(
+    rows: DataFrame, key: str, field: str, time: str, seq: str, ttl_ms: int = STATE_TTL_MS, parts: int = 64
+) -> DataFrame:
+    """(key, field, time, seq) whenever a field of a key has a greater (time, seq) than its map state holds.
+
+    Each entry of the map expires ``ttl_ms`` after it was last read or written; a field that comes back later starts
+    anew. Start the query within ``map_state_store`` (and ``without_idle_batches`` for one that drains).
+
+    A key's map is dealt to ``parts`` groups by field, so that a key with a third of all rows is no single task's, and the
+    rows of one field are reduced to their greatest before the shuffle, one for each run of rows. Rows with a null in
+    one of the four columns are left out.
+    """
+    names = (key, field, time, seq)
+    whole = rows.select(*names).dropna()
+
+    def greatest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.sort_values([time, seq]).drop_duplicates([key, field], keep="last")
+
+    part = F.pmod(F.xxhash64(F.col(field)), F.lit(parts)).cast("int")
+    dealt = whole.mapInPandas(greatest, whole.schema).withColumn("_part", part)
+    kinds = tuple(dict(whole.dtypes)[n] for n in names)
+    return dealt.groupBy(key, "_part").transformWithStateInPandas(
+        LatestPerField(names, kinds, ttl_ms), whole.schema, "append", "processingTime"
+    )
