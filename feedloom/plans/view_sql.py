@@ -21,6 +21,13 @@ def history_sql(kind: str) -> str:
       FROM v_event WHERE event_type = '{kind}'"""
 
 
+def nearest_list_sql(centroids: str) -> str:
+    """Every item with all lists, by the nearness of their centroids"""
+    return f"""SELECT item_id, i.u AS u, list, row_number() OVER (PARTITION BY item_id ORDER BY
+      list_dot_product(i.u, c.u) / CASE WHEN list_dot_product(c.u, c.u) > 0 THEN sqrt(list_dot_product(c.u, c.u)) ELSE 1 END
+      DESC, list) AS place FROM v_unit i, {centroids} c"""
+
+
 NEWS_ID = "(CASE WHEN k % 11 = 0 THEN 'V06' ELSE 'V00' END) || k"
 
 VIEWS = {
@@ -39,9 +46,25 @@ VIEWS = {
       FROM v_event""",
     "v_item": """SELECT vec_id AS item_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS embedding
       FROM embeddings""",
-    "v_neighbors": """SELECT item_id AS news_id, CAST(label AS VARCHAR) AS articletype,
-      CAST(item_id + 1 + unnest(list_transform(embedding[1:5], lambda x: CAST(floor(abs(x) * 1000) AS BIGINT)))
-        AS VARCHAR) AS recalled FROM v_item""",
+    "v_unit": """SELECT item_id, list_transform(embedding, lambda x: CAST(floor(
+      x / sqrt(list_dot_product(embedding, embedding)) * 10000) AS DOUBLE)) AS u FROM v_item""",
+    "v_seeds": """SELECT row_number() OVER (ORDER BY item_id) - 1 AS list, u FROM v_unit
+      WHERE CAST('0x' || substr(md5(CAST(item_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE
+        < floor(sqrt((SELECT count(*) FROM v_unit))) / (SELECT count(*) FROM v_unit)::DOUBLE""",
+    "v_first_lists": nearest_list_sql("v_seeds"),
+    "v_means": """SELECT list, list(m ORDER BY d) AS u FROM (
+        SELECT list, d, floor(sum(x) / count(*)) AS m FROM
+          (SELECT list, unnest(u) AS x, unnest(range(len(u))) AS d FROM v_first_lists WHERE place = 1)
+        GROUP BY list, d) GROUP BY list
+      UNION ALL SELECT list, u FROM v_seeds
+        WHERE list NOT IN (SELECT list FROM v_first_lists WHERE place = 1)""",
+    "v_lists": nearest_list_sql("v_means"),
+    "v_near": """SELECT q.item_id, x.item_id AS neighbor FROM v_lists q JOIN v_lists x
+        ON x.list = q.list AND x.place = 1 AND x.item_id <> q.item_id
+      WHERE q.place <= ceil((SELECT count(*) FROM v_seeds) * (2.0::DOUBLE / 3))
+      QUALIFY row_number() OVER (PARTITION BY q.item_id ORDER BY list_dot_product(q.u, x.u) DESC, x.item_id) <= 5""",
+    "v_neighbors": """SELECT item_id AS news_id, CAST(neighbor AS VARCHAR) AS recalled,
+      CAST(label AS VARCHAR) AS articletype FROM v_near JOIN v_item USING (item_id)""",
     "v_tags": """SELECT doc_id, tag, CAST(count(*) AS DOUBLE) AS w FROM
       (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS tag FROM documents)
       WHERE tag <> '' GROUP BY doc_id, tag""",

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import DAY_MS, epoch_ms, epoch_us, int_div
-from ..operators import lookups, recall
+from ..operators import lookups, neighbors, recall
+from ..operators.skew import lookup_join
 from ..session import materialize
 from ..sources import readers
 
@@ -154,17 +155,14 @@ class Views:
 
     @cached_property
     def neighbors(self) -> DataFrame:
-        """A neighbour table as recall reads it: five recalled ids per item.
-
-        The recalled ids are offsets read off the item's vector. Real nearest neighbours would need all
-        pairs of items; recall only reads such a table.
-        """
-        offsets = F.transform(F.slice("embedding", 1, 5), lambda x: F.floor(F.abs(x) * 1000).cast("bigint"))
-        return self.item.select(
-            F.col("item_id").alias("news_id"),
-            F.explode(offsets).alias("o"),
-            F.col("label").cast("string").alias("articletype"),
-        ).select("news_id", (F.col("news_id") + 1 + F.col("o")).cast("string").alias("recalled"), "articletype")
+        """A neighbour table as recall reads it: the five nearest others found of every item, by whole vectors"""
+        items = self.item.select("item_id", "embedding")
+        found = materialize(neighbors.nearest(items, "item_id", "embedding"), "neighbors")
+        kinds = self.item.select("item_id", F.col("label").cast("string").alias("articletype"))
+        named = lookup_join(found, kinds, "item_id", "inner", spread=["neighbor"])
+        return named.select(
+            F.col("item_id").alias("news_id"), F.col("neighbor").cast("string").alias("recalled"), "articletype"
+        )
 
     @cached_property
     def tokens(self) -> DataFrame:
