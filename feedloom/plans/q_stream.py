@@ -184,11 +184,11 @@ def _(v: Views) -> DataFrame:
     return spark.read.schema("seq bigint, user_id bigint, t bigint").parquet(out)
 
 
-@query(
-    "stream_cdc_upsert",
-    f"""SELECT event_time, {', '.join(f'max_by({x}, seq) AS {x}' for x in CELLS)} FROM v_cdc_rows
-        WHERE action_type = 'INSERT' GROUP BY event_time""",
-)
+UPSERT_SQL = f"""SELECT event_time, {', '.join(f'max_by({x}, seq) AS {x}' for x in CELLS)} FROM v_cdc_rows
+  WHERE action_type = 'INSERT' GROUP BY event_time"""
+
+
+@query("stream_cdc_upsert", UPSERT_SQL)
 def _(v: Views) -> DataFrame:
     values = v.stream("orders").select(c("o_orderkey").alias("seq"), cdc_json().alias("value"))
     rows = cdc.cdc_flatten(cdc.cdc_filter(values, "INSERT", "shop", "orders"), "id", keep=("seq",))
@@ -198,6 +198,19 @@ def _(v: Views) -> DataFrame:
     return jobs.read_upserts(v.spark, table, "event_time", CELLS)
 
 
+@query("stream_upsert_levels", UPSERT_SQL)
+def _(v: Views) -> DataFrame:
+    """Six batches in any order of arrival, folded two at a time into runs of up to two levels"""
+    spark, source, table = v.spark, run_dir(v.spark, "levels-source"), run_dir(v.spark, "levels")
+    values = v.table("orders").select(c("o_orderkey").alias("seq"), cdc_json().alias("value"))
+    values.repartition(6, "seq").write.parquet(source)
+    stream = readers.stream_files(spark, source, values.schema, files_per_trigger=1)
+    rows = cdc.cdc_flatten(cdc.cdc_filter(stream, "INSERT", "shop", "orders"), "id", keep=("seq",))
+    sink = jobs.upsert_sink(table, "event_time", CELLS, "seq", fan=2)
+    jobs.drain(jobs.to_batches(rows, sink, run_dir(spark, "levels-checkpoint")))
+    return jobs.read_upserts(spark, table, "event_time", CELLS)
+
+
 @query(
     "stream_cdc_files",
     """SELECT concat_ws(chr(9), CAST(req AS VARCHAR), strftime(make_timestamp(req * 1000), '%Y-%m-%d %H:%M:%S'), 'chat',

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import cdc, keyed, windows
+from ..operators import cdc, windows
 from ..sources.writers import with_bucket
+from . import levels
 
 
 def drain(query: StreamingQuery) -> None:
@@ -104,44 +105,46 @@ def read_counts(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFra
 # ---------------------------------------------------------------- keyed tables
 
 
-def batch_folder(table: str, batch_id: int) -> str:
-    return f"{table}/batch={batch_id:012d}"
-
-
 def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
     """A batch's rows in a folder of its own; a repeated batch replaces its folder, so it counts once"""
-    df.write.mode("overwrite").parquet(batch_folder(table, batch_id))
+    df.write.mode("overwrite").parquet(levels.batch_path(table, batch_id))
 
 
-def upsert_sink(
-    table: str, key: str, cells: Sequence[str], seq: str
+def keyed_sink(
+    table: str, keyed: levels.Keyed, seq: str, time: str | None = None, fan: int = levels.FAN
 ) -> Callable[[DataFrame, int], None]:
-    """Append each batch reduced to one row per key; ``read_upserts`` merges the batches.
+    """Write each batch reduced to one row per key; fold folders as they add up (``levels.compact``).
 
-    Only the batch's own keys are written. Rewriting the whole keyed table per micro-batch would cost the
-    size of the table, not that of the batch.
+    Only the batch's own keys are written. Rewriting the whole keyed table per micro-batch would cost the size of the
+    table, not that of the batch. A batch that is repeated after it was folded is not written again.
     """
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        latest = df.groupBy(key).agg(
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in cells],
-            *[F.max(F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"_seq_{c}") for c in cells],
-        )
-        write_batch(latest, table, batch_id)
+        spark = df.sparkSession
+        if batch_id > levels.manifest(spark, table)["last"]:
+            write_batch(keyed.reduced(df, seq, time), table, batch_id)
+        levels.compact(spark, table, keyed, fan)
 
     return handle
 
 
+def upsert_sink(
+    table: str, key: str, cells: Sequence[str], seq: str, fan: int = levels.FAN
+) -> Callable[[DataFrame, int], None]:
+    """Last write of every cell wins, by ``seq``; ``read_upserts`` gives the table"""
+    return keyed_sink(table, levels.Keyed((key,), tuple(cells)), seq, fan=fan)
+
+
 def read_upserts(spark: SparkSession, table: str, key: str, cells: Sequence[str]) -> DataFrame:
     """The keyed table: the last write of every cell over all batches"""
-    return spark.read.parquet(table).groupBy(key).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(f"_seq_{c}"))).alias(c) for c in cells]
-    )
+    return levels.read(spark, table, levels.Keyed((key,), tuple(cells)))
 
 
 def compact_upserts(spark: SparkSession, table: str, key: str, cells: Sequence[str], target: str) -> None:
-    """Fold all batches of a keyed table into one table, for readers that do not merge"""
-    read_upserts(spark, table, key, cells).write.mode("overwrite").parquet(target)
+    """One merged copy of a keyed table with its sequence numbers, for readers that do not merge"""
+    keyed = levels.Keyed((key,), tuple(cells))
+    rows = levels.rows_of(spark, levels.paths(spark, table), keyed)
+    keyed.merged(rows).write.mode("overwrite").parquet(target)
 
 
 # ---------------------------------------------------------------- CDC
@@ -169,18 +172,15 @@ def first_writes(actions: DataFrame, name: str, field: str) -> DataFrame:
     return actions.dropDuplicates([name, field])
 
 
-def first_write_sink(table: str, name: str, field: str, value: str, seq: str) -> Callable[[DataFrame, int], None]:
-    """Set-if-absent with the arrival order given by ``seq``: each batch adds its first writes"""
-
-    def handle(df: DataFrame, batch_id: int) -> None:
-        first = df.groupBy(name, field).agg(F.min_by(value, seq).alias(value), F.min(seq).alias("_seq"))
-        write_batch(first, table, batch_id)
-
-    return handle
+def first_write_sink(
+    table: str, name: str, field: str, value: str, seq: str, fan: int = levels.FAN
+) -> Callable[[DataFrame, int], None]:
+    """Set-if-absent with the arrival order given by ``seq``; a null is no write"""
+    return keyed_sink(table, levels.Keyed((name, field), (value,), first=True), seq, fan=fan)
 
 
 def read_first_writes(spark: SparkSession, table: str, name: str, field: str, value: str) -> DataFrame:
-    return keyed.set_if_absent(spark.read.parquet(table), name, field, value, "_seq")
+    return levels.read(spark, table, levels.Keyed((name, field), (value,), first=True))
 
 
 # ---------------------------------------------------------------- SQL
