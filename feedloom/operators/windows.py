@@ -40,22 +40,24 @@ def running_collect(df: DataFrame, batch: Column, order: Sequence[str], value: s
 
 
 def monotonic_filter(
-    df: DataFrame, key: str, time: str, seq: str, block_rows: int = 100_000, emit_first: bool = True
+    df: DataFrame, key: str, time: str, seq: str, block_rows: int = 100_000, emit_first: bool = True,
+    start: str | None = None,
 ) -> DataFrame:
     """Keep a row when its time is greater than every earlier time of its key (by ``seq``).
 
     The start value is 0, so the first row of a key is kept when its time is positive; with
     ``emit_first=False`` it only sets the state. Each key is cut into blocks of ``seq``; a block's start
-    value is the greatest time of the blocks before it.
+    value is the greatest time of the blocks before it. ``start`` names a column with the key's time before all rows,
+    null for none.
     """
     rows = df.withColumn("_block", int_div(F.col(seq), block_rows))
     offsets = block_offsets(rows, [key], "_block", {"_before": F.max(time)}, F.max)
     inside = (
         Window.partitionBy(key, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     )
-    state = F.greatest("_seen", "_before")  # greatest skips nulls
+    state = F.greatest("_seen", "_before", *([start] if start else []))  # greatest skips nulls
     if emit_first:
-        keep = F.col(time) > F.coalesce(state, F.lit(0))
+        keep = F.col(time) > F.greatest(state, F.lit(0))
     else:
         keep = F.col(time) > state
     return (

@@ -48,9 +48,10 @@ def _(v: Views) -> DataFrame:
 
 def _increasing(v: Views, ttl_ms: int) -> DataFrame:
     rows = parsed_wordtime(event_stream(v).select("seq", wordtime_text().alias("value")))
-    kept = state.monotonic_filter(rows, "user_id", "t", "seq", ttl_ms=ttl_ms)
-    with jobs.without_idle_batches(v.spark):
-        return landed(v, kept, "increasing")
+    out = run_dir(v.spark, "increasing")
+    sink = state.increasing_sink(out, run_dir(v.spark, "tops"), "user_id", "t", "seq", ttl_ms=ttl_ms)
+    jobs.drain(jobs.to_batches(rows, sink, run_dir(v.spark, "increasing-checkpoint")))
+    return state.read_kept(v.spark, out, rows.schema)
 
 
 @query("stream_monotonic_filter", MONOTONIC_SQL)
@@ -66,21 +67,20 @@ def _(v: Views) -> DataFrame:
 def _(v: Views) -> DataFrame:
     """Even arrivals, a pause longer than the expiry, odd arrivals: these start without state"""
     spark, source = v.spark, run_dir(v.spark, "ttl-source")
-    out, checkpoint = run_dir(spark, "ttl"), run_dir(spark, "ttl-checkpoint")
+    out, tops, checkpoint = (run_dir(spark, name) for name in ("ttl", "ttl-tops", "ttl-checkpoint"))
     rows = v.event.select("seq", wordtime_text().alias("value"))
 
     def take_in() -> None:
         parsed = parsed_wordtime(readers.stream_files(spark, source, rows.schema))
-        kept = state.monotonic_filter(parsed, "user_id", "t", "seq", ttl_ms=500)
-        with jobs.without_idle_batches(spark):
-            jobs.drain(jobs.to_files(kept, out, checkpoint))
+        sink = state.increasing_sink(out, tops, "user_id", "t", "seq", ttl_ms=500)
+        jobs.drain(jobs.to_batches(parsed, sink, checkpoint))
 
     rows.filter(c("seq") % 2 == 0).write.parquet(source)
     take_in()
     time.sleep(1)
     rows.filter(c("seq") % 2 == 1).write.mode("append").parquet(source)
     take_in()
-    return spark.read.schema("seq bigint, user_id bigint, t bigint").parquet(out)
+    return state.read_kept(spark, out, "seq bigint, user_id bigint, t bigint")
 
 
 HALVES = """SELECT user_id, event_type, seq % 2 AS half, max(struct_pack(t_us := t_us, seq := seq)) AS x

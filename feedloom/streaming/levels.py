@@ -114,11 +114,12 @@ def batch_path(table: str, batch: int) -> str:
     return f"{table}/{BATCH}{batch:012d}"
 
 
-def paths(spark: SparkSession, table: str) -> list[str]:
-    """The folders that make up the table now"""
+def paths(spark: SparkSession, table: str, before: int | None = None) -> list[str]:
+    """The folders that make up the table now, or before batch ``before`` added to it"""
     known = manifest(spark, table)
     runs = [f"{table}/_runs/{r['folder']}" for r in known["runs"]]
-    return runs + [batch_path(table, b) for b in later_batches(spark, table, known["last"])]
+    later = later_batches(spark, table, known["last"])
+    return runs + [batch_path(table, b) for b in later if before is None or b < before]
 
 
 # ---------------------------------------------------------------- reading and folding
@@ -158,14 +159,16 @@ def fold(spark: SparkSession, table: str, folders: Sequence[str], keyed: Keyed,
     return name
 
 
-def compact(spark: SparkSession, table: str, keyed: Keyed, fan: int = FAN, as_of_ms: int | None = None) -> int:
+def compact(
+    spark: SparkSession, table: str, keyed: Keyed, fan: int = FAN, as_of_ms: int | None = None, before: int | None = None
+) -> int:
     """Fold what has come to ``fan`` folders and publish a new version; returns how many runs were written.
 
-    One writer at a time: a version that another one has published meanwhile makes this one fail, with nothing changed.
+    ``before`` leaves that batch and later ones alone. One writer at a time: a version that another one has published meanwhile makes this one fail, with nothing changed.
     """
     known = manifest(spark, table)
     runs, last, written = list(known["runs"]), known["last"], 0
-    batches = later_batches(spark, table, last)
+    batches = [b for b in later_batches(spark, table, last) if before is None or b < before]
     if len(batches) >= fan:
         folders = [batch_path(table, b) for b in batches]
         name = fold(spark, table, folders, keyed, as_of_ms, oldest=not runs)

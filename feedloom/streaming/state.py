@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time as clock
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import windows
+from ..operators.skew import lookup_join
+from . import levels
+
 STATE_TTL_MS = 300_000
 
 
@@ -66,6 +71,62 @@ def monotonic_filter(
     )
 
 
+# ---------------------------------------------------------------- without keyed Python
+
+
+def increasing_sink(
+    out: str,
+    table: str,
+    key: str,
+    time: str,
+    seq: str,
+    ttl_ms: int = STATE_TTL_MS,
+    emit_first: bool = True,
+    block_rows: int = 100_000,
+    fan: int = levels.FAN,
+    now_ms: Callable[[], int] = lambda: int(clock.time() * 1000),
+) -> Callable[[DataFrame, int], None]:
+    """The monotonic filter as a sink: kept rows in ``out``, a folder for each batch, and every key's top in ``table``.
+
+    A batch is filtered by ``windows.monotonic_filter``, which cuts each key into blocks of arrival numbers, so a key
+    with a third of the rows is spread over as many tasks as it has blocks and no task holds it as a whole. The keys'
+    tops before the batch are joined to its rows (hot keys salted). Tops are written for the batch's own keys only, with
+    the time they were last touched, and folded in levels.
+
+    A repeated batch starts from the tops before it and replaces its folders: only batches before the present one are
+    folded. A top that was not touched for ``ttl_ms`` counts as none.
+    """
+    keyed = levels.Keyed((key,), ("top", "touched"))
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        spark, now = df.sparkSession, now_ms()
+        levels.compact(spark, table, keyed, fan, before=batch_id)
+        rows = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).persist()
+        folders = levels.paths(spark, table, before=batch_id)
+        if folders:
+            tops = keyed.merged(levels.rows_of(spark, folders, keyed))
+            alive = tops.filter(F.col("touched") + F.lit(ttl_ms) > F.lit(now)).select(key, F.col("top").alias("_start"))
+            started = lookup_join(rows, alive, key, "left", spread=[seq])
+        else:
+            started = rows.withColumn("_start", F.lit(None).cast("bigint"))
+        kept = windows.monotonic_filter(started, key, time, seq, block_rows, emit_first, start="_start")
+        kept.select(*df.columns).write.mode("overwrite").parquet(levels.batch_path(out, batch_id))
+        tops = [F.max(time), F.max("_start"), *([F.lit(0)] if emit_first else [])]
+        marks = [F.lit(batch_id).cast("bigint").alias(f"_seq_{c}") for c in keyed.cells]
+        new = started.groupBy(key).agg(F.greatest(*tops).cast("bigint").alias("top"))
+        touched = new.withColumn("touched", F.lit(now).cast("bigint")).select(*new.columns, "touched", *marks)
+        touched.write.mode("overwrite").parquet(levels.batch_path(table, batch_id))
+        rows.unpersist()
+
+    return handle
+
+
+def read_kept(spark: SparkSession, out: str, schema) -> DataFrame:
+    """The rows that ``increasing_sink`` kept"""
+    folders = [levels.batch_path(out, b) for b in levels.later_batches(spark, out, -1)]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 # ---------------------------------------------------------------- map state
 
 MAP_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

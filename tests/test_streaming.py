@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.operators import windows
 from feedloom.session import run_dir, shared_dir
 from feedloom.sources import readers
-from feedloom.streaming import jobs, state
+from feedloom.streaming import jobs, levels, state
 
 c = F.col
 
@@ -201,3 +201,53 @@ def test_map_state_of_a_hot_key_is_dealt_to_tasks(spark):
     assert {tuple(r) for r in got.collect()} == {(1, f"f{i % 50}", i, i) for i in range(2950, 3000)}
     plan = spark.createDataFrame(rows, stream.schema).select(F.pmod(F.xxhash64("f"), F.lit(8)).alias("p")).distinct()
     assert plan.count() > 4
+
+
+ARRIVALS = "seq bigint, k bigint, t bigint"
+
+
+@pytest.mark.parametrize("emit_first", [True, False])
+def test_increasing_sink_equals_the_filter_over_all_batches(spark, emit_first):
+    rng = np.random.default_rng(2)
+    rows = [(i, int(rng.integers(0, 5)) if i % 3 else 0, int(rng.integers(-50, 50) + i // 10)) for i in range(600)]
+    out, table = run_dir(spark, "kept"), run_dir(spark, "tops")
+    sink = state.increasing_sink(out, table, "k", "t", "seq", emit_first=emit_first, block_rows=20, fan=2)
+    for batch in range(6):
+        sink(spark.createDataFrame(rows[100 * batch : 100 * batch + 100], ARRIVALS).repartition(3), batch)
+    # the last batch is repeated, as after a failure
+    sink(spark.createDataFrame(rows[500:], ARRIVALS), 5)
+    got = [tuple(r) for r in state.read_kept(spark, out, ARRIVALS).collect()]
+    want, tops = [], {}
+    for seq, k, t in rows:
+        if t > tops.get(k, 0 if emit_first else t):
+            want.append((seq, k, t))
+        tops[k] = max(tops.get(k, 0 if emit_first else t), t)
+    assert sorted(got) == want
+    assert len(levels.versions(spark, table)) == 2  # tops are folded on the way
+
+
+def test_increasing_sink_lets_tops_expire(spark):
+    out, table, now = run_dir(spark, "kept"), run_dir(spark, "tops"), [0]
+    sink = state.increasing_sink(out, table, "k", "t", "seq", ttl_ms=10, now_ms=lambda: now[0])
+    for batch, (at, *rows) in enumerate(
+        [(0, (0, 1, 10), (1, 2, 10)), (9, (2, 1, 5)), (15, (3, 1, 6), (4, 2, 6)), (26, (5, 1, 1), (None, None, None))]
+    ):
+        now[0] = at
+        sink(spark.createDataFrame(rows, ARRIVALS), batch)
+    # key 1 was read at 9 and lives on at 15, key 2 was not; at 26 both are over
+    assert {r["seq"] for r in state.read_kept(spark, out, ARRIVALS).collect()} == {0, 1, 4, 5}
+
+
+def test_a_key_with_a_third_of_the_rows_uses_several_tasks(spark):
+    rows = spark.range(9000).select(
+        F.col("id").alias("seq"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("t")
+    )
+    name = "spark.sql.adaptive.coalescePartitions.enabled"  # would put these few rows into one task
+    spark.conf.set(name, "false")
+    try:
+        started = rows.withColumn("_start", F.lit(30))
+        kept = windows.monotonic_filter(started, "k", "t", "seq", block_rows=500, start="_start")
+        hot = kept.filter("k = 0").withColumn("task", F.spark_partition_id())
+        assert hot.count() == 2989 and hot.select("task").distinct().count() > 1
+    finally:
+        spark.conf.unset(name)
