@@ -247,7 +247,7 @@ def test_a_key_with_a_third_of_the_rows_uses_several_tasks(spark):
     try:
         started = rows.withColumn("_start", F.lit(30))
         kept = windows.monotonic_filter(started, "k", "t", "seq", block_rows=500, start="_start")
-        hot = kept.filter("k = 0").withColumn("task", F.spark_partition_id())
+        hot = kept.withColumn("task", F.spark_partition_id()).filter("k = 0")
         assert hot.count() == 2989 and hot.select("task").distinct().count() > 1
     finally:
         spark.conf.unset(name)
