@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .skew import lookup_join
 
 # ---------------------------------------------------------------- scans
@@ -87,6 +88,57 @@ def check_and_delete(table: DataFrame, requests: DataFrame, key: str, check: str
     return out.withColumn(target, F.when(~F.coalesce("applied", F.lit(False)), F.col(target)))
 
 
+def delete_in_order(
+    table: DataFrame, requests: DataFrame, key: str, cells: Sequence[str], seq: str
+) -> tuple[DataFrame, DataFrame]:
+    """Conditional deletes applied one after another: a later check sees what an earlier delete did.
+
+    ``requests`` has the key, ``seq`` (the order within a key), ``check`` and ``target`` (names of cells) and
+    ``expected`` (the check cell's value as text, null for an absent cell). A request holds when its check cell is as
+    expected at its turn; then its target cell is blank from there on. Returns the table (one row per key) after all
+    requests, and the requests for keys of the table with ``applied``.
+
+    A cell can be blanked once only. So between two changes of a row nothing depends on order, and the next change is the
+    earliest request that holds now and has something to delete: a minimum, combined on the map side. As many such turns
+    as there are cells settle every key at once, however many requests it has; no task sorts or folds a key's requests.
+    Equal ``seq`` of a key are ordered by target, check and expected value.
+    """
+    values = {c: F.col(f"_v_{c}") for c in cells}
+    cells_of = table.select(key, *[F.col(c).cast("string").alias(f"_v_{c}") for c in cells])
+    place = F.struct(F.col(seq).alias("s"), "target", "check", "expected")
+    asked = lookup_join(requests, cells_of, key, "inner", spread=[seq, "target", "check"])
+    met = materialize(asked.withColumn("_place", place), "requests")
+    gone = {c: F.col(f"_gone_{c}") for c in cells}
+    kind = met.schema["_place"].dataType
+    blank = {f"_gone_{c}": F.lit(None).cast(kind) for c in cells}
+    settled = materialize(cells_of.select(key).withColumns(blank), "blanked")
+
+    def value(name: str, turn: Column | None) -> Column:
+        """The cell a column names, before the change at ``turn`` (None: after all changes so far)"""
+        out = F.lit(None).cast("string")
+        for c in cells:
+            kept = gone[c].isNull() if turn is None else gone[c].isNull() | (gone[c] >= turn)
+            out = F.when(F.col(name) == c, F.when(kept, values[c])).otherwise(out)
+        return out
+
+    latest = F.greatest(*gone.values()) if len(cells) > 1 else gone[cells[0]]
+    for _ in cells:
+        now = lookup_join(met, settled, key, "inner", spread=[seq, "target", "check"])
+        open_ = now.filter(latest.isNull() | (F.col("_place") > latest))
+        holding = open_.filter(value("check", None).eqNullSafe(F.col("expected")) & value("target", None).isNotNull())
+        found = materialize(holding.groupBy(key).agg(F.min("_place").alias("_next")), "next")
+        if found.isEmpty():
+            break
+        changed = {n: F.when(F.col("_next.target") == c, F.col("_next")).otherwise(F.col(n)) for c, n in
+                   ((c, f"_gone_{c}") for c in cells)}
+        settled = materialize(settled.join(found, key, "left").withColumns(changed).drop("_next"), "blanked")
+
+    final = table.join(settled, key, "left").withColumns({c: F.when(gone[c].isNull(), F.col(c)) for c in cells})
+    judged = lookup_join(met, settled, key, "inner", spread=[seq, "target", "check"])
+    applied = value("check", F.col("_place")).eqNullSafe(F.col("expected"))
+    return final.select(*table.columns), judged.select(*requests.columns, applied.alias("applied"))
+
+
 def set_if_absent(df: DataFrame, name: str, field: str, value: str, seq: str) -> DataFrame:
     """The first value written to each (name, field)"""
     return df.groupBy(name, field).agg(F.min_by(value, seq).alias(value))

@@ -91,6 +91,38 @@ def _(v: Views) -> DataFrame:
     return out.select("rowkey", "segment", "name", c("applied").cast("int").alias("applied"))
 
 
+@query(
+    "check_and_delete_in_order",
+    """WITH o AS (SELECT rowkey, name, segment, bal, CAST(rowkey AS BIGINT) % 2 = 1 AS odd FROM v_kv),
+       a AS (SELECT *, segment = 'BUILDING' AS a_ok FROM o),
+       b AS (SELECT *, odd AND a_ok AS b_ok FROM a),
+       f AS (SELECT rowkey, odd, a_ok, b_ok, CASE WHEN NOT a_ok THEN name END AS name,
+         CASE WHEN NOT b_ok THEN bal END AS bal, CASE WHEN NOT b_ok THEN segment END AS segment FROM b)
+       SELECT rowkey, CAST(unnest([1, 2, 3]) AS BIGINT) AS turn,
+         CAST(unnest(CASE WHEN odd THEN [a_ok, b_ok, b_ok] ELSE [false, false, a_ok] END) AS INTEGER) AS applied,
+         name, segment, bal FROM f""",
+)
+def _(v: Views) -> DataFrame:
+    """Three requests a key that hang together: they follow each other for odd keys and come in reverse for even ones"""
+    table = v.kv.select("rowkey", "name", "segment", "bal")
+    odd = c("rowkey").cast("bigint") % 2 == 1
+    chain = [("segment", "BUILDING", "name"), ("name", None, "bal"), ("bal", None, "segment")]
+    steps = F.array(
+        *[
+            F.struct(
+                F.when(odd, n + 1).otherwise(3 - n).cast("bigint").alias("turn"),
+                F.lit(check).alias("check"),
+                F.lit(expected).cast("string").alias("expected"),
+                F.lit(target).alias("target"),
+            )
+            for n, (check, expected, target) in enumerate(chain)
+        ]
+    )
+    requests = table.select("rowkey", F.inline(steps))
+    final, judged = keyed.delete_in_order(table, requests, "rowkey", ["name", "segment", "bal"], "turn")
+    return judged.select("rowkey", "turn", c("applied").cast("int").alias("applied")).join(final, "rowkey")
+
+
 ACTION_ROWS = """(SELECT seq, t_ms, CAST(user_id AS VARCHAR) AS name, CAST(k AS VARCHAR) AS news_id,
   CASE WHEN event_type = 'click' THEN '1' ELSE '0' END AS click FROM v_event)"""
 FIRST_SQL = f"SELECT name, news_id, min_by(click, seq) AS click FROM {ACTION_ROWS} GROUP BY name, news_id"

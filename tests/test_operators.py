@@ -423,3 +423,33 @@ def test_profile_keeps_whole_histories(spark, tmp_path):
         views.requests, views.request_items, views.training_dictionary, None, ["sl_news_id_nv_14days_s_times"], views.behaviours
     ).collect()
     assert len(got) == 350 and {r["sl_news_id_nv_14days_s_times"][0] for r in got} == {350.0}
+
+
+def test_deletes_in_order_against_one_by_one(spark):
+    rng = random.Random(9)
+    cells = ["x", "y", "z"]
+    table = [(k, *[rng.choice([None, "1", "2"]) for _ in cells]) for k in range(30)]
+    requests = []
+    for k in range(-2, 32):
+        for turn in rng.sample(range(100), rng.randint(0, 12) if k != 7 else 60):
+            requests.append((k, turn, rng.choice(cells), rng.choice([None, "1", "2"]), rng.choice(cells)))
+    rows = {k: dict(zip(cells, v)) for k, *v in table}
+    want = []
+    for k, turn, check, expected, target in sorted(requests, key=lambda r: r[:2]):
+        if k in rows:
+            holds = rows[k][check] == expected
+            want.append((k, turn, holds))
+            if holds:
+                rows[k][target] = None
+    final, judged = keyed.delete_in_order(
+        spark.createDataFrame(table, "k long, x string, y string, z string"),
+        spark.createDataFrame(requests, "k long, turn long, check string, expected string, target string"),
+        "k",
+        cells,
+        "turn",
+    )
+    assert sorted((r["k"], r["turn"], r["applied"]) for r in judged.collect()) == want
+    assert {tuple(r) for r in final.collect()} == {(k, *v.values()) for k, v in rows.items()}
+    none = spark.createDataFrame([], "k long, turn long, check string, expected string, target string")
+    same, nothing = keyed.delete_in_order(spark.createDataFrame(table, final.schema), none, "k", cells, "turn")
+    assert {tuple(r) for r in same.collect()} == set(table) and nothing.count() == 0
