@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import first_pieces
 from ..functions.sequences import pad
 from ..session import materialize
 from .skew import block_offsets, lookup_join
@@ -55,30 +56,55 @@ def multi_encode(
     )
 
 
+def coding_map_by_dictionary(
+    df: DataFrame, dictionary: DataFrame, feature: str, row_id: str, text: str, name: str
+) -> DataFrame:
+    """(row_id, name): 'k:v,k:v' -> map<int,double> whose keys are the dictionary's codes (0 when unknown).
+
+    Of several pieces with one code the last counts; a null or blank text gives an empty map. A row's map is as long as
+    its text has pieces.
+    """
+    pieces = df.select(row_id, F.posexplode_outer(first_pieces(F.col(text))).alias("pos", "piece"))
+    split = F.split("piece", ":")
+    coded = dict_encode(
+        pieces.select(row_id, "pos", split[0].alias("key"), split[1].try_cast("double").alias("value")),
+        dictionary, feature, "key", "code",
+    )
+    last = coded.groupBy(row_id, "code").agg(
+        F.max("pos").alias("pos"), F.max_by("value", "pos").alias("value")
+    )
+    entry = F.when(F.col("pos").isNotNull(), F.struct(F.col("code").cast("int").alias("key"), "value"))
+    return last.groupBy(row_id).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
+
+
 def encode_sequence(
-    df: DataFrame, dictionary: DataFrame, row_id: str, keys: str, feature: str, take: int, name: str, fill: int = 0
+    df: DataFrame, dictionary: DataFrame, row_id: str, keys: str, feature: str, take: int, name: str, fill: int = 0,
+    duration: bool = False,
 ) -> DataFrame:
-    """Code the keys of ``sequences.sequence_keys`` by a dictionary: array<struct<t,v>> per row.
+    """Code the keys of ``sequences.behavior_keys`` by a dictionary: array<struct<t,v>> per row.
 
-    The keys are taken out to rows, so that the dictionary may be of any size, and put back in place. A row whose list
+    With ``duration`` they are those of ``sequences.duration_keys``, and each entry's duration is put last as ``d``. The
+    keys are taken out to rows, so that the dictionary may be of any size, and put back in place. A row whose list
     is empty or null gets an empty array.
     """
     entries = df.select(row_id, F.posexplode_outer(keys).alias("pos", "e"))
+    carried = ["t", "d"] if duration else ["t"]
     long = entries.select(
-        row_id, "pos", F.col("e.t").alias("t"), F.posexplode_outer("e.keys").alias("rank", "key")
+        row_id, "pos", *[F.col(f"e.{x}").alias(x) for x in carried], F.posexplode_outer("e.keys").alias("rank", "key")
     )
     coded = dict_encode(long, dictionary, feature, "key", "code")
     tokens = F.transform(
         F.array_sort(F.collect_list(F.when(F.col("key").isNotNull(), F.struct("rank", "code")))),
         lambda e: e["code"].cast("string"),
     )
-    per_entry = coded.groupBy(row_id, "pos", "t").agg(
+    per_entry = coded.groupBy(row_id, "pos", *carried).agg(
         F.array_join(pad(tokens, take, F.lit(str(fill))), "#").alias("v")
     )
-    real = F.when(F.col("pos").isNotNull(), F.struct("pos", "t", "v"))
+    real = F.when(F.col("pos").isNotNull(), F.struct("pos", "t", "v", *carried[1:]))
     per_row = per_entry.groupBy(row_id).agg(F.array_sort(F.collect_list(real)).alias("_all"))
+    fields = ["t", "v", *carried[1:]]
     return per_row.select(
-        row_id, F.transform("_all", lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v"))).alias(name)
+        row_id, F.transform("_all", lambda e: F.struct(*[e[x].alias(x) for x in fields])).alias(name)
     )
 
 

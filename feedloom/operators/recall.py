@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +20,19 @@ def latest_n(df: DataFrame, user: str | Sequence[str], order: Sequence[Column],
     return df.withColumn("flag", F.row_number().over(w)).filter(F.col("flag") <= n)
 
 
+def topn_codes(
+    weights: DataFrame, row_id: str, key: str, weight: str, n: int, key_code: Callable[[Column], Column]
+) -> DataFrame:
+    """(row_id, codes): of (row_id, key, weight) rows the ``n`` heaviest keys' codes as text, equal weights by key.
+
+    Rows are cut to ``n`` for each id before they are collected, so no map of all keys is built or sorted.
+    """
+    top = latest_n(weights, row_id, [F.desc(weight), F.col(key)], n)
+    coded = F.struct("flag", key_code(F.col(key)).cast("string").alias("code"))
+    lists = top.groupBy(row_id).agg(F.array_sort(F.collect_list(coded)).alias("codes"))
+    return lists.select(row_id, F.transform("codes", lambda x: x["code"]).alias("codes"))
+
+
 def recall_by_neighbors(
     clicks: DataFrame, neighbors: DataFrame, user: str, order: Sequence[Column], n: int = 20
 ) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing, scalars, sequences, vectors
-from ..operators import lookups
+from ..operators import lookups, recall
+from ..session import materialize
 from .registry import query
 from .view_sql import NEWS_ID, java_hash_sql
 from .views import Views, behavior_json, news_id
@@ -117,6 +118,21 @@ def _(v: Views) -> DataFrame:
     return rows("int", c("k").cast("string")).unionByName(rows("hash", news_id(c("k"))))
 
 
+@query(
+    "coding_map_dictionary",
+    """WITH l AS (SELECT seq // 100 AS list_id, seq, 'c' || (k % 13) AS tag, seq % 1000 AS w FROM v_event),
+       e AS (SELECT l.*, coalesce(d.code, 0) AS key FROM l
+         LEFT JOIN (SELECT * FROM v_dict WHERE feature = 'category') d ON d.text = l.tag)
+       SELECT list_id, CAST(key AS INTEGER) AS key, CAST(max_by(w, seq) AS DOUBLE) AS value FROM e GROUP BY ALL""",
+)
+def _(v: Views) -> DataFrame:
+    """Three of the thirteen tags are unknown to the dictionary"""
+    pair = F.concat(F.lit("c"), (c("k") % 13).cast("string"), F.lit(":"), (c("seq") % 1000).cast("string"))
+    lists = v.lists_of(pair).select("list_id", F.array_join("entries", ",").alias("text"))
+    maps = lookups.coding_map_by_dictionary(lists, v.dictionary, "category", "list_id", "text", "m")
+    return maps.select("list_id", F.explode("m"))
+
+
 # ---------------------------------------------------------------- JSON
 
 
@@ -211,30 +227,35 @@ HASH_CODE = "(abs(" + java_hash_sql("{key}") + " % 1000000))"
 LISTED = "(SELECT *, seq // 100 AS list_id FROM v_event WHERE k % 19 <> 0)"
 
 
-@query(
-    "parse_behavior_seq",
-    f"""SELECT list_id, {POS}, t_ms AS t, {NEWS_ID} AS news_id, {_weighted_sql("", "CAST({key} AS INTEGER)", 5)}
-        AS topics, {_weighted_sql("tag", HASH_CODE, 2)} AS tags, category FROM (SELECT l.*, d.category FROM {LISTED} l
+CODED = f"""FROM (SELECT l.*, d.category FROM {LISTED} l
         JOIN (SELECT p.seq, array_to_string(list_resize(list(CAST(coalesce(code, 0) AS VARCHAR) ORDER BY rank), 1, '0'),
           '#') AS category FROM (SELECT seq, unnest(keys) AS key, unnest(range(1, 4)) AS rank FROM
             (SELECT seq, list_transform(list_sort([{{'w': -((k % 4)::DOUBLE), 'k': 'c' || (k % 7)}},
               {{'w': -((k % 3) + 0.5::DOUBLE), 'k': 'c' || (7 + k % 5)}}, {{'w': -1::DOUBLE, 'k': 'c' || (12 + k % 3)}}]),
               lambda e: e.k) AS keys FROM v_event)) p
-          LEFT JOIN v_dict d ON d.feature = 'category' AND d.text = p.key GROUP BY p.seq) d ON d.seq = l.seq)""",
-)
+          LEFT JOIN v_dict d ON d.feature = 'category' AND d.text = p.key GROUP BY p.seq) d ON d.seq = l.seq)"""
+SEQ_FIELDS = f"""{_weighted_sql("", "CAST({key} AS INTEGER)", 5)} AS topics, {_weighted_sql("tag", HASH_CODE, 2)} AS tags,
+  category"""
+
+
+def parsed_lists(v: Views) -> DataFrame:
+    """The behaviour lists as maps, parsed once for all fields"""
+    return materialize(v.sequence.select("list_id", sequences.behavior_entries(c("entries")).alias("parsed")), "parsed")
+
+
+@query("parse_behavior_seq", f"SELECT list_id, {POS}, t_ms AS t, {NEWS_ID} AS news_id, {SEQ_FIELDS} {CODED}")
 def _(v: Views) -> DataFrame:
-    lists = v.sequence
-    entries = c("entries")
-    keyed = lists.select("list_id", sequences.sequence_keys(entries, "news_category_v3", 1).alias("keys"))
+    lists, parsed = parsed_lists(v), c("parsed")
+    keyed = lists.select("list_id", sequences.behavior_keys(parsed, "news_category_v3", 1).alias("keys"))
     coded = lookups.encode_sequence(keyed, v.dictionary, "list_id", "keys", "category", 1, "category")
-    parsed = lists.select(
+    read = lists.select(
         "list_id",
-        sequences.parse_behavior_seq(entries, "news_id").alias("ids"),
-        sequences.parse_behavior_seq(entries, "news_topic_vec_v2", 5).alias("topics"),
-        sequences.parse_behavior_seq(entries, "news_content_tag_vec_v2", 2).alias("tags"),
+        sequences.behavior_seq(parsed, "news_id").alias("ids"),
+        sequences.behavior_seq(parsed, "news_topic_vec_v2", 5).alias("topics"),
+        sequences.behavior_seq(parsed, "news_content_tag_vec_v2", 2).alias("tags"),
     ).join(coded, "list_id")
     zipped = F.arrays_zip("ids", "topics", "tags", "category")
-    return parsed.select("list_id", F.posexplode(zipped).alias("pos", "e")).select(
+    return read.select("list_id", F.posexplode(zipped).alias("pos", "e")).select(
         "list_id",
         "pos",
         c("e.ids.t").alias("t"),
@@ -245,16 +266,38 @@ def _(v: Views) -> DataFrame:
     )
 
 
-@query(
-    "parse_duration_seq",
-    f"""SELECT list_id, {POS}, t_ms AS t, {NEWS_ID} AS v,
-        CASE WHEN k % 6 = 0 THEN 0.0::DOUBLE ELSE k * 100.0::DOUBLE END AS d FROM {LISTED}""",
-)
+DURATION_SQL = "CASE WHEN k % 6 = 0 THEN 0.0::DOUBLE ELSE k * 100.0::DOUBLE END AS d"
+
+
+@query("parse_duration_seq", f"SELECT list_id, {POS}, t_ms AS t, {NEWS_ID} AS v, {DURATION_SQL} FROM {LISTED}")
 def _(v: Views) -> DataFrame:
     seq = sequences.parse_duration_seq(c("entries"), "news_id")
     return v.sequence.select("list_id", F.posexplode(seq).alias("pos", "e")).select("list_id", "pos", "e.*")
 
 
+@query("parse_duration_seq_coded", f"SELECT list_id, {POS}, t_ms AS t, {SEQ_FIELDS}, {DURATION_SQL} {CODED}")
+def _(v: Views) -> DataFrame:
+    """Weighted fields with durations: keys that are codes, hashed keys and keys of the dictionary"""
+    lists, parsed = parsed_lists(v), c("parsed")
+    keyed = lists.select("list_id", sequences.duration_keys(parsed, "news_category_v3", 1).alias("keys"))
+    coded = lookups.encode_sequence(keyed, v.dictionary, "list_id", "keys", "category", 1, "category", duration=True)
+    read = lists.select(
+        "list_id",
+        sequences.duration_seq(parsed, "news_topic_vec_v2", 5).alias("topics"),
+        sequences.duration_seq(parsed, "news_content_tag_vec_v2", 2).alias("tags"),
+    ).join(coded, "list_id")
+    zipped = F.arrays_zip("topics", "tags", "category")
+    return read.select("list_id", F.posexplode(zipped).alias("pos", "e")).select(
+        "list_id",
+        "pos",
+        c("e.category.t").alias("t"),
+        c("e.topics.v").alias("topics"),
+        c("e.tags.v").alias("tags"),
+        c("e.category.v").alias("category"),
+        F.when(c("e.topics.d") == c("e.category.d"), c("e.category.d")).alias("d"),
+    )
+
+
 @query(
     "pad_sequence",
     """SELECT list_id, len(a) AS real_length, array_to_string(list_resize(a, 121, 0), ',') AS padded,
@@ -290,11 +333,8 @@ def _(v: Views) -> DataFrame:
         SELECT doc_id, array_to_string(list_resize(a, 5, '0'), '#') AS top5, a[1] AS top1 FROM t""",
 )
 def _(v: Views) -> DataFrame:
-    return v.tag_maps.select(
-        "doc_id",
-        sequences.topn_tokens(c("m"), 5, sequences.hash_code).alias("top5"),
-        sequences.topn_tokens(c("m"), 1, sequences.hash_code).alias("top1"),
-    )
+    top = recall.topn_codes(v.tags, "doc_id", "tag", "w", 5, sequences.hash_code)
+    return top.select("doc_id", sequences.filled(c("codes"), 5).alias("top5"), c("codes")[0].alias("top1"))
 
 
 # ---------------------------------------------------------------- numbers and time

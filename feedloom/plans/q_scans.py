@@ -116,8 +116,7 @@ def _(v: Views) -> DataFrame:
 def _(v: Views) -> DataFrame:
     path = run_dir(v.spark, "manifest")
     _manifest_lines(v).write.text(path)
-    schema = readers.manifest_schema(readers.manifest(readers.text_lines(v.spark, path)))
-    return v.spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "name string, type string")
+    return readers.manifest_columns(readers.manifest(readers.text_lines(v.spark, path)))
 
 
 @query(

@@ -165,6 +165,35 @@ def _(v: Views) -> DataFrame:
     return spark.read.schema("window_start_ms bigint, event_type string, n bigint").parquet(out)
 
 
+@query(
+    "stream_late_rows",
+    """WITH e AS (SELECT event_type, t_ms FROM v_event UNION ALL SELECT event_type, t_ms - 3456000000 FROM v_event)
+       SELECT t_ms // 5000 * 5000 AS window_start_ms, event_type, count(*) AS n,
+         t_ms // 5000 * 5000 < (SELECT min(t_ms) FROM v_event) - 86400000 AS before FROM e GROUP BY ALL""",
+)
+def _(v: Views) -> DataFrame:
+    """Events in four batches of any order, then the same ones forty days older: counted and late rows together"""
+    spark, source = v.spark, run_dir(v.spark, "late-rows-source")
+    counts, late, clock, checkpoint = (run_dir(spark, f"late-rows-{n}") for n in ("counts", "late", "clock", "checkpoint"))
+    rows = v.event.select("event_type", "t_ms")
+    first = rows.agg(F.min("t_ms")).first()[0]
+
+    def take_in() -> None:
+        stream = readers.stream_files(spark, source, rows.schema, files_per_trigger=1)
+        sink = jobs.late_aware_sink(counts, late, clock, ["event_type"], F.timestamp_millis("t_ms"), delay_ms=5)
+        jobs.drain(jobs.to_batches(stream, sink, checkpoint))
+
+    rows.repartition(4).write.parquet(source)
+    take_in()
+    rows.withColumn("t_ms", c("t_ms") - 40 * 86_400_000).repartition(2).write.mode("append").parquet(source)
+    take_in()
+    start = (c("t_ms") - F.pmod(c("t_ms"), F.lit(5000))).alias("window_start_ms")
+    apart = jobs.read_late(spark, late).groupBy(start, "event_type").agg(F.count(F.lit(1)).alias("n"))
+    both = jobs.read_count_deltas(spark, counts, ["event_type"]).unionByName(apart)
+    summed = both.groupBy("window_start_ms", "event_type").agg(F.sum("n").alias("n"))
+    return summed.withColumn("before", c("window_start_ms") < F.lit(first - 86_400_000))
+
+
 @query("stream_restart_exactly_once", "SELECT seq, user_id, t FROM v_wordtime")
 def _(v: Views) -> DataFrame:
     spark, source = v.spark, run_dir(v.spark, "restart-source")

@@ -123,6 +123,18 @@ ELEMENT_TYPES = {
 }
 
 
+def manifest_columns(entries: DataFrame) -> DataFrame:
+    """(name, type) rows -> the columns that a table over them has, as distinct (name, type) rows in Spark's type names.
+
+    For manifests of any length; a type without an element type is an error of the row's task.
+    """
+    known = F.create_map(*[F.lit(x) for name, kind in ELEMENT_TYPES.items() for x in (name, kind.simpleString())])
+    element = known[F.col("type")]
+    problem = F.concat(F.lit("manifest type unknown: "), F.col("type"))
+    checked = F.when(element.isNotNull(), element).otherwise(F.raise_error(problem).cast("string"))
+    return entries.select("name", F.concat(F.lit("array<"), checked, F.lit(">")).alias("type")).distinct()
+
+
 def manifest_schema(entries: DataFrame, max_fields: int = 20_000) -> T.StructType:
     """(name, type) rows -> a schema of array columns, in name order.
 

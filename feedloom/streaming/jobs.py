@@ -102,6 +102,46 @@ def read_counts(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFra
     return spark.read.parquet(table).groupBy("window_start_ms", *keys).agg(F.max("n").alias("n"))
 
 
+#: the clock of a job: the greatest event time of the batches so far
+CLOCK = levels.Keyed(("name",), ("top_ms",))
+
+
+def late_aware_sink(
+    counts: str, late: str, clock: str, keys: Sequence[str], time: Column, width_ms: int = 5000, delay_ms: int = 0
+) -> Callable[[DataFrame, int], None]:
+    """Counts by window and key with late rows apart, in place of a watermark that lets them vanish.
+
+    A row is late when its window had ended ``delay_ms`` before the greatest event time of all earlier batches, or when
+    it has no time. Late rows are written as they came to ``late``, the others are counted into ``counts``; both have a
+    folder for each batch, and every row is in exactly one of them, however the input is cut into batches. The clock is
+    kept as a keyed table; a repeated batch reads it as it stood before that batch and replaces its folders.
+    """
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        levels.compact(spark, clock, CLOCK, before=batch_id)
+        folders = levels.paths(spark, clock, before=batch_id)
+        top = levels.rows_of(spark, folders, CLOCK).agg(F.max("top_ms")).first()[0] if folders else None
+        stamped = df.withColumn("_t", F.unix_millis(time))
+        rows = stamped.withColumn("_start", F.col("_t") - F.pmod(F.col("_t"), F.lit(width_ms))).persist()
+        over = F.lit(False) if top is None else F.col("_start") + F.lit(width_ms) <= F.lit(top - delay_ms)
+        is_late = F.col("_t").isNull() | over
+        write_batch(rows.filter(is_late).select(*df.columns), late, batch_id)
+        counted = rows.filter(~is_late).groupBy(F.col("_start").alias("window_start_ms"), *keys)
+        write_batch(counted.agg(F.count(F.lit(1)).alias("n")), counts, batch_id)
+        now = rows.agg(F.greatest(F.max("_t"), F.lit(top).cast("bigint")).alias("top_ms"))
+        mark = F.lit(batch_id).cast("bigint").alias("_seq_top_ms")
+        write_batch(now.select(F.lit("clock").alias("name"), "top_ms", mark), clock, batch_id)
+        rows.unpersist()
+
+    return handle
+
+
+def read_late(spark: SparkSession, late: str) -> DataFrame:
+    """The late rows of all batches"""
+    return spark.read.parquet(*[levels.batch_path(late, b) for b in levels.later_batches(spark, late, -1)])
+
+
 # ---------------------------------------------------------------- keyed tables
 
 

@@ -294,6 +294,29 @@ def test_unreadable_text_is_empty(spark):
     assert readers.text_lines(spark, "/nowhere/at/all").count() == 0
 
 
+def test_manifest_columns_of_any_length(spark):
+    entries = spark.range(25_000).select(F.concat(F.lit("f"), "id").alias("name"), F.lit("int").alias("type"))
+    found = readers.manifest_columns(entries.union(entries))
+    assert found.count() == 25_000 and found.select("type").distinct().collect()[0]["type"] == "array<int>"
+    with pytest.raises(Exception, match="manifest type unknown: date"):
+        readers.manifest_columns(spark.createDataFrame([("a", "date")], "name string, type string")).collect()
+
+
+def test_coding_map_by_dictionary(spark):
+    dictionary = spark.createDataFrame([("f", "a", 1), ("f", "b", 2), ("g", "c", 3)], "feature string, text string, code int")
+    texts = [(1, "a:1,b:2,a:3"), (2, None), (3, " "), (4, "c:5,x:6"), (5, "a:oops,bad")]
+    got = lookups.coding_map_by_dictionary(
+        spark.createDataFrame(texts, "id long, text string"), dictionary, "f", "id", "text", "m"
+    )
+    assert dict(map(tuple, got.collect())) == {1: {1: 3.0, 2: 2.0}, 2: {}, 3: {}, 4: {0: 6.0}, 5: {1: None}}
+
+
+def test_topn_codes_breaks_ties_by_key(spark):
+    rows = [(1, "c", 2.0), (1, "b", 3.0), (1, "a", 2.0), (2, "z", 1.0)]
+    top = recall.topn_codes(spark.createDataFrame(rows, "id long, k string, w double"), "id", "k", "w", 2, F.upper)
+    assert dict(map(tuple, top.collect())) == {1: ["B", "A"], 2: ["Z"]}
+
+
 def test_manifest_refuses_rather_than_cuts(spark):
     entries = spark.createDataFrame([("a", "int"), ("b", "double")], "name string, type string")
     assert readers.manifest_schema(entries).simpleString() == "struct<a:array<int>,b:array<double>>"

@@ -251,3 +251,26 @@ def test_a_key_with_a_third_of_the_rows_uses_several_tasks(spark):
         assert hot.count() == 2989 and hot.select("task").distinct().count() > 1
     finally:
         spark.conf.unset(name)
+
+
+def test_counted_and_late_rows_are_all_rows(spark):
+    """Any cut into batches, one of them repeated; a row is late by the clock of the batches before its own"""
+    rng = np.random.default_rng(4)
+    rows = [(int(t), rng.choice(["a", "b"])) for t in rng.integers(0, 60_000, 400)] + [(None, "a")]
+    for cuts in ([0, 401], [0, 100, 101, 300, 401]):
+        counts, late, clock = (run_dir(spark, n) for n in ("counts", "late", "clock"))
+        sink = jobs.late_aware_sink(counts, late, clock, ["k"], F.timestamp_millis("t"), delay_ms=1000)
+        want_late, top = [], None
+        for batch, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            part = spark.createDataFrame(rows[a:b], "t bigint, k string")
+            sink(part, batch)
+            if batch == 1:
+                sink(part, batch)
+            for t, k in rows[a:b]:
+                if t is None or (top is not None and t // 5000 * 5000 + 5000 <= top - 1000):
+                    want_late.append((t, k))
+            top = max([t for t, _ in rows[a:b] if t is not None] + ([top] if top is not None else []))
+        got_late = [(r["t"], r["k"]) for r in jobs.read_late(spark, late).collect()]
+        assert sorted(got_late, key=str) == sorted(want_late, key=str)
+        counted = jobs.read_count_deltas(spark, counts, ["k"]).agg(F.sum("n")).first()[0]
+        assert counted + len(got_late) == len(rows)
