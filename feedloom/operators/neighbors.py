@@ -3,8 +3,11 @@
 Vectors become whole numbers (floor of SCALE times the unit vector), so that all sums and products below are exact and
 do not depend on the order in which tasks deliver them. The lists' first centroids are a hash sample of the items; each
 round puts every item into the list whose centroid is nearest and moves the centroids to the floor of their items' mean,
-from sums that every task makes for itself. An item is looked for in the ``share`` of lists nearest to it. Within a list vectors are
-compared as blocks, and the products of whole vectors rank the candidates.
+from sums that every task makes for itself. An item is looked for in the ``share`` of lists nearest to it. Vectors are
+compared as blocks, and the whole-number products of whole vectors rank the candidates.
+
+Blocks are dealt by hash, whatever the lists: a row goes to every block of the other side once, not to every list it asks.
+The share of lists makes the work grow with the square of the items; what is sent grows with items x items / BLOCK_ROWS.
 
 Equal vectors are one class with its smallest ids, as many as a result can hold, so a vector that many items share is one
 row of a list. There are at most about MAX_LISTS lists, whose centroids are all that is sent to the tasks.
@@ -25,7 +28,11 @@ from .skew import lookup_join
 
 SCALE = 10_000
 MAX_LISTS = 4096
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16_384
+LEAST_BLOCKS = 8
+SEEN = 1024
+# cells are at most SCALE + 1
+CELL = "<i2"
 
 
 def unit_vectors(items: DataFrame, item: str, vector: str) -> DataFrame:
@@ -50,23 +57,28 @@ def lists_near(u: np.ndarray, centroids: np.ndarray, n: int) -> np.ndarray:
     """Per row the ``n`` lists with the nearest centroids, the smaller number first among equals"""
     norms = np.sqrt((centroids * centroids).sum(1))
     near = (u @ centroids.T) / np.where(norms > 0, norms, 1.0)
+    if n == 1:
+        return near.argmax(1)[:, None]
     return np.argsort(-near, axis=1, kind="stable")[:, :n]
 
 
-def in_lists(classes: DataFrame, centroids: np.ndarray, n: int, kept: list[str]) -> DataFrame:
-    """(kept..., u, list): every row in its ``n`` nearest lists"""
+def in_lists(classes: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:
+    """(cls, first, v, list, asked): the vector's bytes, its nearest list and a bit for each of the ``probes`` nearest"""
     shared = classes.sparkSession.sparkContext.broadcast(centroids)
-    schema = T.StructType([*classes.select(*kept, "u").schema.fields, T.StructField("list", T.IntegerType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in frames:
             for start in range(0, len(whole), 2048):
                 frame = whole.iloc[start : start + 2048]
-                near = lists_near(np.stack(frame["u"].to_numpy()).astype(np.float64), shared.value, n)
-                for j in range(near.shape[1]):
-                    yield frame.assign(list=near[:, j].astype(np.int32))
+                u = np.stack(frame["u"].to_numpy())
+                near = lists_near(u.astype(np.float64), shared.value, probes)
+                asked = np.zeros((len(u), len(shared.value)), bool)
+                np.put_along_axis(asked, near, True, 1)
+                yield pd.DataFrame({"cls": frame["cls"], "first": frame["first"], "v": [x.tobytes() for x in u.astype(CELL)],
+                                    "list": near[:, 0].astype(np.int32),
+                                    "asked": [x.tobytes() for x in np.packbits(asked, axis=1)]})
 
-    return classes.select(*kept, "u").mapInPandas(run, schema)
+    return classes.select("cls", "first", "u").mapInPandas(run, "cls long, first long, v binary, list int, asked binary")
 
 
 def moved(classes: DataFrame, centroids: np.ndarray) -> np.ndarray:
@@ -93,23 +105,56 @@ def moved(classes: DataFrame, centroids: np.ndarray) -> np.ndarray:
     return out
 
 
+def rows_of(cells: pd.Series, kind: object) -> np.ndarray:
+    return np.frombuffer(b"".join(cells), kind).reshape(len(cells), -1)
+
+
+def exact_products(q: np.ndarray, x: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    out = np.empty(len(row), np.int64)
+    for i in range(0, len(row), 1 << 16):
+        some = slice(i, i + (1 << 16))
+        out[some] = np.einsum("ij,ij->i", q[row[some]].astype(np.int64), x[column[some]].astype(np.int64))
+    return out
+
+
 def best_in_block(k: int):
+    """Each question's ``k`` best rows of a block of data, of those whose list it asks
+
+    Products in single precision tell which rows can be among them: what they may be off by is added to the bound, which
+    is the k-th best of the first SEEN rows. The products of those that remain are whole numbers.
+    """
+
     def run(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(data):
             return pd.DataFrame({"query": pd.Series(dtype="int64"), "cls": pd.Series(dtype="int64"),
                                  "first": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
-        data = data.sort_values("first")
-        q, x = (np.stack(side["u"].to_numpy()).astype(np.float64) for side in (queries, data))
-        out, keep = [], min(k, len(x))
-        for i in range(0, len(q), 512):
-            near = (q[i : i + 512] @ x.T).astype(np.int64)
-            # rows stand by their first id, so a stable order breaks ties by it
-            best = np.argsort(-near, axis=1, kind="stable")[:, :keep]
-            names = np.repeat(queries["cls"].to_numpy()[i : i + 512], keep)
-            picked = best.ravel()
-            out.append(pd.DataFrame({"query": names, "cls": data["cls"].to_numpy()[picked],
-                                     "first": data["first"].to_numpy()[picked],
-                                     "score": np.take_along_axis(near, best, 1).ravel()}))
+        data = data.sort_values(["first", "cls"])
+        q, x = (rows_of(side["v"], CELL) for side in (queries, data))
+        single = np.ascontiguousarray(x.T, np.float32)
+        own = data["list"].to_numpy()
+        longest = [np.sqrt((side.astype(np.int64) ** 2).sum(1).max()) for side in (q, x)]
+        off = np.float32(q.shape[1] * 2.0**-22 * longest[0] * longest[1])
+        out = []
+        for i in range(0, len(q), 256):
+            part = q[i : i + 256]
+            near = part.astype(np.float32) @ single
+            asked = np.unpackbits(rows_of(queries["asked"].iloc[i : i + 256], np.uint8), axis=1).view(bool)
+            bound = np.full(len(part), -np.inf, np.float32)
+            if len(x) > k:
+                seen = np.where(asked[:, own[:SEEN]], near[:, :SEEN], np.float32(-np.inf))
+                if seen.shape[1] > k:
+                    bound = -np.partition(-seen, k - 1, axis=1)[:, k - 1] - off
+            row, column = np.nonzero(near >= bound[:, None])
+            can = asked[row, own[column]]
+            row, column = row[can], column[can]
+            score = exact_products(part, x, row, column)
+            # rows stand by their first id, so the column breaks ties by it
+            order = np.lexsort((column, -score, row))
+            row, column, score = row[order], column[order], score[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            picked = column[best]
+            out.append(pd.DataFrame({"query": queries["cls"].to_numpy()[i + row[best]], "cls": data["cls"].to_numpy()[picked],
+                                     "first": data["first"].to_numpy()[picked], "score": score[best]}))
         return pd.concat(out)
 
     return run
@@ -147,20 +192,13 @@ def nearest(
         centroids = moved(classes, centroids)
 
     probes = max(1, int(np.ceil(len(centroids) * share)))
-    data = materialize(in_lists(classes, centroids, 1, ["cls", "first"]), "lists")
-    asked = in_lists(classes, centroids, probes, ["cls"])
-    sizes = data.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("_blocks"))
-    blocks = dict(sizes.collect())  # one row for each list
-    per_list = F.get(F.lit([blocks.get(i, 0) for i in range(len(centroids))]), F.col("list"))
-    every = F.explode(F.sequence(F.lit(0), per_list - 1))
-    # a list is asked by about n * share items, dealt to as many blocks of questions
-    groups = max(1, -(-int(n * probes / len(centroids)) // BLOCK_ROWS))
-    kept = asked.filter(per_list > 0)
-    left = kept.withColumn("d", every).withColumn("q", F.pmod(F.xxhash64("cls"), F.lit(groups)).cast("int"))
-    right = data.withColumn("d", F.pmod(F.xxhash64("cls"), per_list).cast("int"))
-    right = right.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    key = ["list", "d", "q"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+    listed = materialize(in_lists(classes, centroids, probes), "lists")
+    # every block of questions meets every block of data: rows are sent n / BLOCK_ROWS times, to groups of two blocks
+    blocks = max(-(-n // BLOCK_ROWS), min(LEAST_BLOCKS, -(-n // 1024)))
+    block, every = F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = listed.select("cls", "v", "asked", block.alias("q"), every.alias("d"))
+    right = listed.select("cls", "first", "v", "list", block.alias("d"), every.alias("q"))
+    found = left.groupBy("q", "d").cogroup(right.groupBy("q", "d")).applyInPandas(
         best_in_block(k + 1), "query long, cls long, first long, score long"
     )
     order = Window.partitionBy("query").orderBy(F.desc("score"), "first", "cls")

@@ -53,3 +53,26 @@ def test_recall_on_the_given_vectors(spark, sf_dir):
 def test_no_vectors(spark):
     assert neighbors.nearest(spark.createDataFrame([], SCHEMA), "item", "v").count() == 0
     assert neighbors.nearest(spark.createDataFrame([(1, [1.0])], SCHEMA), "item", "v").count() == 0
+
+
+def test_a_row_is_not_repeated_for_every_list_it_asks(spark, rows):
+    units = neighbors.unit_vectors(spark.createDataFrame(rows[:300], SCHEMA), "item", "v")
+    classes = units.select(F.col("id").alias("cls"), F.col("id").alias("first"), "u")
+    centroids = np.array([r["u"] for r in units.limit(9).collect()], np.float64)
+    sent = neighbors.in_lists(classes, centroids, 6).collect()
+    assert len(sent) == 300
+    assert {int(np.unpackbits(np.frombuffer(r["asked"], np.uint8)).sum()) for r in sent} == {6}
+
+
+def test_single_precision_does_not_decide(spark):
+    """Products that single precision can't tell apart, over several blocks of data"""
+    rng = np.random.default_rng(2)
+    near = [(i, (1000 + rng.normal(size=64) * 0.3).tolist()) for i in range(3000)]
+    got = neighbors.nearest(spark.createDataFrame(near, SCHEMA), "item", "v", k=5, share=1.0, lists=4)
+    u = np.stack([np.floor(np.array(v) / np.sqrt(np.dot(v, v)) * neighbors.SCALE) for _, v in near])
+    products = (u @ u.T).astype(np.int64)
+    np.fill_diagonal(products, 0)
+    best = np.argsort(-products, axis=1, kind="stable")[:, :5]
+    want = {(i, int(j), int(products[i, j])) for i in range(3000) for j in best[i]}
+    found = {tuple(r) for r in got.collect()}
+    assert len(found - want) <= 0.001 * len(want)  # Spark and numpy may floor a cell apart
