@@ -129,6 +129,8 @@ def read_kept(spark: SparkSession, out: str, schema) -> DataFrame:
 
 # ---------------------------------------------------------------- map state
 
+# rows of a task that are reduced at once
+REDUCED_ROWS = 250_000
 MAP_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -145,29 +147,33 @@ def map_state_store(spark: SparkSession) -> Iterator[None]:
 
 
 class LatestPerField(StatefulProcessor):
-    """A map field -> (time, seq) for each key; entries expire one by one"""
+    """A map field -> (time, seq) for each key; entries expire one by one
 
-    def __init__(self, names: tuple[str, ...], kinds: tuple[str, ...], ttl_ms: int):
-        self.names, self.kinds, self.ttl_ms = names, kinds, ttl_ms
+    A group is of one key, or with ``keyed=0`` of several: then the key stands before the field in the map.
+    """
+
+    def __init__(self, names: tuple[str, ...], kinds: tuple[str, ...], ttl_ms: int, keyed: int = 1):
+        self.names, self.kinds, self.ttl_ms, self.keyed = names, kinds, ttl_ms, keyed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        _, field, time, seq = self.kinds
-        self.latest = handle.getMapState(
-            "latest", f"field {field}", f"time {time}, seq {seq}", ttlDurationMs=self.ttl_ms
-        )
+        *places, time, seq = self.kinds
+        places = ", ".join(f"{n} {kind}" for n, kind in list(zip(("key", "field"), places))[self.keyed :])
+        self.latest = handle.getMapState("latest", places, f"time {time}, seq {seq}", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best: dict = {}  # one entry for each field of the key's part in this batch
+        best: dict = {}  # one entry for each field of the group's part in this batch
         for chunk in rows:
-            for found in zip(*[chunk[n].tolist() for n in self.names[1:]]):
-                best[found[0]] = max(best.get(found[0], found[1:]), found[1:])
+            for *place, time, seq in zip(*[chunk[n].tolist() for n in self.names[self.keyed :]]):
+                place, new = tuple(place), (time, seq)
+                best[place] = max(best.get(place, new), new)
         out = []
-        for field, new in best.items():
-            old = self.latest.getValue((field,)) if self.latest.containsKey((field,)) else None
+        for place, new in best.items():
+            # every call is a message to the store, so an absent entry is told by its value alone
+            old = self.latest.getValue(place)
             # written back in any case: an entry lives on when it is read, not only when it rises
-            self.latest.updateValue((field,), new if old is None else max(tuple(old), new))
+            self.latest.updateValue(place, new if old is None else max(tuple(old), new))
             if old is None or new > tuple(old):
-                out.append((key[0], field, *new))
+                out.append((*key[: self.keyed], *place, *new))
         if out:
             yield pd.DataFrame(out, columns=list(self.names))
 
@@ -176,27 +182,38 @@ class LatestPerField(StatefulProcessor):
 
 
 def latest_per_field(
-    rows: DataFrame, key: str, field: str, time: str, seq: str, ttl_ms: int = STATE_TTL_MS, parts: int = 64
+    rows: DataFrame, key: str, field: str, time: str, seq: str, ttl_ms: int = STATE_TTL_MS, parts: int = 4096
 ) -> DataFrame:
     """(key, field, time, seq) whenever a field of a key has a greater (time, seq) than its map state holds.
 
     Each entry of the map expires ``ttl_ms`` after it was last read or written; a field that comes back later starts
     anew. Start the query within ``map_state_store`` (and ``without_idle_batches`` for one that drains).
 
-    A key's map is dealt to ``parts`` groups by field, so that a key with a third of all rows is no single task's, and the
-    rows of one field are reduced to their greatest before the shuffle, one for each run of rows. Rows with a null in
+    Entries are dealt to ``parts`` groups by key and field, so that a key with a third of all rows is no single task's and a
+    key with few rows no group of its own; the rows of one field are reduced to their greatest before the shuffle, one
+    for each run of rows. Rows with a null in
     one of the four columns are left out.
     """
     names = (key, field, time, seq)
     whole = rows.select(*names).dropna()
 
+    def reduced(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(frames).sort_values([time, seq]).drop_duplicates([key, field], keep="last")
+
     def greatest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, fresh = [], 0
         for frame in frames:
-            yield frame.sort_values([time, seq]).drop_duplicates([key, field], keep="last")
-
-    part = F.pmod(F.xxhash64(F.col(field)), F.lit(parts)).cast("int")
+            held.append(frame)
+            fresh += len(frame)
+            if fresh >= REDUCED_ROWS:
+                yield reduced(held)
+                held, fresh = [], 0
+        if held:
+            yield reduced(held)
+
+    part = F.pmod(F.xxhash64(F.col(key), F.col(field)), F.lit(parts)).cast("int")
     dealt = whole.mapInPandas(greatest, whole.schema).withColumn("_part", part)
     kinds = tuple(dict(whole.dtypes)[n] for n in names)
-    return dealt.groupBy(key, "_part").transformWithStateInPandas(
-        LatestPerField(names, kinds, ttl_ms), whole.schema, "append", "processingTime"
+    return dealt.groupBy("_part").transformWithStateInPandas(
+        LatestPerField(names, kinds, ttl_ms, keyed=0), whole.schema, "append", "processingTime"
     )

@@ -192,6 +192,25 @@ def test_map_state_is_written_back_when_read():
     assert not list(latest.handleInputRows((1, 0), iter(frames[:1]), None)) and written.count(("a",)) == 2
 
 
+def test_map_state_group_holds_entries_of_several_keys():
+    """Two messages to the store for each entry: one to read, one to write"""
+    made, calls = FakeMap(), []
+
+    class Handle:
+        def getMapState(self, name, key, *_, ttlDurationMs):
+            assert key == "key bigint, field string"
+            return type("Counted", (FakeMap,), {n: lambda m, *x, n=n: (calls.append(n), getattr(made, n)(*x))[1]
+                                                for n in ("containsKey", "getValue", "updateValue")})()
+
+    names = ("k", "f", "t", "seq")
+    latest = state.LatestPerField(names, ("bigint", "string", "bigint", "bigint"), 5, keyed=0)
+    latest.init(Handle())
+    frame = pd.DataFrame([(1, "a", 3, 0), (2, "a", 4, 1), (2, "b", 1, 2), (1, "a", 2, 3)], columns=names)
+    out = pd.concat(latest.handleInputRows((17,), iter([frame]), None))
+    assert sorted(map(tuple, out.to_numpy().tolist())) == [(1, "a", 3, 0), (2, "a", 4, 1), (2, "b", 1, 2)]
+    assert len(calls) == 6
+
+
 def test_map_state_of_a_hot_key_is_dealt_to_tasks(spark):
     rows = [(1, f"f{i % 50}", i, i) for i in range(3000)]
     stream = stream_of(spark, rows, schema="k bigint, f string, t bigint, seq bigint")
