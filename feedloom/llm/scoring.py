@@ -19,7 +19,8 @@ it grows with the corpus, and all later counting is over its rows, a word's bits
 weight. The predictors' table has at most 2^TABLE_BITS slots, 64 for each word below that, and is broadcast as two bytes
 a slot. Words counted often (at most FREQUENT of LONGEST bytes) are sent to the tasks for the base score; the others, per
 document, are joined with the table of words, hot ones spread. A task reads documents in runs, many at once, word by word.
-Documents of over WINDOW words are read in windows whose document predictors start anew, so length is no skew.
+Every document is read from its first word to its last with what it has taught so far. A task reads the documents of about
+TOGETHER words side by side, the longest first, so a long one is in company for as long as there are others.
 
 Cases: null text is an empty one, of the end token alone; rows without doc_id count as the empty id; repeated rows are
 scored and counted each; equal texts have equal scores; a corpus without training rows has N = V = 0 and predicts every bit
@@ -51,7 +52,8 @@ FREQUENT = 1 << 17
 LONGEST = 64
 WINDOW = 1024
 RUN = 3 << 20
-LANES = 1536
+LANES = 256
+TOGETHER = 4_000_000
 HELD = 5_000_000
 COUNTED = 500_000
 WORDS = 10_000
@@ -384,9 +386,12 @@ class Lexicon:
         self.packed, self.name = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         self.first, self.count, self.fixed = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
 
+    def full(self) -> bool:
+        return len(self.packed) > HELD
+
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Numbers of different words; those met before keep theirs as long as no more than HELD bits are kept"""
-        if len(self.packed) > HELD:
+        if self.full():
             self.clear()
         self.add([w for w in words if w not in self.number])
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
@@ -413,25 +418,34 @@ class Lexicon:
         self.first = np.cumsum(self.count) - self.count
 
 
-def read_windows(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the probability of windows of word numbers, all windows read side by side"""
+def read_texts(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probability of texts (runs of word numbers), many read side by side
+
+    A lane reads one text from its first word to its last with all that the text has taught so far, then starts anew with
+    the longest text left.
+    """
     order = np.argsort(-sizes, kind="stable")
-    first, sizes = first[order], sizes[order]
-    lanes = len(sizes)
-    active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
+    lanes = min(LANES, len(order))
     word, pair = np.zeros(lanes << LOCAL_BITS, np.uint8), np.zeros(lanes << LOCAL_BITS, np.uint8)
     weights = np.tile(START, (lanes, 1))
     total = np.zeros(lanes)
     shift = np.uint32(32 - LOCAL_BITS)
     before = np.zeros(lanes, np.uint32)
-    every = np.arange(lanes)
-    for step in range(sizes[0]):
-        a = active[step]
-        now = ids.take(first[:a] + step)
+    text = order[:lanes].copy()
+    at_word, left = first[text], sizes[text]
+    live, given, run = np.arange(lanes), lanes, 0
+    out = np.empty(len(order))
+    while len(live):
+        if not run:
+            run = left[live].min()
+            left[live] -= run
+        now = ids.take(at_word[live])
+        at_word[live] += 1
+        run -= 1
         count = words.count.take(now)
         ends = count.cumsum()
         starts = ends - count
-        lane = every[:a].repeat(count)
+        lane = live.repeat(count)
         at = (words.first.take(now) - starts).repeat(count)
         at += np.arange(ends[-1])
         packed = words.packed.take(at)
@@ -458,29 +472,43 @@ def read_windows(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.n
         np.maximum(odds, -15, out=odds)
         np.minimum(odds, 15, out=odds)
         p = 1 / (1 + np.exp(-odds))
-        total[:a] += np.add.reduceat(np.log(p), starts, dtype=np.float64)
+        total[live] += np.add.reduceat(np.log(p), starts, dtype=np.float64)
         error = (1 - p) * sign
         error *= RATE
-        weights[: 4 * a, 1] += np.bincount(gate, error * x1, 4 * a)
-        weights[: 4 * a, 2] += np.bincount(gate, error * x2, 4 * a)
+        weights[:, 1] += np.bincount(gate, error * x1, 4 * lanes)
+        weights[:, 2] += np.bincount(gate, error * x2, 4 * lanes)
         y <<= np.uint32(8)
         word[slot], pair[base] = AFTER.take(y + state), AFTER.take(y + state2)
-        before = words.name.take(now)
-    out = np.empty(lanes)
-    out[order] = total
+        before[live] = words.name.take(now)
+        if run:
+            continue
+        done = live[left[live] == 0]
+        out[text[done]] = total[done]
+        fresh = done[: len(order) - given]
+        text[fresh] = order[given : given + len(fresh)]
+        given += len(fresh)
+        at_word[fresh], left[fresh] = first[text[fresh]], sizes[text[fresh]]
+        total[fresh], before[fresh] = 0, 0
+        word.reshape(lanes, -1)[fresh] = 0
+        pair.reshape(lanes, -1)[fresh] = 0
+        weights.reshape(lanes, *START.shape)[fresh] = START
+        live = live[left[live] > 0]
     return out
 
 
-def log_probabilities(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """log10 probability of each text, a run of word numbers that closes with the end"""
-    pieces = -(-sizes // WINDOW)
+def log_probabilities(
+    words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray, window: int | None = WINDOW
+) -> np.ndarray:
+    """log10 probability of each text, a run of word numbers that closes with the end
+
+    The document predictors start anew every ``window`` words; with None they learn from the whole text.
+    """
+    pieces = -(-sizes // window) if window else np.ones_like(sizes)
     text = np.repeat(np.arange(len(sizes)), pieces)
-    off = (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * WINDOW
-    starts, lengths = first[text] + off, np.minimum(sizes[text] - off, WINDOW)
+    off = (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * (window or 0)
+    lengths = np.minimum(sizes[text] - off, window) if window else sizes
     out = np.zeros(len(sizes))
-    for i in range(0, len(text), LANES):
-        some = slice(i, i + LANES)
-        np.add.at(out, text[some], read_windows(words, ids, starts[some], lengths[some]))
+    np.add.at(out, text, read_texts(words, ids, first[text] + off, lengths))
     out += np.add.reduceat(words.fixed[ids], first) if len(first) else 0
     return out / NATS
 
@@ -514,22 +542,50 @@ def scored(docs: DataFrame, model: Model, frequent: dict[bytes, int]) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, frequent = shared.value
         lexicon = Lexicon(model)
-        for long_run in slices(batches, "text", RUN):
-            for start in range(0, long_run.num_rows, LANES):
-                batch = long_run.slice(start, LANES)
-                made = of_run(lexicon, frequent, [[*words_of(t), END] for t in batch.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([batch.column("_row"), *made], names=schema.names)
+        held, n_words = [], 0
+        # texts of many runs are read together, so that a long one has company to its end
+        for batch in slices(batches, "text", RUN):
+            if n_words > TOGETHER or lexicon.full():
+                yield from finished(lexicon, held)
+                held, n_words = [], 0
+            texts = [[*words_of(t), END] for t in batch.column("text").to_pylist()]
+            ids, *made = of_texts(lexicon, frequent, texts)
+            held.append((batch.column("_row"), ids, made))
+            n_words += len(ids)
+        yield from finished(lexicon, held)
+
+    def finished(lexicon: Lexicon, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        scores = read_together(lexicon, [(ids, made[0].to_numpy()) for _, ids, made in held])
+        for (row, _, (sizes, n_bytes, *others)), score in zip(held, scores):
+            yield pa.RecordBatch.from_arrays([row, sizes, n_bytes, pa.array(score), *others], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
+def read_together(lexicon: Lexicon, runs: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The scores of the texts of each run (word numbers, sizes)"""
+    if not runs:
+        return []
+    sizes = np.concatenate([sizes for _, sizes in runs])
+    ids = np.concatenate([ids for ids, _ in runs])
+    scores = log_probabilities(lexicon, ids, np.cumsum(sizes) - sizes, sizes, window=None)
+    return np.split(scores, np.cumsum([len(sizes) for _, sizes in runs])[:-1])
+
+
 def of_run(lexicon: Lexicon, frequent: dict[bytes, int], texts: list[list[bytes]]) -> list[pa.Array]:
     """n_tokens, _bytes, score, _known, _base and _rare of texts"""
+    ids, sizes, n_bytes, *others = of_texts(lexicon, frequent, texts)
+    (score,) = read_together(lexicon, [(ids, sizes.to_numpy())])
+    return [sizes, n_bytes, pa.array(score), *others]
+
+
+def of_texts(lexicon: Lexicon, frequent: dict[bytes, int], texts: list[list[bytes]]) -> list:
+    """Word numbers, then n_tokens, _bytes, _known, _base and _rare of texts"""
     ids, names = pd.factorize(np.array([w for words in texts for w in words], object))
     names = names.tolist()
     sizes = np.array([len(words) for words in texts], np.int64)
     first = np.cumsum(sizes) - sizes
-    score = log_probabilities(lexicon, lexicon.numbers(names)[ids], first, sizes)
+    numbers = lexicon.numbers(names).astype(np.int32)[ids]
     c = np.array([frequent.get(w, -1) for w in names], np.int64)
     per_word = [np.array([len(w) + 1 for w in names]), c > 0, np.log10(np.maximum(c, 0) + 1.0)]
     n_bytes, known, base = (np.add.reduceat(x[ids], first, dtype=t) for x, t in zip(per_word, ("i8", "i8", "f8")))
@@ -541,7 +597,7 @@ def of_run(lexicon: Lexicon, frequent: dict[bytes, int], texts: list[list[bytes]
     ends = np.searchsorted(pairs // len(names), np.arange(len(texts) + 1)).astype(np.int32)
     rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([words, pa.array(times)], ["word", "times"]))
     # the end is one byte
-    return [*map(pa.array, (sizes, n_bytes - 1, score, known, base)), rare]
+    return [numbers, *map(pa.array, (sizes, n_bytes - 1, known, base)), rare]
 
 
 MADE = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")

@@ -196,6 +196,17 @@ def test_long_texts_are_read_in_windows():
     assert probabilities(model, [text])[0] == pytest.approx(sum(one_by_one(model, p) for p in parts), rel=1e-4)
 
 
+def test_a_text_teaches_to_its_end(monkeypatch):
+    """Texts of over WINDOW words and short ones in turns through two lanes, each as if read alone and whole"""
+    words = [b"a", b"b", scoring.END]
+    model = small_model(words, np.array([5, 3, 4]))
+    texts = [[b"c", b"a"] * 20 + [scoring.END], [b"a", b"b", b"c"] * 500 + [scoring.END], [scoring.END]]
+    texts += [[b"b", b"d"] * 700 + [scoring.END], [b"a"] * 7 + [scoring.END], texts[0]]
+    monkeypatch.setattr(scoring, "LANES", 2)
+    got = scoring.of_run(scoring.Lexicon(model), {}, texts)[2].to_pylist()
+    assert got == pytest.approx([one_by_one(model, t) for t in texts], rel=1e-4)
+
+
 def test_own_counts_are_taken_out():
     size, ones = 9, 4
     entry = (size << 8) | int(np.array(round(8 * math.log((ones + 0.1) / (size - ones + 0.1)))).astype(np.int8).view(np.uint8))
