@@ -476,3 +476,11 @@ def test_deletes_in_order_against_one_by_one(spark):
     none = spark.createDataFrame([], "k long, turn long, check string, expected string, target string")
     same, nothing = keyed.delete_in_order(spark.createDataFrame(table, final.schema), none, "k", cells, "turn")
     assert {tuple(r) for r in same.collect()} == set(table) and nothing.count() == 0
+
+
+def test_histories_of_training_rows_are_written_once(spark, sf_dir, monkeypatch):
+    from feedloom.plans import q_training
+
+    monkeypatch.setattr(q_training.training, "assemble", lambda *given: given[-1])
+    kept = q_training.training_rows(Views(spark, sf_dir), ["token"])
+    assert kept.inputFiles() and not any("events.parquet" in f for f in kept.inputFiles())
