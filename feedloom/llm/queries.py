@@ -95,7 +95,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = suffixes.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = suffixes.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -42,7 +42,7 @@ GRAM = 8
 FILTER_BITS = 1 << 27
 HOT_PIECES = 100_000
 BATCH_PIECES = 50_000
-SLICE = 500_000
+SLICE = 200_000
 NONE = 256
 
 
@@ -51,14 +51,8 @@ NONE = 256
 
 def eights(codes: np.ndarray) -> np.ndarray:
     """The eight bytes from every place on as an integer; bytes beyond the end are 0"""
-    n = len(codes)
-    padded = np.concatenate([codes, np.zeros(16, np.uint8)])
-    out = np.empty(n, np.uint64)
-    for s in range(8):
-        places = (n - s + 7) // 8 if n > s else 0
-        if places:
-            out[s::8] = padded[s : s + 8 * places].view("<u8")
-    return out
+    padded = np.concatenate([codes, np.zeros(8, np.uint8)])
+    return np.ndarray(len(codes), "<u8", padded, strides=(1,)).copy()
 
 
 def mixed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -81,44 +75,45 @@ def hash_of(grams: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
 
 
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
-    """For every window of ``width`` values the offset of its leftmost least one; windows past the end are not given"""
-    best, offset, have = values, np.zeros(len(values), np.uint8), 1
+    """For every window of ``width`` values the place of its leftmost least one, by the values' upper 32 bits
+
+    Value and place stand in one integer, so the least of these is leftmost. Windows past the end are not given.
+    """
+    best, have = values >> np.uint64(32) << np.uint64(32) | np.arange(len(values), dtype=np.uint64), 1
     while have < width:
         shift = min(have, width - have)
-        left, right = best[:-shift], best[shift:]
-        take = right < left
-        best = np.where(take, right, left)
-        offset = np.where(take, offset[shift:] + np.uint8(shift), offset[:-shift])
+        best = np.minimum(best[:-shift], best[shift:])
         have += shift
-    return offset
+    return (best & np.uint64(0xFFFFFFFF)).view(np.int64)
 
 
 def pieces(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, length: int):
     """Pieces of texts that stand one after the other: (text, start, anchor, strings, key), places in ``codes``"""
-    n = len(codes)
-    if n < length:
+    long = lengths >= length
+    if not long.any():
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty, empty
     grams = eights(codes)
     hashes = mixed(grams, np.uint64(1))
     width = length - GRAM + 1
     half = width // 2
-    offset = least_places(hashes[: n - GRAM + 1], width)
-    place = np.arange(len(offset))
-    anchor = place + offset
-    early = offset >= half  # begins far before the anchor
-    text = np.repeat(np.arange(len(starts)), lengths)[: len(offset)]
-    inside = place + length <= (starts + lengths)[text]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1] | (anchor[1:] != anchor[:-1]) | (early[1:] != early[:-1]) | (text[1:] != text[:-1])
-    begin = np.flatnonzero(first)
-    count = np.add.reduceat(inside.astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
+    anchor = least_places(hashes[: len(codes) - GRAM + 1], width)
+    early = anchor - np.arange(len(anchor)) >= half  # begins far before the anchor
+    # places where a string begins; between two texts there is always a place where none does
+    steps = np.zeros(len(anchor) + 1, np.int8)
+    steps[starts[long]] = 1
+    steps[(starts + lengths)[long] - length + 1] = -1
+    inside = np.cumsum(steps[:-1], dtype=np.int8).view(bool)
+    change = np.ones(len(anchor) + 1, bool)
+    change[1:-1] = (anchor[1:] != anchor[:-1]) | (early[1:] != early[:-1]) | (inside[1:] != inside[:-1])
+    begin = np.flatnonzero(inside & change[:-1])
+    count = np.flatnonzero(inside & change[1:]) + 1 - begin
     at, is_early = anchor[begin], early[begin]
     key = np.empty(len(begin), np.uint64)
     # what all strings of a half have in common: `half` bytes before the anchor, or what follows from the anchor on
     key[is_early] = hash_of(grams, at[is_early] - half, half + GRAM)
     key[~is_early] = hash_of(grams, at[~is_early], length - half + 1)
-    return text[begin], begin, at, count, key.view(np.int64)
+    return np.searchsorted(starts, begin, side="right") - 1, begin, at, count, key.view(np.int64)
 
 
 def laid_out(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -355,19 +350,24 @@ def spans_of_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
             )
 
 
-def cut_spans(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
-    """What is left without the spans, and the number of maximal runs removed"""
-    if not spans:
-        return raw, 0
-    kept, end, runs = [], 0, 0
-    for low, high in sorted((s["low"], s["high"]) for s in spans):
-        if low > end or not runs:
-            kept.append(raw[end:low])
-            runs += 1
-            end = high
-        else:
-            end = max(end, high)
-    return b"".join([*kept, raw[end:]]), runs
+def cut_spans(batch: pa.RecordBatch) -> list[pa.Array]:
+    """kept, n_bytes, n_removed and n_spans (maximal runs removed) of a batch's texts and their ``_spans``"""
+    codes, starts, lengths = laid_out(batch)
+    spans = batch.column("_spans")
+    row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(spans), 0).to_numpy())
+    steps = np.zeros(len(codes) + 1, np.int32)
+    for name, step in (("low", 1), ("high", -1)):
+        np.add.at(steps, starts[row] + spans.flatten().field(name).to_numpy(), step)
+    lost = np.cumsum(steps[:-1]) > 0
+    # a run goes no further than its text
+    begins = lost.copy()
+    begins[1:] &= ~lost[:-1]
+    first = starts[lengths > 0]
+    begins[first] = lost[first]
+    n_lost, n_spans = (np.diff(np.append(0, np.cumsum(x))[np.append(starts, len(codes))]) for x in (lost, begins))
+    ends = np.append(0, np.cumsum(lengths - n_lost)).astype(np.int32)
+    kept = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(codes[~lost])])
+    return [kept, *map(pa.array, (lengths, n_lost, n_spans))]
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_PIECES) -> DataFrame:
@@ -401,8 +401,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_PIECES) -> DataFrame:
-    """The documents with ``kept`` (binary, the bytes left), ``n_bytes``, ``n_removed`` and ``n_spans``"""
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_PIECES, keep_text: bool = True
+) -> DataFrame:
+    """The documents with ``kept`` (binary, the bytes left), ``n_bytes``, ``n_removed`` and ``n_spans``
+
+    Without ``keep_text`` the result has no ``text``, and the whole texts don't come back from the tasks' Python.
+    """
     made = ("kept", "n_bytes", "n_removed", "n_spans")
     spans = repeated_spans(docs, length, hot_pieces).select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_of"), F.col("spans").alias("_spans")
@@ -417,26 +422,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_pieces: int = HOT_
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4_000_000):
-            texts = batch.column("text").to_pylist()
-            done = [cut_spans(t, s) for t, s in zip(texts, batch.column("_spans").to_pylist())]
-            sizes = np.array([len(t) for t in texts])
-            left = np.array([len(k) for k, _ in done])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("text"),
-                    batch.column("_row"),
-                    pa.array([k for k, _ in done], pa.binary()),
-                    pa.array(sizes),
-                    pa.array(sizes - left),
-                    pa.array([n for _, n in done], pa.int64()),
-                ],
-                names=["text", "_row", *made],
-            )
+        for batch in slices(batches, "text", SLICE):
+            whole = [batch.column("text")] if keep_text else []
+            yield pa.RecordBatch.from_arrays([*whole, batch.column("_row"), *cut_spans(batch)], names=names)
 
+    names = [*(["text"] if keep_text else []), "_row", *made]
     row = lean.schema["_row"].dataType.simpleString()
-    out = lean.mapInArrow(run, f"text binary, _row {row}, kept binary, n_bytes long, n_removed long, n_spans long")
-    return out.select(F.col("text").cast("string").alias("text"), "_row.*", *made).select(*rest, *made)
+    kinds = {"text": "binary", "_row": row, "kept": "binary"}
+    out = lean.mapInArrow(run, ", ".join(f"{n} {kinds.get(n, 'long')}" for n in names))
+    text = [F.col("text").cast("string").alias("text")] if keep_text else []
+    return out.select(*text, "_row.*", *made).select(*[c for c in rest if keep_text or c != "text"], *made)
 
 
 SQL = f"""

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -380,6 +381,37 @@ def test_suffix_dedup(spark, hot_pieces):
     assert sorted(mine, key=str) == plain_repeats(rows)
 
 
+def test_suffix_pieces_are_runs_of_strings_with_one_anchor():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abc") for _ in range(n)).encode() for n in (0, 49, 130, 0, 50, 400, 3, 0)] + [b"a" * 200]
+    lengths = np.array([len(t) for t in texts])
+    starts = np.cumsum(lengths) - lengths
+    codes = np.frombuffer(b"".join(texts), np.uint8)
+    values = suffixes.mixed(suffixes.eights(codes), np.uint64(1))
+    least = suffixes.least_places(values, 43)
+    upper = (values >> np.uint64(32)).tolist()
+    assert least.tolist() == [min(range(i, i + 43), key=upper.__getitem__) for i in range(len(codes) - 42)]
+    text, begin, anchor, count, _ = suffixes.pieces(codes, starts, lengths, 50)
+    found = [(t, p - starts[t], a) for t, b, c, a in zip(text, begin, count, anchor) for p in range(b, b + c)]
+    want = [(t, i, least[starts[t] + i]) for t, n in enumerate(lengths) for i in range(n - 49)]
+    assert found == want
+
+
+def test_suffix_cut_without_texts(spark):
+    rows = [(1, "x" * 60), (2, "é" + "x" * 70 + "y"), (3, None), (4, ""), (5, "x" * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    lean, full = (suffixes.remove_repeats(docs, keep_text=k) for k in (False, True))
+    assert "text" not in lean.columns and "text" in full.columns
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in lean.collect()]
+    assert sorted(got, key=str) == plain_repeats(rows)
+    spans = [[{"low": 2, "high": 4}, {"low": 3, "high": 6}], None, [{"low": 0, "high": 2}, {"low": 2, "high": 3}], [], []]
+    kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([b"abcdef", b"", b"ghi", b"jk", b""]), pa.array(spans, kind)], ["text", "_spans"])
+    kept = [[b"ab", b"", b"", b"jk", b""], [6, 0, 3, 2, 0], [4, 0, 3, 0, 0], [1, 0, 1, 0, 0]]
+    assert [x.to_pylist() for x in suffixes.cut_spans(batch)] == kept
+    assert [x.to_pylist() for x in suffixes.cut_spans(batch.slice(1, 2))] == [x[1:3] for x in kept]
+
+
 def test_suffix_dedup_of_nothing(none):
     assert suffixes.remove_repeats(none).count() == 0
 
