@@ -31,6 +31,7 @@ result's name needs is replaced, others are kept except the text.
 from __future__ import annotations
 
 import heapq
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -55,8 +56,9 @@ RUN = 3 << 20
 LANES = 256
 TOGETHER = 4_000_000
 HELD = 5_000_000
+TOTALLED = 1 << 19
 COUNTED = 500_000
-WORDS = 10_000
+WORDS = 2_500
 
 LOCAL_BITS = 13
 CERTAIN = 4.0
@@ -67,6 +69,7 @@ FIRST_WEIGHT = 0.2
 RIDGE = 10.0
 NATS = np.log(10)
 
+LOW = 0 if sys.byteorder == "little" else 1
 ODD, EVEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
 STEP32, MIX32 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
@@ -364,17 +367,19 @@ def histories() -> tuple[np.ndarray, np.ndarray]:
 
 ODDS, AFTER = histories()
 AFTER = AFTER.ravel()
+#: log odds of the bit that came, a zero's and then a one's
+SIGNED = np.concatenate([-ODDS, ODDS])
 #: document gates: nothing seen, seen once, seen more often; 3 when the word before was the same
-ALONE = np.minimum(np.arange(256) // 16 + np.arange(256) % 16, 2)
-PAIRED = np.where(np.arange(256) > 0, 3, 0)
-SIGN = np.array([-1, 1], np.float32)
+ALONE = np.minimum(np.arange(256) // 16 + np.arange(256) % 16, 2).astype(np.uint8)
+PAIRED = np.where(np.arange(256) > 0, 3, 0).astype(np.uint8)
 
 
 class Lexicon:
     """The bits of the words a task has met.
 
     Bits that the corpus is certain of are left to it: the sum of their log probabilities is the word's ``fixed``. Of the
-    others, and of each word's first, corpus log odds, path and value stand packed in 64 bits from ``first`` on.
+    others, and of each word's first, corpus log odds of the bit's value, path and value stand packed in 64 bits from
+    ``first`` on.
     """
 
     def __init__(self, model: Model):
@@ -405,10 +410,10 @@ class Lexicon:
             names.append(low[bits.first + bits.count - 1] * STEP32)
             open_ = np.abs(odds) < CERTAIN
             open_[bits.first] = True
+            np.negative(odds, out=odds, where=bits.bit == 0)
             sure = np.flatnonzero(~open_)
-            signed = np.where(bits.bit[sure], odds[sure], -odds[sure])
             lost = np.zeros(len(odds), np.float32)
-            lost[sure] = -np.log1p(np.exp(-np.clip(signed, -15, 15)))
+            lost[sure] = -np.log1p(np.exp(-np.clip(odds[sure], -15, 15)))
             fixed.append(np.add.reduceat(lost, bits.first, dtype=np.float64))
             packed.append(odds[open_].view(np.uint32).astype(np.uint64) << np.uint64(32) | low[open_])
             counts.append(np.add.reduceat(open_, bits.first, dtype=np.int64))
@@ -422,80 +427,89 @@ def read_texts(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.nda
     """Natural logarithms of the probability of texts (runs of word numbers), many read side by side
 
     A lane reads one text from its first word to its last with all that the text has taught so far, then starts anew with
-    the longest text left.
+    the longest text left. All log odds are those of the bit that came, so an error is always one minus its probability.
     """
     order = np.argsort(-sizes, kind="stable")
     lanes = min(LANES, len(order))
-    word, pair = np.zeros(lanes << LOCAL_BITS, np.uint8), np.zeros(lanes << LOCAL_BITS, np.uint8)
-    weights = np.tile(START, (lanes, 1))
-    total = np.zeros(lanes)
-    shift = np.uint32(32 - LOCAL_BITS)
+    # a lane's slots by word, then those by pair of words
+    seen = np.zeros(lanes << (LOCAL_BITS + 1), np.uint8)
+    corpus, alone, paired = (START[:, i].copy() for i in range(3))
+    by_word, by_pair = np.tile(alone, lanes), np.tile(paired, lanes)
+    shift, second = np.uint32(32 - LOCAL_BITS), np.uint32(1 << LOCAL_BITS)
     before = np.zeros(lanes, np.uint32)
     text = order[:lanes].copy()
     at_word, left = first[text], sizes[text]
     live, given, run = np.arange(lanes), lanes, 0
-    out = np.empty(len(order))
+    out = np.zeros(len(order))
+    kept, n_kept = [], 0
     while len(live):
         if not run:
             run = left[live].min()
             left[live] -= run
+            slots_of, texts = live << (LOCAL_BITS + 1), text[live]
         now = ids.take(at_word[live])
         at_word[live] += 1
         run -= 1
         count = words.count.take(now)
         ends = count.cumsum()
-        starts = ends - count
-        lane = live.repeat(count)
+        starts, n = ends - count, ends[-1]
+        base = slots_of.repeat(count)
         at = (words.first.take(now) - starts).repeat(count)
-        at += np.arange(ends[-1])
-        packed = words.packed.take(at)
-        x0 = (packed >> np.uint64(32)).astype(np.uint32).view(np.float32)
-        path = packed.astype(np.uint32)
-        y = path & np.uint32(1)
-        path ^= y
-        base = lane << LOCAL_BITS
-        slot = base + ((path * MIX32) >> shift)
-        path ^= before.take(lane)
-        path *= MIX32
-        path >>= shift
-        base += path
-        state, state2 = word.take(slot), pair.take(base)
-        gate = np.maximum(ALONE.take(state), PAIRED.take(state2))
-        gate += lane << 2
-        x1, x2 = ODDS.take(state), ODDS.take(state2)
-        w = weights.take(gate, 0)
-        odds = w[:, 0] * x0
-        odds += w[:, 1] * x1
-        odds += w[:, 2] * x2
-        sign = SIGN.take(y)
-        odds *= sign
+        at += np.arange(n)
+        halves = words.packed.take(at).view(np.uint32).reshape(n, 2)
+        low, odds = halves[:, LOW], halves[:, 1 - LOW].copy().view(np.float32)
+        y = low & np.uint32(1)
+        paths = np.empty((2, n), np.uint32)
+        np.bitwise_xor(low, y, out=paths[0])
+        np.bitwise_xor(paths[0], before[live].repeat(count), out=paths[1])
+        paths *= MIX32
+        paths >>= shift
+        paths[1] += second
+        slots = paths.astype(np.int64)
+        slots += base
+        states = seen.take(slots)
+        moved = (states + (y << np.uint32(8)).astype(np.uint16)).astype(np.int64)
+        x1, x2 = SIGNED.take(moved)
+        seen[slots] = AFTER.take(moved)
+        gate = np.maximum(ALONE.take(states[0]), PAIRED.take(states[1]))
+        odds *= corpus.take(gate)
+        gate = (base >> (LOCAL_BITS - 1)) + gate
+        odds += by_word.take(gate) * x1
+        odds += by_pair.take(gate) * x2
         np.maximum(odds, -15, out=odds)
         np.minimum(odds, 15, out=odds)
         p = 1 / (1 + np.exp(-odds))
-        total[live] += np.add.reduceat(np.log(p), starts, dtype=np.float64)
-        error = (1 - p) * sign
-        error *= RATE
-        weights[:, 1] += np.bincount(gate, error * x1, 4 * lanes)
-        weights[:, 2] += np.bincount(gate, error * x2, 4 * lanes)
-        y <<= np.uint32(8)
-        word[slot], pair[base] = AFTER.take(y + state), AFTER.take(y + state2)
+        error = (1 - p) * RATE
+        by_word += np.bincount(gate, error * x1, 4 * lanes)
+        by_pair += np.bincount(gate, error * x2, 4 * lanes)
         before[live] = words.name.take(now)
+        kept.append((p, starts + n_kept, texts))
+        n_kept += n
+        if n_kept > TOTALLED:
+            add_logarithms(out, kept)
+            kept, n_kept = [], 0
         if run:
             continue
         done = live[left[live] == 0]
-        out[text[done]] = total[done]
         fresh = done[: len(order) - given]
         text[fresh] = order[given : given + len(fresh)]
         given += len(fresh)
         at_word[fresh], left[fresh] = first[text[fresh]], sizes[text[fresh]]
-        total[fresh], before[fresh] = 0, 0
-        word.reshape(lanes, -1)[fresh] = 0
-        pair.reshape(lanes, -1)[fresh] = 0
-        weights.reshape(lanes, *START.shape)[fresh] = START
+        before[fresh] = 0
+        seen.reshape(lanes, -1)[fresh] = 0
+        by_word.reshape(lanes, -1)[fresh], by_pair.reshape(lanes, -1)[fresh] = alone, paired
         live = live[left[live] > 0]
+    add_logarithms(out, kept)
     return out
 
 
+def add_logarithms(out: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+    """Add to the texts' sums, from runs of (probabilities of bits, each word's first bit, each word's text)"""
+    if kept:
+        p, starts, texts = map(np.concatenate, zip(*kept))
+        out += np.bincount(texts, np.add.reduceat(np.log(p), starts, dtype=np.float64), len(out))
+
+
 def log_probabilities(
     words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray, window: int | None = WINDOW
 ) -> np.ndarray:

@@ -207,6 +207,30 @@ def test_a_text_teaches_to_its_end(monkeypatch):
     assert got == pytest.approx([one_by_one(model, t) for t in texts], rel=1e-4)
 
 
+def test_sums_of_short_and_long_runs_agree(monkeypatch):
+    """Bits are added up many words at a time: one word, some words or all at once give the same sums"""
+    words = [b"a", b"b", scoring.END]
+    model = small_model(words, np.array([5, 3, 4]))
+    texts = [[*[b"a", b"c", b"ab"] * n, scoring.END] for n in (0, 3, 40, 1, 90)]
+    want = [one_by_one(model, t) for t in texts]
+    for many in (0, 500, 1 << 19):
+        monkeypatch.setattr(scoring, "TOTALLED", many)
+        assert probabilities(model, texts) == pytest.approx(want, rel=1e-4)
+
+
+def test_packed_odds_are_of_the_bit_that_came():
+    words = [b"a", b"the", "é".encode(), scoring.END]
+    model = small_model(words, np.array([5, 3, 2, 4]))
+    lexicon = scoring.Lexicon(model)
+    lexicon.numbers(words)
+    bits = scoring.Bits(words, model.code)
+    odds = model.corpus_odds(bits)
+    open_ = np.abs(odds) < scoring.CERTAIN
+    open_[bits.first] = True
+    held = (lexicon.packed >> np.uint64(32)).astype(np.uint32).view(np.float32)
+    assert held.tolist() == np.where(bits.bit, odds, -odds)[open_].tolist()
+
+
 def test_own_counts_are_taken_out():
     size, ones = 9, 4
     entry = (size << 8) | int(np.array(round(8 * math.log((ones + 0.1) / (size - ones + 0.1)))).astype(np.int8).view(np.uint8))
