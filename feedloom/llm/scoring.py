@@ -38,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,11 +54,13 @@ FREQUENT = 1 << 17
 LONGEST = 64
 WINDOW = 1024
 RUN = 3 << 20
-LANES = 256
+LANES = 128
 TOGETHER = 4_000_000
 HELD = 5_000_000
-TOTALLED = 1 << 19
+TOTALLED = 1 << 14
 COUNTED = 500_000
+SORTED = 1 << 17
+CHUNK = 512
 WORDS = 2_500
 
 LOCAL_BITS = 13
@@ -110,6 +113,10 @@ class ByteCode:
         for b, path in paths.items():
             for i, (place, bit) in enumerate(path):
                 self.place[b, i], self.bit[b, i] = place, bit
+        # run_hash of a byte's bits: of those before each, and of all
+        terms = np.where(np.arange(self.length.max()) < self.length[:, None], self.bit.astype(np.uint64) + np.uint64(1), np.uint64(0))
+        sums = np.cumsum(terms * np.cumprod(np.r_[np.uint64(1), np.full(terms.shape[1] - 1, ODD)]), axis=1, dtype=np.uint64)
+        self.before, self.whole = np.hstack([np.zeros((256, 1), np.uint64), sums[:, :-1]]), sums[:, -1].copy()
 
 
 def run_hash(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -129,34 +136,50 @@ class Bits:
     """The bits of words: values, places in the code, where each word's bits start and how many there are"""
 
     def __init__(self, words: list[bytes], code: ByteCode):
-        self.codes, lengths = spell(words)
-        self.start_of_byte = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        per_byte = code.length[self.codes]
-        ends = np.cumsum(per_byte)
-        self.byte = np.repeat(np.arange(len(self.codes), dtype=np.int32), per_byte)
-        inner = np.arange(ends[-1], dtype=np.int32) - np.repeat((ends - per_byte).astype(np.int32), per_byte)
-        spelled = self.codes[self.byte]
-        self.place, self.bit = code.place[spelled, inner], code.bit[spelled, inner]
-        last = ends[np.cumsum(lengths) - 1]
+        self.spell(words)
+        self.unfold(code, np.arange(len(self.codes)))
+        ends = np.cumsum(self.count)
+        last = ends[np.cumsum(self.lengths) - 1]
         self.first = np.concatenate([[0], last[:-1]]).astype(np.int64)
         self.count = last - self.first
 
+    def spell(self, words: list[bytes]) -> None:
+        self.codes, self.lengths = spell(words)
+        self.start = np.cumsum(self.lengths) - self.lengths
+        self.start_of_byte = np.repeat(self.start, self.lengths)
+        self.so_far = run_hash(self.codes.astype(np.uint64) + np.uint64(1), self.start_of_byte)
+
+    def unfold(self, code: ByteCode, kept: np.ndarray) -> None:
+        """The bits of the bytes at the places ``kept``: where each byte's bits start and how many there are"""
+        self.kept, spelled = kept, self.codes[kept]
+        self.per_byte = self.count = code.length[spelled]
+        ends = np.cumsum(self.count)
+        self.first = ends - self.count
+        self.inner = np.arange(ends[-1], dtype=np.int32) - np.repeat(self.first.astype(np.int32), self.count)
+        self.spelled = np.repeat(spelled, self.count)
+        self.place, self.bit = code.place[self.spelled, self.inner], code.bit[self.spelled, self.inner]
+
     def slots(self, bits: int) -> Iterator[np.ndarray]:
         """Per context the table slot of every bit"""
         n = len(self.codes)
         code = self.codes.astype(np.uint64) + np.uint64(1)
         off = np.arange(n) - self.start_of_byte
         before = np.zeros(n, np.uint64)
-        hashes = {0: run_hash(code, self.start_of_byte)}
+        hashes = {0: self.so_far[self.kept]}
         for k in range(1, max(CONTEXTS) + 1):
             previous = np.concatenate([np.zeros(min(k, n), np.uint64), code[:-k]])
-            before = before | (np.where(off >= k, previous, np.uint64(0)) << np.uint64(9 * (k - 1)))
-            hashes[k] = before.copy()
+            before |= np.where(off >= k, previous, np.uint64(0)) << np.uint64(9 * (k - 1))
+            hashes[k] = before[self.kept]
+        place = self.place * STEP32
         for k in CONTEXTS:
             x = (hashes[k] + np.uint64(7919 * k + 1)) * ODD
             x ^= x >> np.uint64(29)
             base = ((x * EVEN) >> np.uint64(32)).astype(np.uint32)
-            yield ((base[self.byte] + self.place * STEP32) * MIX32) >> np.uint32(32 - bits)
+            slot = np.repeat(base, self.per_byte)
+            slot += place
+            slot *= MIX32
+            slot >>= np.uint32(32 - bits)
+            yield slot
 
     def paths(self) -> np.ndarray:
         """Per bit a hash of the word's bits before it"""
@@ -165,6 +188,45 @@ class Bits:
         return (x >> np.uint64(32)).astype(np.uint32)
 
 
+class SharedBits(Bits):
+    """The bits of words, those of a byte once for all words that are the same up to it
+
+    ``of`` is the number of each byte among the different ones; ``first`` and ``count`` are of these, not of words.
+    """
+
+    def __init__(self, words: list[bytes], code: ByteCode):
+        self.spell(words)
+        self.code = code
+        self.of, different = pd.factorize(self.so_far * ODD + self.codes)
+        kept = np.empty(len(different), np.int64)
+        kept[self.of[::-1]] = np.arange(len(self.codes) - 1, -1, -1)
+        self.unfold(code, kept)
+
+    def heads(self) -> np.ndarray:
+        """Of the words' first bytes, their first bits"""
+        return self.first[self.start_of_byte[self.kept] == self.kept]
+
+    def weights(self, c: np.ndarray) -> np.ndarray:
+        """How often each bit stands in words that stand ``c`` times"""
+        return np.repeat(np.bincount(self.of, np.repeat(c, self.lengths)), self.count)
+
+    def paths(self) -> np.ndarray:
+        bits = self.code.length[self.codes]
+        ahead = np.cumsum(bits) - bits
+        ahead -= ahead[self.start_of_byte]
+        powers = np.full(ahead.max() + 1, ODD, np.uint64)
+        powers[0] = 1
+        power = np.cumprod(powers, dtype=np.uint64)[ahead]
+        terms = self.code.whole[self.codes] * power
+        sums = np.cumsum(terms, dtype=np.uint64) - terms
+        sums -= sums[self.start_of_byte]
+        x = self.code.before[self.spelled, self.inner]
+        x *= np.repeat(power[self.kept], self.count)
+        x += np.repeat(sums[self.kept], self.count)
+        x *= EVEN
+        return (x >> np.uint64(32)).astype(np.uint32)
+
+
 def table_bits(distinct: int) -> int:
     return min(TABLE_BITS, max(LEAST_BITS, (64 * distinct).bit_length()))
 
@@ -263,6 +325,25 @@ def runs_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[byte
         yield part.column("word").cast(pa.binary()).to_pylist(), part.column("c").to_numpy()
 
 
+def similar_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The same from words brought into their order, so that those of a run share most of their bytes"""
+    held, rows = [], 0
+    for batch in batches:
+        for part in slices([batch], "word", RUN):
+            if held and (rows + part.num_rows > SORTED or sum(h.nbytes for h in held) > RUN):
+                yield from runs_of_words(in_order(held))
+                held, rows = [], 0
+            held.append(part)
+            rows += part.num_rows
+    if held:
+        yield from runs_of_words(in_order(held))
+
+
+def in_order(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    table = pa.Table.from_batches(held)
+    return table.take(pc.sort_indices(table.column("word"))).combine_chunks().to_batches()
+
+
 def byte_counts(words: DataFrame) -> list[int]:
     """How often each byte stands in the training tokens, and once more"""
 
@@ -285,34 +366,44 @@ def predictor_table(words: DataFrame, code: ByteCode, bits: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(2 << bits, np.int64)
-        for some, c in runs_of_words(batches):
-            held = Bits(some, shared.value)
-            weight, bit = np.repeat(c, held.count), held.bit.astype(np.int64)
+        for some, c in similar_words(batches):
+            held = SharedBits(some, shared.value)
+            weight, bit = held.weights(c).astype(np.int64), held.bit.astype(np.int64)
             for slots in held.slots(bits):
                 np.add.at(counts, 2 * slots.astype(np.int64) + bit, weight)
-        both = counts.reshape(-1, 2)
-        used = np.flatnonzero(both.any(1))
-        for i in range(0, len(used), 50_000):
-            some = used[i : i + 50_000]
-            columns = [pa.array(some.astype(np.int32)), pa.array(both[some, 0].copy()), pa.array(both[some, 1].copy())]
-            yield pa.RecordBatch.from_arrays(columns, names=["slot", "zeros", "ones"])
+        counts = counts.reshape(-1, 2 * CHUNK)
+        used = np.flatnonzero(counts.any(1))
+        for i in range(0, len(used), 1000):
+            yield packed(used[i : i + 1000], counts)
+
+    def packed(some: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        small_ = counts[some].max(1) < 1 << 31
+        held = [(x.astype(np.int32) if s else x).tobytes() for x, s in zip(counts[some], small_)]
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held, pa.binary())], names=["chunk", "n"])
 
-    rows = words.mapInArrow(run, "slot int, zeros long, ones long")
-    summed = rows.groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    rows = words.mapInArrow(run, "chunk int, n binary")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
         for batch in batches:
-            slot, zeros, ones = (c.to_numpy() for c in batch.columns)
+            for chunk, n in zip(*(c.to_pylist() for c in batch.columns)):
+                n = np.frombuffer(n, np.int32 if len(n) == 8 * CHUNK else np.int64)
+                if chunk in sums:
+                    sums[chunk] += n
+                else:
+                    sums[chunk] = n.astype(np.int64)
+        for chunk, n in sums.items():
+            zeros, ones = n.reshape(-1, 2).T
             odds = np.clip(np.rint(8 * np.log((ones + PRIOR) / (zeros + PRIOR))), -127, 127).astype(np.int8)
             entry = small(zeros + ones).astype(np.uint16) << np.uint16(8) | odds.view(np.uint8)
-            packed = [slot.astype(np.int32).tobytes(), entry.tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in packed], names=["slot", "entry"])
+            columns = [pa.array([chunk], pa.int32()), pa.array([entry.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunk", "entry"])
 
-    table = np.zeros(1 << bits, np.uint16)
-    # at most 2^TABLE_BITS slots of six bytes, in batches
-    for row in summed.mapInArrow(pack, "slot binary, entry binary").toLocalIterator():
-        table[np.frombuffer(row["slot"], np.int32)] = np.frombuffer(row["entry"], np.uint16)
-    return table
+    table = np.zeros(((1 << bits) // CHUNK, CHUNK), np.uint16)
+    # at most 2^TABLE_BITS slots of two bytes
+    for row in rows.repartition("chunk").mapInArrow(pack, "chunk int, entry binary").toLocalIterator():
+        table[row["chunk"]] = np.frombuffer(row["entry"], np.uint16)
+    return table.reshape(-1)
 
 
 def fitted_weights(words: DataFrame, model: Model) -> np.ndarray:
@@ -323,10 +414,10 @@ def fitted_weights(words: DataFrame, model: Model) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, total = shared.value, np.zeros((k + len(pairs), GATES))
-        for some, c in runs_of_words(batches):
-            bits = Bits(some, start.code)
+        for some, c in similar_words(batches):
+            bits = SharedBits(some, start.code)
             x, gate = start.inputs(bits, without_own=True)
-            weight = np.repeat(c, bits.count).astype(np.float32)
+            weight = bits.weights(c).astype(np.float32)
             p = 1 / (1 + np.exp(-np.clip(np.float32(FIRST_WEIGHT) * sum(x), -20, 20)))
             error, spread = weight * (bits.bit - p), weight * p * (1 - p)
             for i in range(k):
@@ -370,8 +461,8 @@ AFTER = AFTER.ravel()
 #: log odds of the bit that came, a zero's and then a one's
 SIGNED = np.concatenate([-ODDS, ODDS])
 #: document gates: nothing seen, seen once, seen more often; 3 when the word before was the same
-ALONE = np.minimum(np.arange(256) // 16 + np.arange(256) % 16, 2).astype(np.uint8)
-PAIRED = np.where(np.arange(256) > 0, 3, 0).astype(np.uint8)
+ALONE = np.tile(np.minimum(np.arange(256) // 16 + np.arange(256) % 16, 2).astype(np.uint8), 2)
+PAIRED = np.tile(np.where(np.arange(256) > 0, 3, 0).astype(np.uint8), 2)
 
 
 class Lexicon:
@@ -384,9 +475,6 @@ class Lexicon:
 
     def __init__(self, model: Model):
         self.model = model
-        self.clear()
-
-    def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.packed, self.name = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         self.first, self.count, self.fixed = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -395,121 +483,171 @@ class Lexicon:
         return len(self.packed) > HELD
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of different words; those met before keep theirs as long as no more than HELD bits are kept"""
+        """Numbers of different words; those met before keep theirs as long as no more than HELD bits are kept
+
+        Above that the words not asked for are dropped.
+        """
         if self.full():
-            self.clear()
-        self.add([w for w in words if w not in self.number])
+            self.keep([w for w in words if w in self.number])
+        new = [w for w in words if w not in self.number]
+        # a block shares what its words have in common: more with neighbours by their spelling
+        self.add(sorted(new) if len(new) > WORDS else new)
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
+    def keep(self, words: list[bytes]) -> None:
+        """These words alone, numbered in this order"""
+        old = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        first, self.count = self.first[old], self.count[old]
+        self.name, self.fixed = self.name[old], self.fixed[old]
+        self.first = np.cumsum(self.count) - self.count
+        self.packed = self.packed.take(np.repeat(first - self.first, self.count) + np.arange(self.count.sum()))
+        self.number = dict(zip(words, range(len(words))))
+
     def add(self, words: list[bytes]) -> None:
         packed, counts, names, fixed = [self.packed], [self.count], [self.name], [self.fixed]
         for i in range(0, len(words), WORDS):
-            bits = Bits(words[i : i + WORDS], self.model.code)
+            bits = SharedBits(words[i : i + WORDS], self.model.code)
             odds, paths = self.model.corpus_odds(bits), bits.paths()
             low = (paths & np.uint32(0xFFFFFFFE)) | bits.bit
-            names.append(low[bits.first + bits.count - 1] * STEP32)
             open_ = np.abs(odds) < CERTAIN
-            open_[bits.first] = True
+            open_[bits.heads()] = True
             np.negative(odds, out=odds, where=bits.bit == 0)
             sure = np.flatnonzero(~open_)
             lost = np.zeros(len(odds), np.float32)
             lost[sure] = -np.log1p(np.exp(-np.clip(odds[sure], -15, 15)))
-            fixed.append(np.add.reduceat(lost, bits.first, dtype=np.float64))
-            packed.append(odds[open_].view(np.uint32).astype(np.uint64) << np.uint64(32) | low[open_])
-            counts.append(np.add.reduceat(open_, bits.first, dtype=np.int64))
+            # of the different bytes, then of each word's bytes
+            lost, n_open = (np.add.reduceat(x, bits.first, dtype=t) for x, t in ((lost, np.float64), (open_, np.int64)))
+            here = odds[open_].view(np.uint32).astype(np.uint64) << np.uint64(32) | low[open_]
+            count = n_open[bits.of]
+            ends = np.cumsum(count)
+            at = np.repeat((np.cumsum(n_open) - n_open)[bits.of] - (ends - count), count)
+            at += np.arange(ends[-1])
+            packed.append(here.take(at))
+            counts.append(np.add.reduceat(count, bits.start))
+            fixed.append(np.add.reduceat(lost[bits.of], bits.start))
+            names.append(low[bits.first + bits.count - 1][bits.of[bits.start + bits.lengths - 1]] * STEP32)
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
         self.packed, self.count = np.concatenate(packed), np.concatenate(counts)
         self.name, self.fixed = np.concatenate(names), np.concatenate(fixed)
         self.first = np.cumsum(self.count) - self.count
 
 
+def schedule(first: np.ndarray, sizes: np.ndarray, order: np.ndarray, lanes: int, most: int) -> Iterator[list[tuple]]:
+    """What is read together, in batches of about ``most`` words: runs of (lanes that start anew, lanes, texts, places)
+
+    Places are of words, a row for each step. A lane reads one text from its first word to its last, then starts anew with
+    the longest text left.
+    """
+    text = order[:lanes].copy()
+    at_word, left = first[text], sizes[text]
+    live, fresh, given = np.arange(lanes), np.arange(lanes), lanes
+    batch, n = [], 0
+    while len(live):
+        steps = min(left[live].min(), max(1, (most - n) // len(live)))
+        batch.append((fresh, live, text[live], at_word[live] + np.arange(steps)[:, None]))
+        at_word[live] += steps
+        left[live] -= steps
+        n += steps * len(live)
+        if n >= most or len(batch) > most:
+            yield batch
+            batch, n = [], 0
+        done = live[left[live] == 0]
+        fresh = done[: len(order) - given]
+        text[fresh] = order[given : given + len(fresh)]
+        given += len(fresh)
+        at_word[fresh], left[fresh] = first[text[fresh]], sizes[text[fresh]]
+        live = live[left[live] > 0]
+    if batch:
+        yield batch
+
+
 def read_texts(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Natural logarithms of the probability of texts (runs of word numbers), many read side by side
 
-    A lane reads one text from its first word to its last with all that the text has taught so far, then starts anew with
-    the longest text left. All log odds are those of the bit that came, so an error is always one minus its probability.
+    What a text has taught so far is known before any weight is, so a batch is read twice: for the slots' states, then for
+    the weights; all else is done for the whole batch. All log odds are those of the bit that came, so an error is always
+    one minus its probability.
     """
     order = np.argsort(-sizes, kind="stable")
     lanes = min(LANES, len(order))
-    # a lane's slots by word, then those by pair of words
-    seen = np.zeros(lanes << (LOCAL_BITS + 1), np.uint8)
-    corpus, alone, paired = (START[:, i].copy() for i in range(3))
-    by_word, by_pair = np.tile(alone, lanes), np.tile(paired, lanes)
-    shift, second = np.uint32(32 - LOCAL_BITS), np.uint32(1 << LOCAL_BITS)
-    before = np.zeros(lanes, np.uint32)
-    text = order[:lanes].copy()
-    at_word, left = first[text], sizes[text]
-    live, given, run = np.arange(lanes), lanes, 0
+    # by word, then by pair of words: a lane's slots, and its weights by gate
+    seen = np.zeros((2, lanes, 1 << LOCAL_BITS), np.uint8)
+    weights = np.empty((2, lanes, 4), np.float32)
+    of_all, by_word, by_pair = seen.reshape(2, -1), *weights.reshape(2, -1)
+    corpus, fresh_weights = START[:, 0].copy(), START[:, 1:].T[:, None]
+    shift, places = np.uint32(32 - LOCAL_BITS), 4 * lanes
+    opens = np.zeros(len(ids), bool)
+    opens[first] = True
     out = np.zeros(len(order))
-    kept, n_kept = [], 0
-    while len(live):
-        if not run:
-            run = left[live].min()
-            left[live] -= run
-            slots_of, texts = live << (LOCAL_BITS + 1), text[live]
-        now = ids.take(at_word[live])
-        at_word[live] += 1
-        run -= 1
+    for batch in schedule(first, sizes, order, lanes, max(1, TOTALLED >> 4)):
+        place = np.concatenate([at.ravel() for *_, at in batch])
+        lane = np.concatenate([np.tile(live, len(at)) for _, live, _, at in batch])
+        texts = np.concatenate([np.tile(text, len(at)) for _, _, text, at in batch])
+        now, before = ids.take(place), words.name.take(ids.take(place - 1))
+        before[opens.take(place)] = 0
         count = words.count.take(now)
         ends = count.cumsum()
         starts, n = ends - count, ends[-1]
-        base = slots_of.repeat(count)
         at = (words.first.take(now) - starts).repeat(count)
         at += np.arange(n)
         halves = words.packed.take(at).view(np.uint32).reshape(n, 2)
-        low, odds = halves[:, LOW], halves[:, 1 - LOW].copy().view(np.float32)
+        low = halves[:, LOW]
         y = low & np.uint32(1)
         paths = np.empty((2, n), np.uint32)
         np.bitwise_xor(low, y, out=paths[0])
-        np.bitwise_xor(paths[0], before[live].repeat(count), out=paths[1])
+        np.bitwise_xor(paths[0], before.repeat(count), out=paths[1])
         paths *= MIX32
         paths >>= shift
-        paths[1] += second
         slots = paths.astype(np.int64)
-        slots += base
-        states = seen.take(slots)
-        moved = (states + (y << np.uint32(8)).astype(np.uint16)).astype(np.int64)
+        slots += (lane << LOCAL_BITS).repeat(count)
+        y <<= np.uint32(8)
+        y = y.astype(np.uint16)
+        # for each run the lanes that start anew, and where the bits of its steps start and end
+        stops = iter(ends[np.cumsum([len(live) for _, live, _, at in batch for _ in at]) - 1].tolist())
+        steps, start = [], 0
+        for fresh, _, _, at in batch:
+            steps.append((fresh, []))
+            for _ in at:
+                stop = next(stops)
+                steps[-1][1].append((start, stop))
+                start = stop
+        moved = np.empty((2, n), np.uint16)
+        for table, places_of, slot, move in zip(seen, of_all, slots, moved):
+            for fresh, bits in steps:
+                table[fresh] = 0
+                for start, stop in bits:
+                    here = slot[start:stop]
+                    states = places_of.take(here) + y[start:stop]
+                    move[start:stop] = states
+                    places_of[here] = AFTER.take(states)
         x1, x2 = SIGNED.take(moved)
-        seen[slots] = AFTER.take(moved)
-        gate = np.maximum(ALONE.take(states[0]), PAIRED.take(states[1]))
-        odds *= corpus.take(gate)
-        gate = (base >> (LOCAL_BITS - 1)) + gate
-        odds += by_word.take(gate) * x1
-        odds += by_pair.take(gate) * x2
-        np.maximum(odds, -15, out=odds)
-        np.minimum(odds, 15, out=odds)
-        p = 1 / (1 + np.exp(-odds))
-        error = (1 - p) * RATE
-        by_word += np.bincount(gate, error * x1, 4 * lanes)
-        by_pair += np.bincount(gate, error * x2, 4 * lanes)
-        before[live] = words.name.take(now)
-        kept.append((p, starts + n_kept, texts))
-        n_kept += n
-        if n_kept > TOTALLED:
-            add_logarithms(out, kept)
-            kept, n_kept = [], 0
-        if run:
-            continue
-        done = live[left[live] == 0]
-        fresh = done[: len(order) - given]
-        text[fresh] = order[given : given + len(fresh)]
-        given += len(fresh)
-        at_word[fresh], left[fresh] = first[text[fresh]], sizes[text[fresh]]
-        before[fresh] = 0
-        seen.reshape(lanes, -1)[fresh] = 0
-        by_word.reshape(lanes, -1)[fresh], by_pair.reshape(lanes, -1)[fresh] = alone, paired
-        live = live[left[live] > 0]
-    add_logarithms(out, kept)
+        gate = np.maximum(ALONE.take(moved[0]), PAIRED.take(moved[1]))
+        odds = halves[:, 1 - LOW].view(np.float32) * corpus.take(gate)
+        gate = (lane << 2).repeat(count) + gate
+        for fresh, bits in steps:
+            weights[:, fresh] = fresh_weights
+            for start, stop in bits:
+                p, here, word, pair = odds[start:stop], gate[start:stop], x1[start:stop], x2[start:stop]
+                share = by_word.take(here)
+                share *= word
+                p += share
+                share = by_pair.take(here)
+                share *= pair
+                p += share
+                np.maximum(p, -15, out=p)
+                np.minimum(p, 15, out=p)
+                np.negative(p, out=p)
+                np.exp(p, out=p)
+                p += 1
+                np.divide(1, p, out=p)
+                error = 1 - p
+                error *= RATE
+                by_word += np.bincount(here, error * word, places)
+                by_pair += np.bincount(here, error * pair, places)
+        out += np.bincount(texts, np.add.reduceat(np.log(odds), starts, dtype=np.float64), len(out))
     return out
 
 
-def add_logarithms(out: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
-    """Add to the texts' sums, from runs of (probabilities of bits, each word's first bit, each word's text)"""
-    if kept:
-        p, starts, texts = map(np.concatenate, zip(*kept))
-        out += np.bincount(texts, np.add.reduceat(np.log(p), starts, dtype=np.float64), len(out))
-
-
 def log_probabilities(
     words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.ndarray, window: int | None = WINDOW
 ) -> np.ndarray:
