@@ -56,7 +56,7 @@ WINDOW = 1024
 RUN = 3 << 20
 LANES = 128
 TOGETHER = 4_000_000
-HELD = 5_000_000
+HELD = 8_000_000
 TOTALLED = 1 << 14
 COUNTED = 500_000
 SORTED = 1 << 17
@@ -161,15 +161,14 @@ class Bits:
 
     def slots(self, bits: int) -> Iterator[np.ndarray]:
         """Per context the table slot of every bit"""
-        n = len(self.codes)
-        code = self.codes.astype(np.uint64) + np.uint64(1)
-        off = np.arange(n) - self.start_of_byte
-        before = np.zeros(n, np.uint64)
+        off = self.kept - self.start_of_byte[self.kept]
+        before = np.zeros(len(off), np.uint64)
         hashes = {0: self.so_far[self.kept]}
         for k in range(1, max(CONTEXTS) + 1):
-            previous = np.concatenate([np.zeros(min(k, n), np.uint64), code[:-k]])
-            before |= np.where(off >= k, previous, np.uint64(0)) << np.uint64(9 * (k - 1))
-            hashes[k] = before[self.kept]
+            # the byte k places before, if the word has begun by then
+            previous = np.where(off >= k, self.codes.take(self.kept - k, mode="clip") + np.uint64(1), np.uint64(0))
+            before |= previous << np.uint64(9 * (k - 1))
+            hashes[k] = before.copy()
         place = self.place * STEP32
         for k in CONTEXTS:
             x = (hashes[k] + np.uint64(7919 * k + 1)) * ODD
@@ -570,12 +569,15 @@ def read_texts(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.nda
     """
     order = np.argsort(-sizes, kind="stable")
     lanes = min(LANES, len(order))
-    # by word, then by pair of words: a lane's slots, and its weights by gate
+    # a lane's slots by word, then those by pair of words
     seen = np.zeros((2, lanes, 1 << LOCAL_BITS), np.uint8)
-    weights = np.empty((2, lanes, 4), np.float32)
-    of_all, by_word, by_pair = seen.reshape(2, -1), *weights.reshape(2, -1)
-    corpus, fresh_weights = START[:, 0].copy(), START[:, 1:].T[:, None]
+    of_all = seen.reshape(2, -1)
+    # an input by pair of words is none but at the last gate, so that is the only weight of it that matters
+    by_gate, by_pair = np.empty((lanes, 4), np.float32), np.empty(lanes, np.float32)
+    by_word = by_gate.reshape(-1)
+    less_corpus = -START[:, 0]
     shift, places = np.uint32(32 - LOCAL_BITS), 4 * lanes
+    least, most, one = np.float32(-15), np.float32(15), np.float32(1)
     opens = np.zeros(len(ids), bool)
     opens[first] = True
     out = np.zeros(len(order))
@@ -599,51 +601,56 @@ def read_texts(words: Lexicon, ids: np.ndarray, first: np.ndarray, sizes: np.nda
         paths *= MIX32
         paths >>= shift
         slots = paths.astype(np.int64)
-        slots += (lane << LOCAL_BITS).repeat(count)
-        y <<= np.uint32(8)
-        y = y.astype(np.uint16)
+        lane = lane.repeat(count)
+        slots += lane << LOCAL_BITS
         # for each run the lanes that start anew, and where the bits of its steps start and end
-        stops = iter(ends[np.cumsum([len(live) for _, live, _, at in batch for _ in at]) - 1].tolist())
-        steps, start = [], 0
-        for fresh, _, _, at in batch:
-            steps.append((fresh, []))
+        stops, steps, start = ends.tolist(), [], 0
+        word = 0
+        for fresh, live, _, at in batch:
+            spans = []
             for _ in at:
-                stop = next(stops)
-                steps[-1][1].append((start, stop))
+                word += len(live)
+                spans.append((start, stop := stops[word - 1], word - len(live), word))
                 start = stop
-        moved = np.empty((2, n), np.uint16)
-        for table, places_of, slot, move in zip(seen, of_all, slots, moved):
-            for fresh, bits in steps:
+            steps.append((fresh, live, spans))
+        y <<= np.uint32(8)
+        y = y.astype(np.uint16)
+        both = np.empty((2, n), np.int64)
+        for table, places_of, slot, moved in zip(seen, of_all, slots, both):
+            for fresh, _, spans in steps:
                 table[fresh] = 0
-                for start, stop in bits:
+                for start, stop, *_ in spans:
                     here = slot[start:stop]
-                    states = places_of.take(here) + y[start:stop]
-                    move[start:stop] = states
+                    states = np.add(places_of.take(here), y[start:stop]).astype(np.int64)
+                    moved[start:stop] = states
                     places_of[here] = AFTER.take(states)
-        x1, x2 = SIGNED.take(moved)
-        gate = np.maximum(ALONE.take(moved[0]), PAIRED.take(moved[1]))
-        odds = halves[:, 1 - LOW].view(np.float32) * corpus.take(gate)
-        gate = (lane << 2).repeat(count) + gate
-        for fresh, bits in steps:
-            weights[:, fresh] = fresh_weights
-            for start, stop in bits:
-                p, here, word, pair = odds[start:stop], gate[start:stop], x1[start:stop], x2[start:stop]
+        x1, x2 = SIGNED.take(both)
+        gate = np.maximum(ALONE.take(both[0]), PAIRED.take(both[1]))
+        # log odds of the other bit
+        odds = halves[:, 1 - LOW].view(np.float32) * less_corpus.take(gate)
+        lane <<= 2
+        lane += gate
+        for fresh, live, spans in steps:
+            by_gate[fresh], by_pair[fresh] = START[:, 1], START[3, 2]
+            for start, stop, word, end in spans:
+                p, here, input_, pair = odds[start:stop], lane[start:stop], x1[start:stop], x2[start:stop]
                 share = by_word.take(here)
-                share *= word
-                p += share
-                share = by_pair.take(here)
+                share *= input_
+                p -= share
+                share = by_pair.take(live).repeat(count[word:end])
                 share *= pair
-                p += share
-                np.maximum(p, -15, out=p)
-                np.minimum(p, 15, out=p)
-                np.negative(p, out=p)
+                p -= share
+                np.maximum(p, least, out=p)
+                np.minimum(p, most, out=p)
                 np.exp(p, out=p)
-                p += 1
-                np.divide(1, p, out=p)
-                error = 1 - p
+                p += one
+                np.divide(one, p, out=p)
+                error = one - p
                 error *= RATE
-                by_word += np.bincount(here, error * word, places)
-                by_pair += np.bincount(here, error * pair, places)
+                np.multiply(error, input_, out=share)
+                by_word += np.bincount(here, share, places)
+                error *= pair
+                by_pair[live] += np.add.reduceat(error, starts[word:end] - start, dtype=np.float64)
         out += np.bincount(texts, np.add.reduceat(np.log(odds), starts, dtype=np.float64), len(out))
     return out
 
@@ -700,8 +707,7 @@ def scored(docs: DataFrame, model: Model, frequent: dict[bytes, int]) -> DataFra
             if n_words > TOGETHER or lexicon.full():
                 yield from finished(lexicon, held)
                 held, n_words = [], 0
-            texts = [[*words_of(t), END] for t in batch.column("text").to_pylist()]
-            ids, *made = of_texts(lexicon, frequent, texts)
+            ids, *made = of_tokens(lexicon, frequent, *tokens_of(batch.column("text")))
             held.append((batch.column("_row"), ids, made))
             n_words += len(ids)
         yield from finished(lexicon, held)
@@ -732,21 +738,36 @@ def of_run(lexicon: Lexicon, frequent: dict[bytes, int], texts: list[list[bytes]
 
 
 def of_texts(lexicon: Lexicon, frequent: dict[bytes, int], texts: list[list[bytes]]) -> list:
-    """Word numbers, then n_tokens, _bytes, _known, _base and _rare of texts"""
+    """The same as ``of_tokens`` from lists of words"""
     ids, names = pd.factorize(np.array([w for words in texts for w in words], object))
-    names = names.tolist()
-    sizes = np.array([len(words) for words in texts], np.int64)
+    return of_tokens(lexicon, frequent, ids, names.tolist(), np.array([len(words) for words in texts], np.int64))
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Each token's place among the different ones, these, and how many each text has: ``words_of`` and the end"""
+    pieces = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, offsets = pieces.flatten(), pieces.offsets.to_numpy()
+    # blanks at a text's ends leave an empty piece
+    kept = pc.greater(pc.binary_length(words), 0)
+    ends = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False))])[offsets[1:] - offsets[0]]
+    found = words.filter(kept).dictionary_encode()
+    names = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    return np.insert(found.indices.to_numpy(), ends, len(names)), [*names, END], np.diff(ends, prepend=0) + 1
+
+
+def of_tokens(lexicon: Lexicon, frequent: dict[bytes, int], ids: np.ndarray, names: list[bytes], sizes: np.ndarray) -> list:
+    """Word numbers, then n_tokens, _bytes, _known, _base and _rare of texts"""
     first = np.cumsum(sizes) - sizes
     numbers = lexicon.numbers(names).astype(np.int32)[ids]
     c = np.array([frequent.get(w, -1) for w in names], np.int64)
     per_word = [np.array([len(w) + 1 for w in names]), c > 0, np.log10(np.maximum(c, 0) + 1.0)]
     n_bytes, known, base = (np.add.reduceat(x[ids], first, dtype=t) for x, t in zip(per_word, ("i8", "i8", "f8")))
     # the other words: once for each text, with their times
-    text = np.repeat(np.arange(len(texts)), sizes)
+    text = np.repeat(np.arange(len(sizes)), sizes)
     other = c[ids] < 0
     pairs, times = np.unique(text[other] * len(names) + ids[other], return_counts=True)
     words = pa.array(names, pa.binary()).cast(pa.string()).take(pa.array(pairs % len(names)))
-    ends = np.searchsorted(pairs // len(names), np.arange(len(texts) + 1)).astype(np.int32)
+    ends = np.searchsorted(pairs // len(names), np.arange(len(sizes) + 1)).astype(np.int32)
     rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([words, pa.array(times)], ["word", "times"]))
     # the end is one byte
     return [numbers, *map(pa.array, (sizes, n_bytes - 1, known, base)), rare]

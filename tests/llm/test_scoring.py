@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,3 +237,61 @@ def test_own_counts_are_taken_out():
     entry = (size << 8) | int(np.array(round(8 * math.log((ones + 0.1) / (size - ones + 0.1)))).astype(np.int8).view(np.uint8))
     assert scoring.WITHOUT[entry + (1 << 16)] == pytest.approx(math.log(3.1 / 5.1), rel=1e-5)
     assert scoring.WITHOUT[entry] == pytest.approx(math.log(4.1 / 4.1), abs=1e-6)
+
+
+def test_tokens_by_arrow_are_the_words_and_the_end():
+    texts = ["A b  a\n", None, "", " \x0b\r ", "\x1c\x85 Q \u00a0x\u2003y İK É", "\tzz\x0czz ZZ", "日 Ab"]
+    for some in (pa.array(texts), pa.array(["cut", *texts, "off"]).slice(1, len(texts)), pa.array([None], pa.string())):
+        ids, names, sizes = scoring.tokens_of(some)
+        parts = np.split(np.array(names, object)[ids], np.cumsum(sizes)[:-1])
+        assert [p.tolist() for p in parts] == [[*scoring.words_of(t), scoring.END] for t in some.to_pylist()]
+
+
+def spelled_bits(shared, per_bit):
+    """Per word what a shared byte's bits have, put back in the words' order"""
+    parts = [per_bit[shared.first[i] : shared.first[i] + shared.count[i]] for i in shared.of]
+    return np.concatenate(parts)
+
+
+def test_common_beginnings_are_worked_out_once():
+    words = [b"thing", b"the", b"then", scoring.END, "é".encode(), b"t", b"the" * 4, b"xthe", b"thin"]
+    model = small_model(words, np.array([5, 3, 2, 4, 1, 9, 1, 2, 2]))
+    plain, shared = scoring.Bits(words, model.code), scoring.SharedBits(words, model.code)
+    assert len(shared.bit) < 0.9 * len(plain.bit)
+    for a, b in [(plain.bit, shared.bit), (plain.paths(), shared.paths()), *zip(plain.slots(12), shared.slots(12))]:
+        assert a.tolist() == spelled_bits(shared, b).tolist()
+    assert model.corpus_odds(plain).tolist() == spelled_bits(shared, model.corpus_odds(shared)).tolist()
+    c = np.arange(1, len(words) + 1)
+    assert shared.weights(c).dot(shared.bit) == np.repeat(c, plain.count).dot(plain.bit)
+
+
+def test_words_asked_for_again_are_not_worked_out_again(monkeypatch):
+    words = [b"a", b"b", b"ab", scoring.END]
+    model = small_model(words, np.array([5, 3, 2, 4]))
+    whole, lexicon, added = scoring.Lexicon(model), scoring.Lexicon(model), []
+    whole.numbers([*words, b"x", b"new"])
+    monkeypatch.setattr(scoring, "HELD", 10)
+    add = scoring.Lexicon.add
+    monkeypatch.setattr(scoring.Lexicon, "add", lambda self, some: (added.extend(some), add(self, some)))
+    for some in (words, [b"x", b"ab", b"a"], [b"ab", b"new", b"x"]):
+        for w, i in zip(some, lexicon.numbers(some).tolist()):
+            j = whole.number[w]
+            got, want = (x.packed[x.first[k] : x.first[k] + x.count[k]] for x, k in ((lexicon, i), (whole, j)))
+            assert got.tolist() == want.tolist()
+            assert (lexicon.name[i], lexicon.fixed[i]) == (whole.name[j], pytest.approx(whole.fixed[j]))
+    assert added == [*words, b"x", b"new"] and len(lexicon.number) == 3
+
+
+@pytest.mark.parametrize("rows_held", [1, 1 << 17])
+def test_table_counts_every_bit(spark, monkeypatch, rows_held):
+    words, c = ["the", "then", "a", "é", "thing", "\n"], [5, 1 << 40, 3, 2, 7, 4]
+    monkeypatch.setattr(scoring, "SORTED", rows_held)
+    counted = spark.createDataFrame([*zip(words, c)], "word string, c long").repartition(3)
+    code = scoring.ByteCode(scoring.byte_counts(counted))
+    got = scoring.predictor_table(counted, code, 12)
+    held, both = scoring.Bits([w.encode() for w in words], code), np.zeros((1 << 12, 2), np.int64)
+    for slots in held.slots(12):
+        np.add.at(both, (slots, held.bit), np.repeat(c, held.count))
+    odds = np.clip(np.rint(8 * np.log((both[:, 1] + scoring.PRIOR) / (both[:, 0] + scoring.PRIOR))), -127, 127)
+    want = scoring.small(both.sum(1)).astype(np.uint16) << np.uint16(8) | odds.astype(np.int8).view(np.uint8)
+    assert got.tolist() == want.tolist()
