@@ -114,7 +114,8 @@ class ByteCode:
             for i, (place, bit) in enumerate(path):
                 self.place[b, i], self.bit[b, i] = place, bit
         # run_hash of a byte's bits: of those before each, and of all
-        terms = np.where(np.arange(self.length.max()) < self.length[:, None], self.bit.astype(np.uint64) + np.uint64(1), np.uint64(0))
+        taken = np.arange(self.length.max()) < self.length[:, None]
+        terms = np.where(taken, self.bit.astype(np.uint64) + np.uint64(1), np.uint64(0))
         sums = np.cumsum(terms * np.cumprod(np.r_[np.uint64(1), np.full(terms.shape[1] - 1, ODD)]), axis=1, dtype=np.uint64)
         self.before, self.whole = np.hstack([np.zeros((256, 1), np.uint64), sums[:, :-1]]), sums[:, -1].copy()
 
