@@ -484,3 +484,45 @@ def test_histories_of_training_rows_are_written_once(spark, sf_dir, monkeypatch)
     monkeypatch.setattr(q_training.training, "assemble", lambda *given: given[-1])
     kept = q_training.training_rows(Views(spark, sf_dir), ["token"])
     assert kept.inputFiles() and not any("events.parquet" in f for f in kept.inputFiles())
+
+
+def test_sums_of_keys_asked_once_are_those_by_points(spark):
+    day = 86_400_000
+    facts = [(u, x, day * 20 + n * 3_600_001 - v, v) for u in ("a", "b", None) for x in ("p", "q") for n in range(-400, 5, 3) for v in (1, -2, 7)]
+    facts += [("a", "p", None, 5), ("a", None, day * 20 - 1, 9), ("a", "p", day * 20 - 300_000, 11), ("a", "p", day * 20, 13)]
+    asked = [(1, "a", "p", day * 20), (2, "a", "p", day * 20), (3, "a", "p", day * 19), (4, "a", "r", day * 20)]
+    asked += [(5, "b", "q", day * 20 + 7), (6, None, "p", day * 20), (7, "b", "p", None), (8, "c", "p", day * 20)]
+    history_rows = spark.createDataFrame(facts, "u string, x string, t bigint, n bigint")
+    samples = spark.createDataFrame(asked, "id int, u string, x string, at bigint")
+    got = []
+    for how in ({}, {"once": True}, {"once": True, "hot_rows": 10}):
+        sums = history.horizon_sums(samples, history_rows, ["u", "x"], "at", "t", ["n"], **how)
+        got.append(sorted(map(str, sums.select("id", *[f"{h}_n" for h in history.HORIZONS]).collect())))
+    assert got[0] == got[1] == got[2]
+    assert len(got[0]) == len(asked)
+
+
+def test_training_rows_of_a_request_with_two_times(spark):
+    """Counts are those before each of the times, although most requests have one"""
+    listed = json.dumps([json.dumps({"event_time": str(t), "news_id": "V1"}) for t in (1_700_000_000_000, 1_700_000_100_000)])
+    cells = [
+        ("r", {"token": f"{ms}r", "event_time": str(ms), "user_sl_feed_news_show_fc_v2": listed})
+        for ms in (1_700_000_050_000, 1_700_000_150_000)
+    ]
+    given = spark.createDataFrame(cells, "request_id string, user map<string,string>")
+    items = spark.createDataFrame([("s", "r", {"newsId": "V1"})], "sample_id string, request_id string, item map<string,string>")
+    dictionary = spark.createDataFrame([], "feature string, text string, code int")
+    # a history of its own, as those of two requests of one id would be added up
+    whole = training.cell_history(given.limit(1))
+    for columns in (["sl_news_id_nv_1hour_s_times", "token"], ["token", "user_sl2_feed_news_show_fc_news_id_length"]):
+        rows = training.assemble(given, items, dictionary, None, columns, whole).collect()
+        assert {r["token"][0] for r in rows} == {"1700000050000r", "1700000150000r"}
+    assert training._asked_once(given.limit(1), F.col("user")["event_time"])
+    assert not training._asked_once(given, F.col("user")["event_time"])
+
+
+def test_training_sequences_are_made_once_a_request():
+    """The columns of a pair read ready sequences; the entries they are made of stay with the request"""
+    name = "user_sl2_feed_news_click_fc_news_id"
+    plan = training.Plan([name, f"{name}_length"])
+    assert list(plan.sequences) == [f"q_{name}"]
