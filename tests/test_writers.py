@@ -24,7 +24,7 @@ def test_many_small_buckets_are_written_by_several_tasks(spark):
 def test_training_rows_are_written_by_every_task_of_the_last_shuffle(spark):
     path = run_dir(spark, "training")
     before = spark.conf.get(writers.MERGE, None)
-    rows = spark.range(400).groupBy("id").agg(F.array(F.count(F.lit(1))).alias("n"))
+    rows = spark.range(400).groupBy((F.col("id") * 7).alias("x")).agg(F.array(F.count(F.lit(1))).alias("n"))
     writers.write_training(rows, path)
     files = glob.glob(f"{path.removeprefix('file:')}/part-*.parquet")
     assert len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but not one task
